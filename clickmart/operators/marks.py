@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK_COLUMN = "extract_timestamp"
+# Day of MARK_COLUMN; stored tables are partitioned by it (plans.store).
+PARTITION_COLUMN = "extract_date"
 
 
 def mark_of(target: DataFrame, default: str | None, column: str = MARK_COLUMN) -> Column:
@@ -18,7 +20,14 @@ def mark_of(target: DataFrame, default: str | None, column: str = MARK_COLUMN) -
 
 
 def above_mark(df: DataFrame, mark: Column, column: str = MARK_COLUMN) -> DataFrame:
-    """Rows strictly above the mark; a NULL mark or NULL stamp keeps nothing."""
+    """Rows strictly above the mark; a NULL mark or NULL stamp keeps nothing.
+
+    When ``df`` carries the partition day of ``column``, the implied
+    condition ``day >= day(mark)`` is added: it drops no row the stamp
+    condition keeps, and lets the scan skip whole days below the mark.
+    """
+    if column == MARK_COLUMN and PARTITION_COLUMN in df.columns:
+        df = df.where(F.col(PARTITION_COLUMN) >= F.to_date(mark))
     return df.where(F.col(column) > mark)
 
 

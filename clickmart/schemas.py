@@ -81,3 +81,29 @@ TABLE_COLUMNS = {
     "all_events": ALL_EVENTS_COLUMNS,
     "session_journey": SESSION_JOURNEY_COLUMNS,
 }
+
+# DDL of every stored table (read back with these so a partition column
+# keeps its zone-free timestamp type).
+_TS = "timestamp_ntz"
+TABLE_DDL = {
+    "events_base": ", ".join(
+        f"{c} {_TS if c in ('event_time', 'extract_timestamp', 'load_timestamp') else 'bigint' if c == 'page_counter' else 'string'}"
+        for c in BASE_COLUMNS),
+    "fct_all_session_events": ", ".join(
+        f"{c} {_TS if c in ('event_time', 'extract_timestamp', 'load_timestamp') else 'string'}"
+        for c in FACT_COLUMNS),
+    "dim_event_pages": ", ".join(
+        f"{c} {_TS if c in ('extract_timestamp', 'load_timestamp') else 'bigint' if c == 'page_counter' else 'string'}"
+        for c in PAGES_COLUMNS),
+    "dim_devices": ", ".join(f"{c} {_TS if c == 'load_timestamp' else 'string'}" for c in DEVICES_COLUMNS),
+    "all_events": (
+        "event_uuid string, session_id string, device_id string, device_type string, platform string, "
+        "event_type string, event_time timestamp_ntz, event_duration_s decimal(21,1), event_counter int, "
+        "page_url string, page_counter bigint, page_title string, parent_page_title string, "
+        "element_text string, element_tag string, element_url string, previous_event_repeated boolean, "
+        "click_error boolean, extract_timestamp timestamp_ntz"),
+    "session_journey": (
+        "session_id string, device_id string, device_type string, platform string, page_path string, "
+        "total_events bigint, total_pages_viewed bigint, session_start_time timestamp_ntz, "
+        "session_end_time timestamp_ntz, event_duration_s bigint, extract_timestamp timestamp_ntz"),
+}

@@ -14,6 +14,8 @@ is the "only if the feed has data" gate.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmart import schemas as S
@@ -21,10 +23,14 @@ from clickmart.operators.bronze import bronze
 from clickmart.sources.raw import file_path_column
 
 
-def run_available_now(df: DataFrame, path: str, checkpoint: str) -> int:
+def run_available_now(df: DataFrame, path: str, checkpoint: str,
+                      partition_by: list[str] | None = None) -> int:
     """Append ``df``'s new input to parquet at ``path`` and stop; returns the
     number of input rows processed by this run."""
-    query = (df.writeStream.format("parquet")
+    writer = df.writeStream.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    query = (writer
              .option("path", path)
              .option("checkpointLocation", checkpoint)
              .outputMode("append")
@@ -55,8 +61,14 @@ def ingest_files(spark: SparkSession, source_dir: str, raw_dir: str, checkpoint:
 
 
 def raw_to_base(spark: SparkSession, raw_dir: str, base_dir: str, checkpoint: str,
-                load_ts=None, strict: bool = True) -> int:
-    """Append the bronze form of raw rows not yet processed to ``base_dir``."""
+                load_ts=None, strict: bool = True,
+                layout: Callable[[DataFrame], DataFrame] | None = None,
+                partition_by: list[str] | None = None) -> int:
+    """Append the bronze form of raw rows not yet processed to ``base_dir``
+    (``layout`` may add the columns the sink partitions by)."""
     raw = spark.readStream.schema(S.RAW_SCHEMA).parquet(raw_dir)
-    return run_available_now(bronze(raw, load_ts, strict), base_dir, checkpoint)
+    out = bronze(raw, load_ts, strict)
+    if layout is not None:
+        out = layout(out)
+    return run_available_now(out, base_dir, checkpoint, partition_by)
 
