@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart import schemas as S
 from clickmart.functions.timefn import whole_second_diff
+from clickmart.operators import sessions
 from clickmart.operators.marks import above_mark, mark_of
 
 
@@ -16,10 +17,6 @@ def session_order() -> list[Column]:
     return [F.asc_nulls_last("event_time"), F.asc_nulls_last("event_uuid")]
 
 
-def session_window():
-    return Window.partitionBy("session_id").orderBy(*session_order())
-
-
 def enrich(fct: DataFrame, pages: DataFrame, devices: DataFrame) -> DataFrame:
     """Fact left-joined to its page row (by ``event_uuid``) and to its device
     profile (by ``device_id``; NULL ids never match). An event present k
@@ -34,17 +31,12 @@ def enrich(fct: DataFrame, pages: DataFrame, devices: DataFrame) -> DataFrame:
             .drop("d_device_id"))
 
 
-def with_session_windows(enriched: DataFrame) -> DataFrame:
+def with_session_windows(enriched: DataFrame, keys: DataFrame | None = None,
+                         max_rows: int | None = None) -> DataFrame:
     """Next event time, previous type and page, position in the session.
-    All four share one window spec, so Spark plans one shuffle and one sort."""
-    w = session_window()
-    return enriched.select(
-        "*",
-        F.lead("event_time").over(w).alias("next_event_time"),
-        F.lag("event_type").over(w).alias("previous_event_type"),
-        F.lag("page_url").over(w).alias("previous_page_url"),
-        F.row_number().over(w).alias("event_counter"),
-    )
+    All four share one window spec (one shuffle, one sort); hot sessions are
+    cut into chunks first (``operators.sessions``)."""
+    return sessions.with_session_windows(enriched, keys, max_rows)
 
 
 def event_duration() -> Column:
@@ -70,9 +62,11 @@ def derive(windowed: DataFrame) -> DataFrame:
     )
 
 
-def all_events(fct: DataFrame, pages: DataFrame, devices: DataFrame) -> DataFrame:
+def all_events(fct: DataFrame, pages: DataFrame, devices: DataFrame,
+               max_rows: int | None = None) -> DataFrame:
     """``all_events`` full build."""
-    return derive(with_session_windows(enrich(fct, pages, devices)))
+    keys = fct.select("session_id", "event_time")
+    return derive(with_session_windows(enrich(fct, pages, devices), keys, max_rows))
 
 
 def touched_sessions(fct: DataFrame, mark: Column) -> DataFrame:
