@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickmart import schemas as S
 from clickmart.functions.timefn import whole_second_diff
 from clickmart.operators import sessions
-from clickmart.operators.marks import above_mark, mark_of
+from clickmart.operators.marks import PARTITION_COLUMN, above_mark, mark_of
 
 
 def session_order() -> list[Column]:
@@ -74,10 +74,22 @@ def touched_sessions(fct: DataFrame, mark: Column) -> DataFrame:
 
     Windows partition by session, so rows of untouched sessions cannot change
     any window value of a row above the mark; dropping them first is exact.
+    On a day-partitioned fact, a narrow scan (session and day only) first
+    finds the earliest day of any touched session, and the wide scan reads
+    only days from there on (and the day-less partition): exact, and an
+    increment no longer reads the whole history.
     """
     touched = above_mark(fct, mark).select(F.col("session_id").alias("t_session_id")).distinct()
-    return fct.join(touched, fct["session_id"].eqNullSafe(touched["t_session_id"]),
-                    "left_semi")
+
+    def rows_of(df: DataFrame) -> DataFrame:
+        return df.join(touched, df["session_id"].eqNullSafe(touched["t_session_id"]), "left_semi")
+
+    if PARTITION_COLUMN in fct.columns:
+        day = F.col(PARTITION_COLUMN)
+        first_day = rows_of(fct.select("session_id", PARTITION_COLUMN)).select(
+            F.min(day).alias("first_day")).scalar()
+        fct = fct.where((day >= first_day) | day.isNull())
+    return rows_of(fct)
 
 
 def all_events_increment(fct: DataFrame, pages: DataFrame, devices: DataFrame,
