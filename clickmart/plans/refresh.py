@@ -11,8 +11,12 @@ streams resume from their checkpoints and the marks skip what was appended.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from datetime import datetime, timezone
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickmart.operators import merge, silver
 from clickmart.plans import pipeline as P
 from clickmart.plans.store import (
     PARTITION_COLUMN,
@@ -24,6 +28,18 @@ from clickmart.plans.store import (
 from clickmart.streaming.ingest import ingest_files, raw_to_base
 
 RAW = "events_raw"
+DEVICE_STATE = "device_state"
+
+
+def stamp(load_ts=None) -> str:
+    """The run's load stamp: given, or the driver's clock (UTC, no zone).
+    Stored refreshes need a fixed value: the device state records it."""
+    return str(load_ts) if load_ts is not None else datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def _with_through(state: DataFrame, load_ts) -> DataFrame:
+    return state.select("device_id", "best",
+                        F.lit(str(load_ts)).cast("timestamp_ntz").alias("through_load_ts"))
 
 
 def _checkpoint(root: str, name: str) -> str:
@@ -40,6 +56,7 @@ def load_bronze(spark: SparkSession, root: str, landing: str, load_ts=None) -> d
 
 
 def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None) -> dict[str, int]:
+    load_ts = stamp(load_ts)
     counts = load_bronze(spark, root, landing, load_ts)
     build_silver(spark, root, load_ts)
     build_gold(spark, root)
@@ -47,9 +64,13 @@ def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None) ->
 
 
 def build_silver(spark: SparkSession, root: str, load_ts=None) -> None:
+    load_ts = stamp(load_ts)
     base = read_table(spark, root, P.BASE)
-    for name, df in P.silver_build(base, load_ts).items():
-        write_table(df, root, name, "overwrite")
+    write_table(silver.fact(base, load_ts), root, P.FACT, "overwrite")
+    write_table(silver.pages(base, load_ts), root, P.PAGES, "overwrite")
+    write_table(_with_through(silver.device_candidates(base), load_ts), root, DEVICE_STATE, "append")
+    state = read_table(spark, root, DEVICE_STATE)
+    write_table(silver.profiles(state, load_ts), root, P.DEVICES, "append")
 
 
 def build_gold(spark: SparkSession, root: str) -> None:
@@ -59,11 +80,23 @@ def build_gold(spark: SparkSession, root: str) -> None:
 
 
 def refresh_silver(spark: SparkSession, root: str, load_ts=None) -> None:
+    """Fact and pages appends as in ``pipeline.silver_step``; the device merge
+    reads only base rows newer than the device state (see
+    ``silver.advance_device_state``) instead of all history."""
+    load_ts = stamp(load_ts)
     tables = {n: read_table(spark, root, n) for n in (P.BASE, P.FACT, P.PAGES, P.DEVICES)}
-    step = P.silver_step(tables[P.BASE], tables, load_ts)
-    write_table(step[P.FACT], root, P.FACT, "append")
-    write_table(step[P.PAGES], root, P.PAGES, "append")
-    write_table(step[P.DEVICES], root, P.DEVICES, "append")  # new snapshot
+    base = tables[P.BASE]
+    write_table(silver.fact_increment(base, tables[P.FACT], load_ts), root, P.FACT, "append")
+    write_table(silver.pages_increment(base, tables[P.PAGES], load_ts), root, P.PAGES, "append")
+
+    state = read_table(spark, root, DEVICE_STATE)
+    through = state.agg(F.max("through_load_ts")).first()[0]
+    new_rows = base if through is None else base.where(F.col("load_timestamp") > F.lit(through))
+    new_state = _with_through(silver.advance_device_state(state, new_rows), load_ts)
+    write_table(new_state, root, DEVICE_STATE, "append")  # new snapshot
+    state = read_table(spark, root, DEVICE_STATE)
+    source = silver.changed_device_source(state, new_rows, load_ts)
+    write_table(merge.merge_devices(tables[P.DEVICES], source), root, P.DEVICES, "append")
 
 
 def refresh_gold(spark: SparkSession, root: str, prune: bool = True) -> None:
@@ -76,6 +109,7 @@ def refresh_gold(spark: SparkSession, root: str, prune: bool = True) -> None:
 
 def run_increment(spark: SparkSession, root: str, landing: str, load_ts=None,
                   prune: bool = True) -> dict[str, int]:
+    load_ts = stamp(load_ts)
     counts = load_bronze(spark, root, landing, load_ts)
     if counts["base_rows"] == 0:  # nothing new: the later steps do not run
         return {**counts, "refreshed": 0}

@@ -22,7 +22,7 @@ from clickmart.operators.marks import PARTITION_COLUMN
 STAMP_COLUMN = "extract_timestamp"
 PARTITIONED = {"events_base", "fct_all_session_events", "dim_event_pages", "all_events",
                "session_journey"}
-SNAPSHOT = {"dim_devices"}
+SNAPSHOT = {"dim_devices", "device_state"}
 # Row order inside written files (clusters row-group statistics for readers).
 WRITE_ORDER = {
     "all_events": ["session_id", "event_time"],

@@ -107,3 +107,10 @@ TABLE_DDL = {
         "total_events bigint, total_pages_viewed bigint, session_start_time timestamp_ntz, "
         "session_end_time timestamp_ntz, event_duration_s bigint, extract_timestamp timestamp_ntz"),
 }
+
+DEVICE_STATE_COLUMNS = ["device_id", "best", "through_load_ts"]
+TABLE_COLUMNS["device_state"] = DEVICE_STATE_COLUMNS
+TABLE_DDL["device_state"] = (
+    "device_id string, best struct<k0:boolean,k1:timestamp_ntz,k2:timestamp_ntz,k3:string,"
+    + ",".join(f"{c}:string" for c in DEVICE_PROFILE_COLUMNS)
+    + ">, through_load_ts timestamp_ntz")

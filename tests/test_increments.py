@@ -94,3 +94,20 @@ def test_stored_refresh_equals_pure_two_batch(spark, tb):
         assert _rows(stored[name], drop=()) == _rows(expect, drop=()), name
     again = R.run_increment(spark, root, landing, Q.LOAD_TS_2)
     assert again == {"raw_rows": 0, "base_rows": 0, "refreshed": 0}
+
+
+def test_device_state_merge_equals_full_source_merge(spark, tb):
+    """Merging only changed devices (from the incremental state) gives the
+    same snapshot as merging the profile of every device."""
+    from clickmart.operators import merge, silver
+
+    base1 = tb["first"][P.BASE]
+    base_all = tb["after_silver"][P.BASE]
+    new_rows = base_all.where(F.col("load_timestamp") > F.lit(Q.LOAD_TS_1).cast("timestamp_ntz"))
+    state1 = silver.device_candidates(base1)
+    state2 = silver.advance_device_state(state1, new_rows)
+    assert _rows(state2, drop=()) == _rows(silver.device_candidates(base_all), drop=())
+    src = silver.changed_device_source(state2, new_rows, Q.LOAD_TS_2)
+    assert src.count() <= silver.latest_devices(base_all).count()
+    merged = merge.merge_devices(tb["first"][P.DEVICES], src)
+    assert _rows(merged, drop=()) == _rows(tb["after_silver"][P.DEVICES], drop=())
