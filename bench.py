@@ -44,6 +44,11 @@ def main() -> None:
                           extra={"spark.driver.memory": "16g"})
     # warm-up (JVM, code paths) on the smallest scale, not timed
     noop(Q.q_all_events(spark, "/root/testdata/sf0.001"))
+    warm = scratch_path(spark, "bench-warm")
+    Q._write_delivery(spark, "/root/testdata/sf0.001", f"{warm}/landing", 1)
+    R.initial_build(spark, warm, f"{warm}/landing", Q.LOAD_TS_1)
+    Q._write_delivery(spark, "/root/testdata/sf0.001", f"{warm}/landing", 2)
+    R.run_increment(spark, warm, f"{warm}/landing", Q.LOAD_TS_2)
 
     root = scratch_path(spark, "bench")
     landing = f"{root}/landing"
@@ -61,6 +66,7 @@ def main() -> None:
 
     queries: dict[str, float] = {}
     for name in HEADLINE:
+        noop(Q.QUERIES[name](spark, "/root/testdata/sf0.001"))  # warm-up, same plan shape
         timed(queries, name, lambda n=name: noop(Q.QUERIES[n](spark, sf_dir)))
 
     total = round(sum(steps.values()) + sum(queries.values()), 3)

@@ -92,9 +92,12 @@ def raw_from_tables(events: DataFrame, pages: DataFrame) -> DataFrame:
         F.to_variant_object("event").alias("json_data"), "filename")
 
 
-def write_json_lines(lines: DataFrame, path: str) -> None:
+def write_json_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write JSON lines as text files, one folder per file-name hour token,
-    so every written file path carries its hour (``hour=2024-01-01_3/...``)."""
+    so every written file path carries its hour (``hour=2024-01-01_3/...``).
+    Rows are rebalanced by hour first: about one file per hour, as an
+    exporter delivers them (AQE splits an hour too large for one file)."""
     token = F.regexp_substr(F.col("filename"), F.lit(S.FILE_HOUR_PATTERN))
     (lines.select(F.col("json_text").alias("value"), token.alias("hour"))
-     .write.mode("errorifexists").partitionBy("hour").text(path))
+     .hint("rebalance", "hour")
+     .write.mode(mode).partitionBy("hour").text(path))
