@@ -322,3 +322,36 @@ def oracle_sql() -> dict[str, str]:
     q["stream_raw_to_base"] = with_(stream_base, f"SELECT {base_cols}, load_timestamp FROM base1 "
                                                  f"UNION ALL SELECT {base_cols}, load_timestamp FROM base2")
     return q
+
+
+def _norm(v) -> str:
+    if v is None:
+        return "<null>"
+    if hasattr(v, "isoformat"):
+        return v.isoformat(sep=" ")
+    if isinstance(v, float):
+        return repr(round(v, 9))
+    return str(v)
+
+
+def digest(cols: list[str], rows: list[tuple]) -> tuple[str, list[str]]:
+    """Order-insensitive hash of a result, columns taken in name order."""
+    import hashlib
+
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16], lines
+
+
+def duckdb_views(sf_dir: str):
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("region nation customer supplier part orders lineitem events documents "
+              "embeddings pages benchmark labels conversations").split():
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
