@@ -60,6 +60,21 @@ def ingest_files(spark: SparkSession, source_dir: str, raw_dir: str, checkpoint:
                              raw_dir, checkpoint)
 
 
+def start_ingest(spark: SparkSession, source_dir: str, raw_dir: str, checkpoint: str,
+                 interval: str = "1 minute", max_files_per_trigger: int | None = None):
+    """Continuous form of ``ingest_files``: a query that keeps loading new
+    files every ``interval`` (the auto-ingest pipe). Returns the running
+    ``StreamingQuery``; stop it with ``.stop()``. It shares the file log with
+    ``ingest_files`` when given the same checkpoint."""
+    return (raw_file_stream(spark, source_dir, max_files_per_trigger)
+            .writeStream.format("parquet")
+            .option("path", raw_dir)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(processingTime=interval)
+            .start())
+
+
 def raw_to_base(spark: SparkSession, raw_dir: str, base_dir: str, checkpoint: str,
                 load_ts=None, strict: bool = True,
                 layout: Callable[[DataFrame], DataFrame] | None = None,

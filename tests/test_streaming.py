@@ -56,3 +56,19 @@ def test_second_file_of_loaded_hour_is_late(spark):
     late = marks.late_rows(base_df, fct_after).select("event_uuid").collect()
     assert [r["event_uuid"] for r in late] == ["late"]
     assert base_df.where(F.col("event_uuid") == "late").count() == 1
+
+
+def test_continuous_ingest_shares_the_file_log(spark):
+    from clickmart.streaming.ingest import start_ingest
+
+    root = scratch_path(spark, "test-cont")
+    src, raw = f"{root}/landing", f"{root}/raw"
+    _write(spark, src, "0_2024-01-01_1", [event("a", "s1", "2024-01-01 01:00:00")])
+    q = start_ingest(spark, src, raw, f"{root}/ck", interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(raw).count() == 1
+    _write(spark, src, "0_2024-01-01_2", [event("b", "s1", "2024-01-01 02:00:00")])
+    assert ingest_files(spark, src, raw, f"{root}/ck") == 1  # only the new file
