@@ -119,16 +119,35 @@ def page_path(title: Column) -> Column:
                         S.PAGE_PATH_SEPARATOR)
 
 
-def page_view_counts(fct: DataFrame, pages: DataFrame) -> DataFrame:
+def page_view_counts(fct: DataFrame, pages: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Per session: ordered page path and number of page-view events (every
-    view counts, with or without a page row)."""
+    view counts, with or without a page row).
+
+    A hot session (more views than one task should gather, see
+    ``operators.sessions``) is built in two levels: an ordered path per time
+    chunk, then the chunk paths joined in chunk order (empty ones skipped).
+    The path itself stays one value per session, as defined.
+    """
     views = fct.where(F.col("event_type") == F.lit(S.PAGE_VIEWED)).select(
         "event_uuid", "session_id", "event_time")
     p = pages.select("event_uuid", "page_title")
-    return views.join(p, "event_uuid", "left").groupBy("session_id").agg(
-        page_path(F.col("page_title")).alias("page_path"),
-        F.count(F.lit(1)).alias("total_pages_viewed"),
-    )
+    joined = views.join(p, "event_uuid", "left")
+    if max_rows is None:
+        max_rows = sessions.configured_max_rows(fct)
+    hot = sessions.hot_sessions(views.select("session_id", "event_time"), max_rows)
+    if hot.isEmpty():
+        return joined.groupBy("session_id").agg(
+            page_path(F.col("page_title")).alias("page_path"),
+            F.count(F.lit(1)).alias("total_pages_viewed"),
+        )
+    parts = sessions.assign_chunks(joined, hot).groupBy("_sk", "session_id", "_chunk").agg(
+        page_path(F.col("page_title")).alias("_part"), F.count(F.lit(1)).alias("_n"))
+    ordered = F.array_sort(F.collect_list(F.struct(
+        F.col("_chunk").alias("c"), F.nullif(F.col("_part"), F.lit("")).alias("part"))))
+    return parts.groupBy("_sk", "session_id").agg(
+        F.array_join(F.transform(ordered, lambda x: x["part"]), S.PAGE_PATH_SEPARATOR).alias("page_path"),
+        F.sum("_n").alias("total_pages_viewed"),
+    ).drop("_sk")
 
 
 def all_event_counts(fct: DataFrame, devices: DataFrame) -> DataFrame:

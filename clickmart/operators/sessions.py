@@ -91,14 +91,21 @@ def with_session_windows(df: DataFrame, keys: DataFrame | None = None,
     return _chunked(df, hot)
 
 
-def _chunked(df: DataFrame, hot: DataFrame) -> DataFrame:
+def assign_chunks(df: DataFrame, hot: DataFrame) -> DataFrame:
+    """``df`` plus ``_sk`` (null-safe session key) and ``_chunk``: NULL for
+    rows of ordinary sessions, else the row's time slice of its hot session
+    (rows without time last). Chunks follow the session order."""
     # ``hot`` holds at most total_rows / max_rows rows (one per hot session).
     x = df.withColumn("_sk", _session_key())
     x = x.join(F.broadcast(hot), x["_sk"] == hot["_hsk"], "left")
     chunk = F.when(F.col("_hsk").isNull(), F.lit(None).cast("long")).when(
         F.col("event_time").isNull(), F.lit(_NULL_TIME_CHUNK)).otherwise(
         F.floor((_micros(F.col("event_time")) - F.col("_lo")) / F.col("_width")).cast("long"))
-    x = x.withColumn("_chunk", chunk).drop("_hsk", "_lo", "_width")
+    return x.withColumn("_chunk", chunk).drop("_hsk", "_lo", "_width")
+
+
+def _chunked(df: DataFrame, hot: DataFrame) -> DataFrame:
+    x = assign_chunks(df, hot)
 
     w = Window.partitionBy("_sk", "_chunk").orderBy(*_order())
     local = x.select(

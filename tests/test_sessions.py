@@ -51,3 +51,15 @@ def test_no_hot_sessions_plans_one_window(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 1
     assert "_chunk" not in plan
+
+
+def test_page_path_two_level_equals_plain(spark):
+    from clickmart.operators.gold import page_view_counts
+
+    t = Q.full(spark, "/root/testdata/sf0.001")
+    plain = page_view_counts(t[P.FACT], t[P.PAGES], max_rows=10_000)
+    for max_rows in (1, 2, 4):
+        chunked = page_view_counts(t[P.FACT], t[P.PAGES], max_rows=max_rows)
+        got = sorted(tuple(str(v) for v in r) for r in chunked.collect())
+        want = sorted(tuple(str(v) for v in r) for r in plain.collect())
+        assert got == want, max_rows
