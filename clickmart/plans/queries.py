@@ -21,7 +21,7 @@ from clickmart.operators.bronze import bronze, extract
 from clickmart.plans import pipeline as P
 from clickmart.session import checkpoint_root, scratch_path
 from clickmart.sources.driver_tables import raw_from_tables, raw_json_lines, write_json_lines
-from clickmart.sources.raw import load_audit, read_raw
+from clickmart.sources.raw import list_files, listing_audit, load_audit, read_raw
 from clickmart.streaming.ingest import ingest_files, raw_to_base
 
 LOAD_TS_1 = "2026-05-14 09:00:00"
@@ -142,6 +142,20 @@ def q_load_audit(spark, sf_dir):
     return load_audit(raw(spark, sf_dir))
 
 
+def q_stage_listing(spark, sf_dir):
+    """Both deliveries landed, only the first ingested: the listing audit
+    shows every hour file, loaded ones with their rows, the rest with 0."""
+    root = scratch_path(spark, "listing")
+    src, raw_dir = f"{root}/landing", f"{root}/raw"
+    _write_delivery(spark, sf_dir, src, 1)
+    ingest_files(spark, src, raw_dir, f"{root}/_ck_ingest")
+    _write_delivery(spark, sf_dir, src, 2)
+    audit = listing_audit(spark.read.schema(S.RAW_SCHEMA).parquet(raw_dir), list_files(spark, src))
+    token = F.regexp_substr(F.col("filename"), F.lit(S.FILE_HOUR_PATTERN))
+    return audit.groupBy(token.alias("file_hour")).agg(
+        F.sum("n_rows").alias("n_rows"), F.bool_and("listed").alias("listed"))
+
+
 # --- bronze ----------------------------------------------------------------
 
 def q_bronze_extract(spark, sf_dir):
@@ -286,6 +300,7 @@ QUERIES = {
     "stream_ingest": q_stream_ingest,
     "stream_raw_to_base": q_stream_raw_to_base,
     "load_audit": q_load_audit,
+    "stage_listing": q_stage_listing,
     "bronze_extract": q_bronze_extract,
     "extract_timestamp": q_extract_timestamp,
     "event_type_clean": q_event_type_clean,

@@ -13,11 +13,15 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], S.RAW_SCHEMA)
 
 
+def decoded_path(uri: Column) -> Column:
+    """A file URI percent-decoded (``#`` arrives as ``%23``); ``+`` is kept
+    as is rather than read as a blank."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def file_path_column() -> Column:
-    """Full path of the file a row came from, percent-decoded (``#`` arrives
-    as ``%23``); ``+`` is kept as is rather than read as a blank."""
-    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.url_decode(path)
+    """Full path of the file a row came from."""
+    return decoded_path(F.col("_metadata.file_path"))
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -37,3 +41,23 @@ def load_audit(raw: DataFrame) -> DataFrame:
     """Distinct file names in the raw layer with their row counts, to compare
     against a listing of the bucket."""
     return raw.groupBy("filename").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files below ``path`` as a distributed listing (``filename``,
+    ``size``): only metadata is read, never file contents."""
+    return (spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load(path)
+            .select(decoded_path(F.col("path")).alias("filename"), F.col("length").alias("size")))
+
+
+def listing_audit(raw: DataFrame, listing: DataFrame) -> DataFrame:
+    """Every listed file and every loaded file name, with the rows loaded
+    from it: ``listed`` false means rows from a file no longer in the
+    bucket, ``n_rows`` 0 a listed file that was never loaded."""
+    loaded = load_audit(raw)
+    listed = listing.select("filename", F.lit(True).alias("listed"))
+    return (listed.join(loaded, "filename", "full_outer")
+            .select("filename", F.coalesce(F.col("listed"), F.lit(False)).alias("listed"),
+                    F.coalesce(F.col("n_rows"), F.lit(0)).alias("n_rows")))

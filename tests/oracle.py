@@ -272,6 +272,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": with_(SRC, raw_proj),
         "stream_raw_to_base": with_(stream_base, "SELECT * FROM base1 UNION ALL SELECT * FROM base2"),
         "load_audit": with_(SRC, "SELECT filename, count(*) AS n_rows FROM src GROUP BY filename"),
+        "stage_listing": with_(SRC + ",\nsrc_t AS (SELECT *, regexp_extract(filename, "
+                               "'\\d{4}-\\d{2}-\\d{2}_\\d{1,2}') AS file_hour FROM src_h)", f"""
+            SELECT file_hour, CAST(count(*) FILTER (WHERE coalesce(file_ts < {CUT}, FALSE)) AS BIGINT) AS n_rows,
+                   TRUE AS listed
+            FROM src_t GROUP BY file_hour"""),
         "bronze_extract": with_(SRC + "," + extract_cte("x", "src_h", LOAD_1), "SELECT * FROM x"),
         "extract_timestamp": with_(SRC, "SELECT event_uuid, filename, file_ts AS extract_timestamp FROM src_h"),
         "event_type_clean": with_(full, "SELECT x.event_uuid, x.event_type AS event_type_raw, b.event_type "

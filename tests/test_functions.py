@@ -77,3 +77,33 @@ def test_json_extraction(spark):
     assert [r["a"] for r in rows] == ["1715000000123", None, None]
     assert [r["pc"] for r in rows] == [3, 2, -3]
     assert all(r["m"] is None for r in rows)
+
+
+def _title_words(s):
+    """Plain-Python statement of the rule: a letter is upper-cased when it
+    starts the text or follows white space or a delimiter, else lower-cased."""
+    from clickmart.schemas import INITCAP_DELIMITERS
+
+    out, start = [], True
+    for ch in s:
+        out.append(ch.upper() if start else ch.lower())
+        start = ch.isspace() or ch in INITCAP_DELIMITERS
+    return "".join(out)
+
+
+def test_initcap_words_against_plain_rule(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("abcXYZ éÉ019 \t_-.[]()/|#&~^@!?<>{}%*+,:;'\"\\"))
+    samples = []
+
+    @settings(max_examples=300, suppress_health_check=list(HealthCheck), derandomize=True)
+    @given(st.text(alphabet=alphabet, max_size=24))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = [r["r"] for r in df.select(initcap_words(F.col("s")).alias("r")).collect()]
+    assert got == [_title_words(s) for s in samples]
