@@ -135,12 +135,13 @@ def page_view_counts(fct: DataFrame, pages: DataFrame, max_rows: int | None = No
     if max_rows is None:
         max_rows = sessions.configured_max_rows(fct)
     hot = sessions.hot_sessions(views.select("session_id", "event_time"), max_rows)
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if n_hot == 0:
         return joined.groupBy("session_id").agg(
             page_path(F.col("page_title")).alias("page_path"),
             F.count(F.lit(1)).alias("total_pages_viewed"),
         )
-    parts = sessions.assign_chunks(joined, hot).groupBy("_sk", "session_id", "_chunk").agg(
+    parts = sessions.assign_chunks(joined, hot, n_hot <= sessions.BROADCAST_MAX_HOT).groupBy("_sk", "session_id", "_chunk").agg(
         page_path(F.col("page_title")).alias("_part"), F.count(F.lit(1)).alias("_n"))
     ordered = F.array_sort(F.collect_list(F.struct(
         F.col("_chunk").alias("c"), F.nullif(F.col("_part"), F.lit("")).alias("part"))))
@@ -152,15 +153,24 @@ def page_view_counts(fct: DataFrame, pages: DataFrame, max_rows: int | None = No
 
 def all_event_counts(fct: DataFrame, devices: DataFrame) -> DataFrame:
     """Per session and *dimension* device: counts, first/last time, span in
-    whole seconds, latest stamp. Unmatched devices group under NULL."""
+    whole seconds, latest stamp. Unmatched devices group under NULL.
+
+    The fact is first reduced to one row per (session, fact device) -- count,
+    min, max compose -- so the device join sees that many rows instead of one
+    per event; then the rows are regrouped by the dimension's device."""
+    per_device = fct.groupBy("session_id", "device_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("event_time").alias("t_min"),
+        F.max("event_time").alias("t_max"),
+        F.max("extract_timestamp").alias("ext_max"),
+    )
     d = devices.select(F.col("device_id").alias("d_device_id"), "device_type", "platform")
-    e = fct.select("session_id", "device_id", "event_time", "extract_timestamp")
-    joined = e.join(d, F.col("device_id") == F.col("d_device_id"), "left")
+    joined = per_device.join(d, F.col("device_id") == F.col("d_device_id"), "left")
     agg = joined.groupBy("session_id", "d_device_id", "device_type", "platform").agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.min("event_time").alias("session_start_time"),
-        F.max("event_time").alias("session_end_time"),
-        F.max("extract_timestamp").alias("extract_timestamp"),
+        F.sum("n").alias("total_events"),
+        F.min("t_min").alias("session_start_time"),
+        F.max("t_max").alias("session_end_time"),
+        F.max("ext_max").alias("extract_timestamp"),
     )
     return agg.select(
         "session_id", F.col("d_device_id").alias("device_id"), "device_type", "platform",

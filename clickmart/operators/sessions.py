@@ -26,6 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 2_000_000
+# The hot-session table is broadcast only up to this many rows (~40 bytes
+# each); beyond, it is joined with a shuffle.
+BROADCAST_MAX_HOT = 500_000
 MAX_ROWS_CONF = "spark.clickmart.session.maxRowsPerTask"
 _NULL_TIME_CHUNK = 1 << 62
 _EPOCH = "1970-01-01 00:00:00"
@@ -86,26 +89,28 @@ def with_session_windows(df: DataFrame, keys: DataFrame | None = None,
         max_rows = configured_max_rows(df)
     hot = hot_sessions((keys if keys is not None else df).select("session_id", "event_time"),
                        max_rows)
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if n_hot == 0:
         return _plain(df)
-    return _chunked(df, hot)
+    return _chunked(df, hot, broadcast=n_hot <= BROADCAST_MAX_HOT)
 
 
-def assign_chunks(df: DataFrame, hot: DataFrame) -> DataFrame:
+def assign_chunks(df: DataFrame, hot: DataFrame, broadcast: bool = True) -> DataFrame:
     """``df`` plus ``_sk`` (null-safe session key) and ``_chunk``: NULL for
     rows of ordinary sessions, else the row's time slice of its hot session
     (rows without time last). Chunks follow the session order."""
-    # ``hot`` holds at most total_rows / max_rows rows (one per hot session).
+    # ``hot`` holds at most total_rows / max_rows rows (one per hot session);
+    # callers pass ``broadcast`` from its counted size.
     x = df.withColumn("_sk", _session_key())
-    x = x.join(F.broadcast(hot), x["_sk"] == hot["_hsk"], "left")
+    x = x.join(F.broadcast(hot) if broadcast else hot, x["_sk"] == hot["_hsk"], "left")
     chunk = F.when(F.col("_hsk").isNull(), F.lit(None).cast("long")).when(
         F.col("event_time").isNull(), F.lit(_NULL_TIME_CHUNK)).otherwise(
         F.floor((_micros(F.col("event_time")) - F.col("_lo")) / F.col("_width")).cast("long"))
     return x.withColumn("_chunk", chunk).drop("_hsk", "_lo", "_width")
 
 
-def _chunked(df: DataFrame, hot: DataFrame) -> DataFrame:
-    x = assign_chunks(df, hot)
+def _chunked(df: DataFrame, hot: DataFrame, broadcast: bool = True) -> DataFrame:
+    x = assign_chunks(df, hot, broadcast)
 
     w = Window.partitionBy("_sk", "_chunk").orderBy(*_order())
     local = x.select(

@@ -23,6 +23,8 @@ def test_chunked_equals_plain_on_driver_tables(spark):
     assert hot.count() > 10
     chunked = sessions._chunked(e, hot)
     assert _rows(chunked) == _rows(plain)
+    # the same through a shuffle join when the hot table is too large to broadcast
+    assert _rows(sessions._chunked(e, hot, broadcast=False)) == _rows(plain)
     # and the public entry point picks the chunked path for a low threshold
     assert _rows(sessions.with_session_windows(e, max_rows=5)) == _rows(plain)
 
