@@ -22,14 +22,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--landing", required=True, help="folder the JSON files land in")
     ap.add_argument("--load-ts", default=None, help="load stamp (default: now, UTC)")
     ap.add_argument("--no-prune", action="store_true", help="window all sessions")
+    ap.add_argument("--max-files-per-trigger", type=int, default=None,
+                    help="cut a backlog of files into micro-batches of this many files")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     if args.command == "build":
-        counts = refresh.initial_build(spark, args.root, args.landing, args.load_ts)
+        counts = refresh.initial_build(spark, args.root, args.landing, args.load_ts,
+                                       args.max_files_per_trigger)
     else:
         counts = refresh.run_increment(spark, args.root, args.landing, args.load_ts,
-                                       prune=not args.no_prune)
+                                       prune=not args.no_prune,
+                                       max_files_per_trigger=args.max_files_per_trigger)
     print(json.dumps(counts))
 
 

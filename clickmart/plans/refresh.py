@@ -46,18 +46,22 @@ def _checkpoint(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/{name}"
 
 
-def load_bronze(spark: SparkSession, root: str, landing: str, load_ts=None) -> dict[str, int]:
-    """Files -> raw -> bronze, each exactly once."""
-    n_raw = ingest_files(spark, landing, table_path(root, RAW), _checkpoint(root, "ingest"))
+def load_bronze(spark: SparkSession, root: str, landing: str, load_ts=None,
+                max_files_per_trigger: int | None = None) -> dict[str, int]:
+    """Files -> raw -> bronze, each exactly once. ``max_files_per_trigger``
+    cuts a large backlog of files into several micro-batches."""
+    n_raw = ingest_files(spark, landing, table_path(root, RAW), _checkpoint(root, "ingest"),
+                         max_files_per_trigger)
     n_base = raw_to_base(spark, table_path(root, RAW), table_path(root, P.BASE),
                          _checkpoint(root, "raw_to_base"), load_ts,
                          layout=with_partition_column, partition_by=[PARTITION_COLUMN])
     return {"raw_rows": n_raw, "base_rows": n_base}
 
 
-def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None) -> dict[str, int]:
+def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None,
+                  max_files_per_trigger: int | None = None) -> dict[str, int]:
     load_ts = stamp(load_ts)
-    counts = load_bronze(spark, root, landing, load_ts)
+    counts = load_bronze(spark, root, landing, load_ts, max_files_per_trigger)
     build_silver(spark, root, load_ts)
     build_gold(spark, root)
     return counts
@@ -108,9 +112,9 @@ def refresh_gold(spark: SparkSession, root: str, prune: bool = True) -> None:
 
 
 def run_increment(spark: SparkSession, root: str, landing: str, load_ts=None,
-                  prune: bool = True) -> dict[str, int]:
+                  prune: bool = True, max_files_per_trigger: int | None = None) -> dict[str, int]:
     load_ts = stamp(load_ts)
-    counts = load_bronze(spark, root, landing, load_ts)
+    counts = load_bronze(spark, root, landing, load_ts, max_files_per_trigger)
     if counts["base_rows"] == 0:  # nothing new: the later steps do not run
         return {**counts, "refreshed": 0}
     refresh_silver(spark, root, load_ts)

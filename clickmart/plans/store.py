@@ -43,16 +43,21 @@ def _jvm_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def snapshot_versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Finished snapshot versions of a table (listing only, no data read)."""
+def snapshot_versions(spark: SparkSession, root: str, name: str,
+                      finished_only: bool = True) -> list[int]:
+    """Snapshot versions of a table (listing only, no data read): finished
+    ones (with ``_SUCCESS``) by default, else every version folder."""
     fs, p, jvm = _jvm_fs(spark, table_path(root, name))
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         leaf = st.getPath().getName()
-        if leaf.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(leaf[2:]))
+        if not leaf.startswith("v="):
+            continue
+        if finished_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
+        out.append(int(leaf[2:]))
     return sorted(out)
 
 
@@ -87,7 +92,9 @@ def write_table(df: DataFrame, root: str, name: str, mode: str) -> None:
         df = with_partition_column(df)
     path = table_path(root, name)
     if name in SNAPSHOT:
-        versions = snapshot_versions(df.sparkSession, root, name)
+        # number past every folder, finished or not: a write that died
+        # half-way leaves its folder behind, unread and never reused
+        versions = snapshot_versions(df.sparkSession, root, name, finished_only=False)
         nxt = (versions[-1] + 1) if versions else 0
         _ordered(df, name).write.mode("errorifexists").parquet(f"{path}/v={nxt}")
         return

@@ -72,3 +72,28 @@ def test_continuous_ingest_shares_the_file_log(spark):
     assert spark.read.parquet(raw).count() == 1
     _write(spark, src, "0_2024-01-01_2", [event("b", "s1", "2024-01-01 02:00:00")])
     assert ingest_files(spark, src, raw, f"{root}/ck") == 1  # only the new file
+
+
+def test_snapshot_versions_skip_unfinished_folders(spark):
+    from clickmart.plans import store
+
+    root = scratch_path(spark, "test-snap")
+    dev = spark.createDataFrame([("d1", "m", "f", "iOS", "1", "o", None)],
+                                "device_id string, device_type string, device_family string, "
+                                "platform string, os_version string, os_name string, load_timestamp timestamp_ntz")
+    store.write_table(dev, root, "dim_devices", "append")
+    # a writer that died half-way: folder without _SUCCESS
+    dev.write.parquet(f"{root}/dim_devices/v=1/_temporary_dead")
+    assert store.snapshot_versions(spark, root, "dim_devices") == [0]
+    store.write_table(dev.withColumn("os_name", F.lit("new")), root, "dim_devices", "append")
+    assert store.snapshot_versions(spark, root, "dim_devices") == [0, 2]
+    assert store.read_table(spark, root, "dim_devices").first()["os_name"] == "new"
+
+
+def test_backlog_in_several_micro_batches(spark):
+    root = scratch_path(spark, "test-backlog")
+    src, raw = f"{root}/landing", f"{root}/raw"
+    for h in range(3):
+        _write(spark, src, f"0_2024-01-01_{h}", [event(f"e{h}", "s1", f"2024-01-01 0{h}:00:00")])
+    assert ingest_files(spark, src, raw, f"{root}/ck", max_files_per_trigger=1) == 3
+    assert spark.read.parquet(raw).count() == 3
