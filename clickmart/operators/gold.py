@@ -11,12 +11,6 @@ from clickmart.operators import sessions
 from clickmart.operators.marks import PARTITION_COLUMN, above_mark, mark_of
 
 
-def session_order() -> list[Column]:
-    """Order of events inside a session: by time with NULL times last, ties
-    broken by ``event_uuid`` so every window sees the same total order."""
-    return [F.asc_nulls_last("event_time"), F.asc_nulls_last("event_uuid")]
-
-
 def enrich(fct: DataFrame, pages: DataFrame, devices: DataFrame) -> DataFrame:
     """Fact left-joined to its page row (by ``event_uuid``) and to its device
     profile (by ``device_id``; NULL ids never match). An event present k

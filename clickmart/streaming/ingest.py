@@ -26,7 +26,10 @@ from clickmart.sources.raw import file_path_column
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None) -> int:
     """Append ``df``'s new input to parquet at ``path`` and stop; returns the
-    number of input rows processed by this run."""
+    number of input rows processed by this run (summed over the progress
+    entries the query keeps, ``spark.sql.streaming.numRecentProgressUpdates``:
+    exact unless a run spans more micro-batches; zero exactly when nothing
+    was new)."""
     writer = df.writeStream.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
