@@ -159,7 +159,11 @@ def all_event_counts(fct: DataFrame, devices: DataFrame) -> DataFrame:
         F.max("extract_timestamp").alias("ext_max"),
     )
     d = devices.select(F.col("device_id").alias("d_device_id"), "device_type", "platform")
-    joined = per_device.join(d, F.col("device_id") == F.col("d_device_id"), "left")
+    # Partition the (small, pre-aggregated) rows by session: the regrouping
+    # below and the join with the page-view counts (also by session) then
+    # need no further shuffle.
+    joined = (per_device.join(d, F.col("device_id") == F.col("d_device_id"), "left")
+              .repartition("session_id"))
     agg = joined.groupBy("session_id", "d_device_id", "device_type", "platform").agg(
         F.sum("n").alias("total_events"),
         F.min("t_min").alias("session_start_time"),

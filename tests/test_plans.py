@@ -65,3 +65,13 @@ def test_strict_and_lenient_extraction(spark):
     row = bronze(bad, "2026-01-01 00:00:00", strict=False).first()
     assert row["event_time"] is None and row["event_uuid"] == "a"
     assert row["extract_timestamp"] is not None
+
+
+def test_journey_shares_the_session_partitioning(spark, stored):
+    from clickmart.operators import gold
+
+    t = {n: store.read_table(spark, stored, n) for n in (P.FACT, P.PAGES, P.DEVICES)}
+    plan = _plan(gold.session_journey(t[P.FACT], t[P.PAGES], t[P.DEVICES]))
+    # (session, device) pre-aggregation, session repartition, page views:
+    # the regrouping and the final join add no shuffle of their own
+    assert plan.count("Exchange hashpartitioning") == 3
