@@ -20,7 +20,7 @@ from clickmart.operators import gold, marks, merge, silver
 from clickmart.operators.bronze import bronze, extract
 from clickmart.plans import pipeline as P
 from clickmart.session import checkpoint_root, scratch_path
-from clickmart.sources.driver_tables import raw_from_tables, raw_json_lines, write_json_lines
+from clickmart.sources.driver_tables import raw_from_tables, raw_json_lines, write_json_lines  # noqa: F401
 from clickmart.sources.raw import list_files, listing_audit, load_audit, read_raw
 from clickmart.streaming.ingest import ingest_files, raw_to_base
 

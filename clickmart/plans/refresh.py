@@ -16,7 +16,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.operators import merge, silver
+from clickmart.operators import marks, merge, silver
 from clickmart.plans import pipeline as P
 from clickmart.plans.store import (
     PARTITION_COLUMN,
@@ -120,3 +120,9 @@ def run_increment(spark: SparkSession, root: str, landing: str, load_ts=None,
     refresh_silver(spark, root, load_ts)
     refresh_gold(spark, root, prune)
     return {**counts, "refreshed": 1}
+
+
+def late_report(spark: SparkSession, root: str) -> DataFrame:
+    """Bronze rows that never reached the fact (late or hour-less files)."""
+    return marks.late_rows(read_table(spark, root, P.BASE), read_table(spark, root, P.FACT)) \
+        .drop(PARTITION_COLUMN)
