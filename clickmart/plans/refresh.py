@@ -16,7 +16,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmart import schemas as S
 from clickmart.operators import marks, merge, silver
+from clickmart.sources.raw import list_files, listing_audit
 from clickmart.plans import pipeline as P
 from clickmart.plans.store import (
     PARTITION_COLUMN,
@@ -126,3 +128,10 @@ def late_report(spark: SparkSession, root: str) -> DataFrame:
     """Bronze rows that never reached the fact (late or hour-less files)."""
     return marks.late_rows(read_table(spark, root, P.BASE), read_table(spark, root, P.FACT)) \
         .drop(PARTITION_COLUMN)
+
+
+def landing_audit(spark: SparkSession, root: str, landing: str) -> DataFrame:
+    """Every landed file against the raw table: rows loaded per file, files
+    never loaded (``n_rows`` 0), loaded names no longer listed."""
+    raw = spark.read.schema(S.RAW_SCHEMA).parquet(table_path(root, RAW))
+    return listing_audit(raw, list_files(spark, landing))

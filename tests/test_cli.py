@@ -27,6 +27,9 @@ def test_build_refresh_and_late_report(spark, capsys):
     refreshed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert built["base_rows"] + refreshed["base_rows"] == 1000
     assert refreshed["refreshed"] == 1
+    audit = R.landing_audit(spark, tables, landing)
+    assert audit.where(~F.col("listed") | (F.col("n_rows") == 0)).count() == 0
+    assert audit.agg(F.sum("n_rows")).first()[0] == 1000
     late = R.late_report(spark, tables)
     assert late.count() == 19  # as the late_rows query (oracle-checked)
     assert late.where(F.hour("extract_timestamp") != 23).count() == 0
