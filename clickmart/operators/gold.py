@@ -86,6 +86,21 @@ def touched_sessions(fct: DataFrame, mark: Column) -> DataFrame:
     return rows_of(fct)
 
 
+def pages_for(pages: DataFrame, fct_rows: DataFrame) -> DataFrame:
+    """On a day-partitioned page table, only the days that can hold a page
+    row of ``fct_rows``: a narrow scan (uuid, day) finds the earliest day of
+    any matching page row, the wide scan then skips earlier days. Exact:
+    every matching row is on that day or later (or has no day)."""
+    if PARTITION_COLUMN not in pages.columns:
+        return pages
+    day = F.col(PARTITION_COLUMN)
+    keys = fct_rows.select(F.col("event_uuid").alias("k_uuid"))
+    narrow = pages.select("event_uuid", PARTITION_COLUMN)
+    first_day = narrow.join(keys, narrow["event_uuid"] == keys["k_uuid"], "left_semi").select(
+        F.min(day).alias("first_day")).scalar()
+    return pages.where((day >= first_day) | day.isNull())
+
+
 def all_events_increment(fct: DataFrame, pages: DataFrame, devices: DataFrame,
                          target: DataFrame, prune: bool = True) -> DataFrame:
     """Rows to append to ``all_events``: the full computation over the whole
@@ -98,8 +113,10 @@ def all_events_increment(fct: DataFrame, pages: DataFrame, devices: DataFrame,
     the output is the same, the window sees far fewer rows.
     """
     mark = mark_of(target, default=S.GOLD_DEFAULT_MARK)
-    source = touched_sessions(fct, mark) if prune else fct
-    return above_mark(all_events(source, pages, devices), mark)
+    if not prune:
+        return above_mark(all_events(fct, pages, devices), mark)
+    source = touched_sessions(fct, mark)
+    return above_mark(all_events(source, pages_for(pages, source), devices), mark)
 
 
 def page_path(title: Column) -> Column:
@@ -193,4 +210,5 @@ def session_journey_increment(fct: DataFrame, pages: DataFrame, devices: DataFra
     filtered before grouping, so a session spanning two loads gets two
     partial rows."""
     mark = mark_of(target, default=S.GOLD_DEFAULT_MARK)
-    return session_journey(above_mark(fct, mark), pages, devices)
+    new_rows = above_mark(fct, mark)
+    return session_journey(new_rows, pages_for(pages, new_rows), devices)
