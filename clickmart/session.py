@@ -42,13 +42,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir) as
-    the cluster configures it; only when neither is set (local tests) a
-    private folder is created and registered.
+    the cluster configures it; only when neither is set and Spark runs in
+    local mode (tests) a private folder is created and registered.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # a folder on the driver's disk is invisible to executors
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="clickmart-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
         spark.sparkContext.setCheckpointDir(root)
