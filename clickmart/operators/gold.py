@@ -13,16 +13,24 @@ from clickmart.operators.marks import PARTITION_COLUMN, above_mark, mark_of
 
 def enrich(fct: DataFrame, pages: DataFrame, devices: DataFrame) -> DataFrame:
     """Fact left-joined to its page row (by ``event_uuid``) and to its device
-    profile (by ``device_id``; NULL ids never match). An event present k
-    times in both fact and pages yields k*k rows, as the plain join does."""
+    profile (by ``device_id``). An event present k times in both fact and
+    pages yields k*k rows, as the plain join does.
+
+    A NULL ``device_id`` never matches, yet a plain shuffle join would send
+    all such rows -- a likely hot key -- to one partition. The join key
+    replaces NULL by a per-event salt and the condition requires a non-NULL
+    id, so those rows spread over all partitions and still match nothing."""
     p = pages.select("event_uuid", "page_url", "page_counter", "page_title",
                      "parent_page_title", "element_text", "element_tag", "element_url")
-    d = devices.select(F.col("device_id").alias("d_device_id"), "device_type", "platform")
+    d = devices.where(F.col("device_id").isNotNull()).select(
+        F.col("device_id").alias("d_device_id"), "device_type", "platform")
     e = fct.select("event_uuid", "session_id", "device_id", "event_type", "event_time",
                    "extract_timestamp")
-    return (e.join(p, "event_uuid", "left")
-            .join(d, F.col("device_id") == F.col("d_device_id"), "left")
-            .drop("d_device_id"))
+    dev = F.col("device_id")
+    salted = F.coalesce(dev, F.concat(F.lit("\u0000"), F.xxhash64("event_uuid").cast("string")))
+    with_page = e.join(p, "event_uuid", "left").withColumn("_dkey", salted)
+    cond = (F.col("_dkey") == F.col("d_device_id")) & dev.isNotNull()
+    return with_page.join(d, cond, "left").drop("d_device_id", "_dkey")
 
 
 def with_session_windows(enriched: DataFrame, keys: DataFrame | None = None,
