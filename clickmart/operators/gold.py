@@ -8,29 +8,26 @@ from pyspark.sql import functions as F
 from clickmart import schemas as S
 from clickmart.functions.timefn import whole_second_diff
 from clickmart.operators import sessions
+from clickmart.operators.keys import join_spreading_nulls
 from clickmart.operators.marks import PARTITION_COLUMN, above_mark, mark_of
 
 
 def enrich(fct: DataFrame, pages: DataFrame, devices: DataFrame) -> DataFrame:
     """Fact left-joined to its page row (by ``event_uuid``) and to its device
     profile (by ``device_id``). An event present k times in both fact and
-    pages yields k*k rows, as the plain join does.
-
-    A NULL ``device_id`` never matches, yet a plain shuffle join would send
-    all such rows -- a likely hot key -- to one partition. The join key
-    replaces NULL by a per-event salt and the condition requires a non-NULL
-    id, so those rows spread over all partitions and still match nothing."""
-    p = pages.select("event_uuid", "page_url", "page_counter", "page_title",
-                     "parent_page_title", "element_text", "element_tag", "element_url")
-    d = devices.where(F.col("device_id").isNotNull()).select(
-        F.col("device_id").alias("d_device_id"), "device_type", "platform")
+    pages yields k*k rows, as the plain join does. NULL keys match nothing
+    and are spread rather than sent to one partition (``keys``)."""
+    p = pages.select(F.col("event_uuid").alias("p_event_uuid"), "page_url", "page_counter",
+                     "page_title", "parent_page_title", "element_text", "element_tag",
+                     "element_url")
+    d = devices.select(F.col("device_id").alias("d_device_id"), "device_type", "platform")
     e = fct.select("event_uuid", "session_id", "device_id", "event_type", "event_time",
                    "extract_timestamp")
-    dev = F.col("device_id")
-    salted = F.coalesce(dev, F.concat(F.lit("\u0000"), F.xxhash64("event_uuid").cast("string")))
-    with_page = e.join(p, "event_uuid", "left").withColumn("_dkey", salted)
-    cond = (F.col("_dkey") == F.col("d_device_id")) & dev.isNotNull()
-    return with_page.join(d, cond, "left").drop("d_device_id", "_dkey")
+    with_page = join_spreading_nulls(e, p, "event_uuid", "p_event_uuid",
+                                     salt=["session_id", "event_time", "device_id"])
+    with_device = join_spreading_nulls(with_page, d, "device_id", "d_device_id",
+                                       salt=["event_uuid", "session_id", "event_time"])
+    return with_device.drop("p_event_uuid", "d_device_id")
 
 
 def with_session_windows(enriched: DataFrame, keys: DataFrame | None = None,
@@ -149,8 +146,9 @@ def page_view_counts(fct: DataFrame, pages: DataFrame, max_rows: int | None = No
     """
     views = fct.where(F.col("event_type") == F.lit(S.PAGE_VIEWED)).select(
         "event_uuid", "session_id", "event_time")
-    p = pages.select("event_uuid", "page_title")
-    joined = views.join(p, "event_uuid", "left")
+    p = pages.select(F.col("event_uuid").alias("p_event_uuid"), "page_title")
+    joined = join_spreading_nulls(views, p, "event_uuid", "p_event_uuid",
+                                  salt=["session_id", "event_time"]).drop("p_event_uuid")
     if max_rows is None:
         max_rows = sessions.configured_max_rows(fct)
     hot = sessions.hot_sessions(views.select("session_id", "event_time"), max_rows)
@@ -187,8 +185,8 @@ def all_event_counts(fct: DataFrame, devices: DataFrame) -> DataFrame:
     # Partition the (small, pre-aggregated) rows by session: the regrouping
     # below and the join with the page-view counts (also by session) then
     # need no further shuffle.
-    joined = (per_device.join(d, F.col("device_id") == F.col("d_device_id"), "left")
-              .repartition("session_id"))
+    joined = join_spreading_nulls(per_device, d, "device_id", "d_device_id",
+                                  salt=["session_id"]).repartition("session_id")
     agg = joined.groupBy("session_id", "d_device_id", "device_type", "platform").agg(
         F.sum("n").alias("total_events"),
         F.min("t_min").alias("session_start_time"),

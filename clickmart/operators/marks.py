@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickmart.operators.keys import join_spreading_nulls
+
 MARK_COLUMN = "extract_timestamp"
 # Day of MARK_COLUMN; stored tables are partitioned by it (plans.store).
 PARTITION_COLUMN = "extract_date"
@@ -44,4 +46,6 @@ def high_water_marks(targets: dict[str, DataFrame], column: str = MARK_COLUMN) -
 def late_rows(base: DataFrame, fct: DataFrame) -> DataFrame:
     """Base rows that never reached the fact: a second file of an already
     loaded hour, an older hour arriving late, or a file name without hour."""
-    return base.join(fct.select("event_uuid"), "event_uuid", "left_anti")
+    f = fct.select(F.col("event_uuid").alias("f_event_uuid"))
+    return join_spreading_nulls(base, f, "event_uuid", "f_event_uuid",
+                                salt=["session_id", "event_time", "load_timestamp"], how="left_anti")

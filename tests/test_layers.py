@@ -138,3 +138,15 @@ def test_page_path_skips_null_titles(spark):
     t = P.full_build(raw_df(spark, rows), LOAD)
     pv = gold.page_view_counts(t[P.FACT], t[P.PAGES]).first()
     assert (pv["page_path"], pv["total_pages_viewed"]) == ("x, y", 3)
+
+
+def test_null_keys_spread_but_never_match(spark):
+    from clickmart.operators.keys import join_spreading_nulls
+
+    left = spark.createDataFrame([("a", "s1"), (None, "s1"), (None, "s2"), ("b", "s2")], "k string, s string")
+    right = spark.createDataFrame([("a", 1), (None, 2), ("\u0000x", 3)], "rk string, v int")
+    got = sorted(((r["k"], r["v"]) for r in join_spreading_nulls(left, right, "k", "rk", ["s"]).collect()),
+                 key=str)
+    assert got == sorted([("a", 1), (None, None), (None, None), ("b", None)], key=str)
+    anti = join_spreading_nulls(left, right, "k", "rk", ["s"], how="left_anti").collect()
+    assert sorted(str(r["k"]) for r in anti) == ["None", "None", "b"]
