@@ -36,3 +36,24 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 1000
     assert df.columns[:3] == ["event_uuid", "session_id", "device_id"]
+
+
+HOT_KEYS = ["all_events", "session_journey", "session_page_path", "all_events_incr",
+            "session_journey_incr"]
+
+
+@pytest.mark.parametrize("key", HOT_KEYS)
+def test_hot_session_path_matches_oracle(spark, con, key):
+    """With a tiny per-task limit nearly every session takes the chunked
+    (hot-session) path; results must not change."""
+    from clickmart.operators.sessions import MAX_ROWS_CONF
+
+    spark.conf.set(MAX_ROWS_CONF, "3")
+    try:
+        df = E.queries()[key](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.unset(MAX_ROWS_CONF)
+    res = con.execute(E.oracle_sql()[key])
+    ocols = [d[0] for d in res.description]
+    assert digest(df.columns, rows)[0] == digest(ocols, res.fetchall())[0]
