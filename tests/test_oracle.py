@@ -57,3 +57,25 @@ def test_hot_session_path_matches_oracle(spark, con, key):
     res = con.execute(E.oracle_sql()[key])
     ocols = [d[0] for d in res.description]
     assert digest(df.columns, rows)[0] == digest(ocols, res.fetchall())[0]
+
+
+SMJ_KEYS = ["all_events", "session_journey", "devices_merge", "late_rows", "all_events_incr"]
+
+
+@pytest.mark.parametrize("key", SMJ_KEYS)
+def test_shuffle_join_plans_match_oracle(spark, con, key):
+    """Broadcast off: the sort-merge plans a cluster uses for large tables
+    (including the NULL-key spreading joins) give the same results."""
+    confs = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for c in confs:
+        spark.conf.set(c, "-1")
+    try:
+        df = E.queries()[key](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+        assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c in confs:
+            spark.conf.unset(c)
+    res = con.execute(E.oracle_sql()[key])
+    ocols = [d[0] for d in res.description]
+    assert digest(df.columns, rows)[0] == digest(ocols, res.fetchall())[0]
