@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontamination, quality_rank, quality_rules, secret_scan, token_counts, token_file,
-               url_filter)
+from . import (decontamination, ngram_join, pii, quality_rank, quality_rules, secret_scan,
+               sentence_pieces, token_counts, token_file, url_filter)
 from .common import stored, table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+#: Stands for the secret that an owner of real data keeps.
+PII_KEY = "surrogate-key"
 
 
 def tokenizer_path(name: str) -> str:
@@ -31,6 +34,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "contaminated")
 
 
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode all documents: ids and decoded text, as lengths and checksums."""
+    model = tokenizer_path(PIECE_MODEL)
+    ids = sentence_pieces.encode(table(spark, sf_dir, "documents"), model)
+    return sentence_pieces.digest(ids, model)
+
+
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents' ids as directly addressable codes, then read them back."""
     path = scratch_path(spark, "token-file")
@@ -38,6 +48,11 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read(spark, path, with_ids=False)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "class_id", "n_links")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -49,6 +64,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(stored(token_counts.histogram(counted), "lengths"))
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_surrogates(table(spark, sf_dir, "documents"), PII_KEY) \
+        .select("doc_id", "n_entities", "text")
+
+
 def op8_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rank.classify(table(spark, sf_dir, "documents"),
                                  table(spark, sf_dir, "labels"))
@@ -77,6 +97,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op3_token_file, op5_url_filter, op6_token_counts, op8_quality_rank, op9_secret_scan,
+    op1_decontamination, op2_sentence_pieces, op3_token_file, op4_ngram_join, op5_url_filter,
+    op6_token_counts, op7_pii_surrogates, op8_quality_rank, op9_secret_scan,
     op10_quality_rules)}
 ORACLES: dict[str, str] = {}
