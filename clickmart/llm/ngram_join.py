@@ -43,7 +43,7 @@ from .common import blobs, only, semi_filter, stored
 
 SKETCH_BITS = 20          # slots of the count sketch: bounds what is collected and broadcast
 LIVE_SLOTS = 1 << 22      # bounds the filter of shingles that two classes share
-STEPS = (8, 16, 32, 64)   # MinHash values compared before each decision
+STEPS = (16, 32, 64)   # MinHash values compared before each decision
 
 
 @dataclass(frozen=True)

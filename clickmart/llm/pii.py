@@ -41,7 +41,7 @@ KINDS = (
     ("iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Z0-9])"),
     ("card", r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}(?![0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("phone", r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
+    ("phone", r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
               r"[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"),
     ("name", rf"(?<![\p{{L}}])(?:{_TITLE} {_NAME}(?: {_NAME})?|{_GIVEN} {_NAME})"),
 )

@@ -1,0 +1,518 @@
+"""Each operator against a brute-force version, on the driver's small tables and odd rows."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickmart.llm import (decontamination, ngram_join, pii, quality_rank, quality_rules,
+                           secret_scan, sentence_pieces, token_counts, token_file, url_filter)
+from clickmart.llm import queries as Q
+from clickmart.session import scratch_path
+
+from . import brute
+
+SF = "/root/testdata/sf0.001"
+ODD = ["", None, " \n\t ", "one", "a b c", "É" * 50, "x" * 30_000, "word " * 8_000, "\x00\x1f\x85",
+       "Ünïcode straße ΑΒΓ 漢字", "a  b   c    ", "same text here " * 9, "same text here " * 9]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Odd texts, a null and a repeated key, repeated rows, and columns with clashing names."""
+    rows = [(i if i != 3 else None, t, "kept", i, "b") for i, t in enumerate(ODD)]
+    rows += [(0, "second text of one key", "kept", 1, "b"), (5, ODD[5], "kept", 5, "b")]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, kept string, n_words int, spans string")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], "doc_id long, text string")
+
+
+def odd_rows(odd):
+    return [(r["doc_id"], r["text"]) for r in odd.collect()]
+
+
+# 1 ---------------------------------------------------------------------------
+
+def digested(df):
+    return df.select("doc_id", "n_words", "n_hit", "n_items",
+                     F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("s"),
+                     "contaminated")
+
+
+def test_decontamination(spark, docs, rows):
+    test = spark.read.parquet(f"{SF}/benchmark.parquet")
+    want = brute.contamination(rows, [tuple(r) for r in test.select("item_id", "text").collect()])
+    got = {r[0]: tuple(r[1:]) for r in Q.op1_decontamination(spark, SF).collect()}
+    assert got == want
+    assert any(x[-1] for x in want.values())
+
+
+def test_decontamination_odd_rows(spark, odd, none):
+    items = [(1, "same TEXT here same"), (2, "one"), (3, None), (4, "..."), (None, "a b"),
+             (5, "b C"), (5, "xyz"), (6, "text here same text here same text here same text here")]
+    test = spark.createDataFrame([(*i, "x") for i in items],
+                                 "item_id long, text string, doc_id string")
+    want = [(d, *brute.contamination([(d, t)], [i for i in items if i[0] is not None])[d])
+            for d, t in odd_rows(odd)]
+    got = [tuple(r) for r in digested(decontamination.contamination(odd, test)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    kept = decontamination.remove_contaminated(odd, test)
+    assert kept.columns == odd.columns
+    assert kept.count() == sum(not w[-1] for w in want)
+    assert decontamination.contamination(none, test).count() == 0
+    assert digested(decontamination.contamination(odd, test.limit(0))) \
+        .where("contaminated").count() == 0
+
+
+def test_proximity(spark):
+    docs = spark.createDataFrame([(1, "a x b y c"), (2, "c b a"), (3, "a z z z z b c"), (4, "a b")],
+                                 "doc_id long, text string")
+    test = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    postings = decontamination.index(docs, decontamination.test_items(test))
+    q = spark.createDataFrame([(7, "a"), (7, "B"), (7, "c")], "query_id long, word string")
+    got = {(r["doc_id"], r["pos"]) for r in
+           decontamination.proximity_matches(postings, q, 4).collect()}
+    rare = min((sum(t.split().count(w) for t in ("a x b y c", "c b a", "a z z z z b c", "a b")), w)
+               for w in "abc")[1]
+    assert rare == "c"
+    assert got == {(2, 0)}
+    assert {r["doc_id"] for r in decontamination.proximity_matches(postings, q, 5).collect()} \
+        == {1, 2}
+
+
+# 2 ---------------------------------------------------------------------------
+
+def library():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=Q.tokenizer_path(Q.PIECE_MODEL))
+
+
+def test_pieces_equal_the_library(spark, rows):
+    lib = library()
+    got = {r[0]: r[1:] for r in Q.op2_sentence_pieces(spark, SF).collect()}
+    for doc_id, text in rows:
+        ids = np.array(lib.encode(text), "<u4").tobytes()
+        assert got[doc_id] == (len(ids) // 4, zlib.crc32(ids), len(text), zlib.crc32(text.encode()))
+
+
+def test_pieces_over_cuts(spark):
+    rnd = random.Random(3)
+    bits = ["the", "ing", " ", "  ", "é", "漢", "tion", "a", "0", "\n", "über", "-", "internat"]
+    texts = ["".join(rnd.choices(bits, k=rnd.randint(1, 60))) for _ in range(60)]
+    texts += [" " * 50, "a" * 90, "the " * 40, *[t or "" for t in ODD if not t or len(t) < 99]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lib, model = library(), Q.tokenizer_path(Q.PIECE_MODEL)
+    for size in (7, 19):
+        got = sentence_pieces.encode(docs, model, size)
+        for r in got.collect():
+            assert np.frombuffer(r["ids"], "<u4").tolist() == lib.encode(texts[r["doc_id"]])
+    back = {r[0]: r[1] for r in sentence_pieces.decode(got, model).collect()}
+    assert back == {i: t for i, t in enumerate(texts)}
+
+
+def test_pieces_odd_rows(odd, none):
+    model, lib = Q.tokenizer_path(Q.PIECE_MODEL), library()
+    got = sentence_pieces.encode(odd, model, 1000)
+    want = [(d, np.array(lib.encode(t or ""), "<u4").tobytes()) for d, t in odd_rows(odd)]
+    assert sorted(map(tuple, got.collect()), key=repr) \
+        == sorted(((d, bytearray(b)) for d, b in want), key=repr)
+    assert sentence_pieces.encode(none, model).count() == 0
+
+
+def test_scan_is_associative():
+    rnd = np.random.default_rng(0)
+    a, b, c = [np.where(rnd.random((4, 4)) < 0.5, 0.0, -np.inf) for _ in range(3)]
+    left = sentence_pieces.times(sentence_pieces.times(a, b), c)
+    assert (left == sentence_pieces.times(a, sentence_pieces.times(b, c))).all()
+
+
+# 3, 6 ------------------------------------------------------------------------
+
+def encoded(text):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(Q.tokenizer_path(Q.WORD_TOKENIZER))
+    return t.encode(text or "", add_special_tokens=False).ids
+
+
+def test_token_file(spark, rows):
+    got = {r[0]: tuple(r[1:]) for r in Q.op3_token_file(spark, SF).collect()}
+    start = 0
+    for doc_id, text in sorted(rows):
+        ids = [*encoded(text), 1]
+        assert got[doc_id] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+def test_token_file_odd_rows_and_random_access(spark, odd, none):
+    path = scratch_path(spark, "odd-tokens")
+    token_file.write(odd, path, Q.tokenizer_path(Q.WORD_TOKENIZER), segment_ids=100)
+    got = token_file.read(spark, path).orderBy("start").collect()
+    want = sorted(repr((d, [*encoded(t), 1])) for d, t in odd_rows(odd))
+    assert sorted(repr((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist())) for r in got) == want
+    ids = [r["doc_id"] for r in got]
+    assert ids[0] is None and ids[1:] == sorted(ids[1:])
+    stream = [i for r in got for i in np.frombuffer(r["ids"], "<u4").tolist()]
+    asked = [*range(0, len(stream), 997), len(stream) - 1, len(stream)]
+    at = token_file.tokens_at(spark, path, spark.createDataFrame([(a,) for a in asked],
+                                                                 "position long"))
+    assert {r[0]: r[1] for r in at.collect()} == {a: stream[a] for a in asked[:-1]}
+    empty = scratch_path(spark, "no-tokens")
+    token_file.write(none, empty, Q.tokenizer_path(Q.WORD_TOKENIZER))
+    assert token_file.read(spark, empty).count() == 0
+
+
+def test_codes_round_trip():
+    rnd = np.random.default_rng(1)
+    for n in (0, 1, 511, 512, 513, 5000):
+        ids = (rnd.integers(0, 1 << 32, n) >> rnd.integers(0, 32, n)).astype("<u4")
+        seg = token_file.pack(ids)
+        assert (token_file.unpack(seg["levels"], seg["bitmaps"]) == ids).all()
+        for i in range(0, n, 37):
+            assert token_file.access(seg, i) == ids[i]
+
+
+def test_token_counts(spark, rows):
+    lengths = [len(encoded(t)) for _, t in rows]
+    sums = Q.op6_token_counts(spark, SF)
+    got = {r["context_limit"]: r for r in sums.collect()}
+    assert set(got) == set(lengths)
+    for limit, r in got.items():
+        assert r["n_docs"] == lengths.count(limit)
+        assert r["docs_over"] == sum(n > limit for n in lengths)
+        assert r["tokens_over"] == sum(n for n in lengths if n > limit)
+        assert (r["total_docs"], r["total_tokens"]) == (len(lengths), sum(lengths))
+        assert r["truncated_tokens"] == sum(min(n, limit) for n in lengths)
+    for limit in (0, 100, 1000, 10 ** 6):
+        r = token_counts.at_limit(sums, limit).first()
+        assert r["truncated_tokens"] == sum(min(n, limit) for n in lengths)
+        assert r["docs_over"] == sum(n > limit for n in lengths)
+    assert token_counts.quantile(sums, 0.5).first()[0] == sorted(lengths)[(len(lengths) + 1) // 2 - 1]
+
+
+def test_token_counts_odd_rows(odd, none):
+    path = Q.tokenizer_path(Q.WORD_TOKENIZER)
+    got = token_counts.lengths(odd, path).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(
+        repr((d, len(encoded(t)))) for d, t in odd_rows(odd))
+    assert token_counts.suffix_sums(token_counts.histogram(
+        token_counts.lengths(none, path))).count() == 0
+
+
+# 4 ---------------------------------------------------------------------------
+
+def test_ngram_join(spark, rows):
+    got = sorted(map(tuple, Q.op4_ngram_join(spark, SF).collect()))
+    assert got == sorted(brute.near_duplicates(rows))
+    assert any(x[2] for x in got)
+
+
+def test_ngram_join_of_a_large_group(spark):
+    """Near copies in blocks smaller than the group; chains; copies; short and odd texts."""
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(400)]
+    docs = []
+    for g in range(3):
+        base = rnd.choices(vocab, k=60)
+        for _ in range(60):
+            w = list(base)
+            for _ in range(rnd.randint(0, 2)):
+                w[rnd.randrange(60)] = rnd.choice(vocab)
+            docs.append(" ".join(w))
+    docs += [" ".join(rnd.choices(vocab, k=rnd.randint(1, 40))) for _ in range(60)]
+    docs += docs[:5] + ["A b", "a B!", "", None, "  "]
+    rows = [(i, t) for i, t in enumerate(docs)]
+    df = spark.createDataFrame([(i, t, 0, "z") for i, t in rows],
+                               "doc_id long, text string, key int, n string")
+    how = ngram_join.Join(list_block=16, part_block=8)
+    got = ngram_join.near_duplicates(df, how).select("doc_id", "class_id", "n_links")
+    want = [(d, d if not brute.shingles(t) else c, n)
+            for (d, c, n), (_, t) in zip(brute.near_duplicates(rows), rows, strict=True)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    kept = ngram_join.keep_one(df, how)
+    assert kept.columns == df.columns
+    assert {r["doc_id"] for r in kept.collect()} == {c for _, c, _ in want}
+
+
+def test_ngram_join_odd_rows(odd, none):
+    got = ngram_join.near_duplicates(odd).select("doc_id", "class_id", "n_links").collect()
+    assert len(got) == len(odd_rows(odd))
+    by = {r["doc_id"]: r for r in got}
+    assert (by[11]["class_id"], by[11]["n_links"], by[12]["class_id"]) == (11, 1, 11)
+    assert by[5]["n_links"] == 1
+    kept = ngram_join.keep_one(odd)
+    assert kept.count() == len(odd_rows(odd)) - 3  # also: a b c, twice
+    assert ngram_join.near_duplicates(none).count() == 0
+    assert ngram_join.keep_one(none).count() == 0
+
+
+def test_pruning_keeps_likely_pairs():
+    """At the stated tolerance, hardly any pair at the threshold is dropped."""
+    from math import comb
+
+    how = ngram_join.Join()
+    for k, low in zip(ngram_join.STEPS, ngram_join.needed(how), strict=True):
+        lost = sum(comb(k, m) * 0.8 ** m * 0.2 ** (k - m) for m in range(low))
+        assert lost < 1e-5
+    assert low >= k * 0.4
+
+
+# 5 ---------------------------------------------------------------------------
+
+def test_url_filter(spark):
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    judge = url_filter.Judge(url_filter.Settings())
+    got = Q.op5_url_filter(spark, SF).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        host, path = brute.url_parts(pages[r["page_id"]])
+        fits = [x for x in url_filter.RULES
+                if (host == x[0] or host.endswith("." + x[0])) and path.startswith(x[1])]
+        best = max(fits, key=lambda x: len(x[0] + x[1]), default=None)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, best and best[0] + best[1])
+        assert r["verdict"] == (best[2] if best else
+                                "block" if judge.score(host, path)[1] > 0 else "allow")
+
+
+def test_url_odd_rows(spark):
+    urls = [None, "", "no scheme/path", "http://", "http:///x?y", "HTTP://A.ORG", "a://b?c/d#e",
+            "http://WWW.CheapPills.net/buy#x", "https://example.org/es/1", "http://xorg/",
+            "http://org/", "x://y://z/w", "http://É.com/fr/ü", "http://casinowin.net/free-bets",
+            "http://citylibrary.net/books\n2", "http://a.com/de/"]
+    df = spark.createDataFrame([(i, u, "v") for i, u in enumerate(urls)],
+                               "page_id long, url string, host string")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(df).collect()}
+    for i, u in enumerate(urls):
+        assert (got[i]["host"], got[i]["path"]) == brute.url_parts(u), u
+    assert [got[i]["rule"] for i in (5, 8, 9, 10, 15)] == [
+        None, "example.org/es/", None, "org/", "com/de/"]
+    assert got[7]["words"][:3] == ["www", "cheap", "pills"]
+    assert [got[i]["verdict"] for i in (0, 7, 13, 14)] == ["allow", "block", "block", "allow"]
+    assert url_filter.judge_urls(df.limit(0)).count() == 0
+
+
+def test_segmentation_is_the_best_split():
+    seg = url_filter.Segmenter(url_filter.Settings())
+
+    def cost(part):
+        log = seg.log.get(part)
+        return log if log is not None else (
+            seg.how.unknown_start + seg.how.unknown_per_char * len(part))
+
+    for name in ("cheappills", "freebets", "thecasinowinx", "qzx", "newstoday"):
+        n = len(name)
+        best = max(sum(cost(p) for p in parts) for parts in (
+            [name[a:b] for a, b in zip([0, *cuts], [*cuts, n], strict=True)]
+            for m in range(1 << (n - 1))
+            for cuts in [[i + 1 for i in range(n - 1) if m >> i & 1]]))
+        assert sum(map(cost, seg.split(name))) == pytest.approx(best)
+
+
+# 7 ---------------------------------------------------------------------------
+
+TEXTS = ["Write to ann.lee@mail.example.com or ANN.LEE@mail.example.com, or bob@mail.example.com",
+         "Call +1 (487) 555-7209 or 1 487 555 7209 from 10.20.30.40.",
+         "Mr. Smith met John Smith and Mrs. Jones; MR no. Card 4026083977531332, 4026 0839 7753 1332.",
+         "Мария Иванова и Иван Петров", "nothing at all 12 34", None, "", "SSN 123-45-6789."]
+
+
+def test_surrogates(spark):
+    df = spark.createDataFrame([(i, t, 5, "k") for i, t in enumerate(TEXTS)]
+                               + [(0, TEXTS[0], 5, "k"), (None, TEXTS[1], 5, "k")],
+                               "doc_id long, text string, n_entities int, kind string")
+    got = pii.with_surrogates(df, "k1").collect()
+    assert len(got) == len(TEXTS) + 2
+    by = {r["doc_id"]: r for r in got}
+    assert [by[i]["n_entities"] for i in range(8)] == [3, 3, 5, 2, 0, 0, 0, 1]
+    assert by[4]["text"] == TEXTS[4] and by[5]["text"] is None and by[6]["text"] == ""
+    assert by[None]["text"] == by[1]["text"]
+    a, b, c = [w.strip(",") for w in by[0]["text"].split() if "@" in w]
+    assert a.lower() == b.lower() != c.lower()              # coreference and distinctness
+    assert a.split("@")[1] == c.split("@")[1] and a.endswith(".com")
+    assert len(a) == len("ann.lee@mail.example.com")
+    words = by[1]["text"].split(" from ")
+    assert [x.isdigit() for x in words[0]][5:] == [x.isdigit() for x in TEXTS[1].split(" from ")[0]][5:]
+    numbers = ["".join(filter(str.isdigit, x)) for x in words[0].split(" or ")]
+    assert numbers[0] == numbers[1]
+    assert words[1].rstrip(".").count(".") == 3
+    t = by[2]["text"]
+    first, second = t.split(" met ")
+    assert first.startswith("Mr. ") and first.split()[1] == second.split()[1]
+    assert "Mrs. " in t and second.split()[0].endswith("o")   # a man's given name
+    cards = t.split("Card ")[1].rstrip(".").split(", ")
+    assert cards[0] == cards[1].replace(" ", "")
+    assert all("а" <= c.lower() <= "я" or c in " ёи" for c in by[3]["text"])
+    for i, old in ((0, "ann.lee"), (1, "555"), (2, "Smith"), (2, "4026"), (3, "Иван"), (7, "123")):
+        assert old not in by[i]["text"]
+    again = pii.with_surrogates(df, "k1").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    assert pii.with_surrogates(df, "k2").where("doc_id = 0").first()["text"] != by[0]["text"]
+    assert pii.with_surrogates(df.limit(0), "k").count() == 0
+
+
+def test_surrogates_stay_distinct_when_draws_collide(spark):
+    """100 numbers of two digits: no free surrogate is left, yet all differ."""
+    e = spark.range(60).select(F.lit("ssn").alias("type"),
+                               F.format_string("%02d", "id").alias("normal"))
+    got = pii.draw_surrogates(e, "k", rounds=3).collect()
+    real = {r["normal"] for r in got}
+    drawn = [r["surrogate"] for r in got]
+    assert len(got) == 60 == len(set(drawn))
+    assert not real & set(drawn)
+
+
+def test_surrogates_on_documents(spark, rows):
+    import re
+
+    got = {r["doc_id"]: r for r in Q.op7_pii_surrogates(spark, SF).collect()}
+    assert len(got) == len(rows)
+    mail = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+    for doc_id, text in rows:
+        for m in mail.findall(text):
+            assert m not in got[doc_id]["text"]
+        if not got[doc_id]["n_entities"]:
+            assert got[doc_id]["text"] == text
+
+
+# 8 ---------------------------------------------------------------------------
+
+def test_quality_rank_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    got = Q.op8_quality_rank(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    m = got.join(labels, "doc_id").where("held_out").toPandas()
+    assert (m.score.between(0, 1)).all()
+    assert ((m.score >= 0.7) == (m.predicted == 1)).all()
+    assert (m.predicted[m.quality == 1] == 1).mean() > 0.97
+    assert (m.predicted[m.quality == 0] == 0).mean() > 0.9
+    ids = [r["doc_id"] for r in got.where("held_out").select("doc_id").limit(50).collect()]
+    assert all(zlib.crc32(str(i).encode()) % 4 == 2 for i in ids)
+
+
+def test_quality_rank_never_learns_from_held_out(spark, docs):
+    """Flipping every held-out label changes nothing."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    flipped = labels.withColumn("quality", F.when(quality_rank.held_out(), 1 - F.col("quality"))
+                                .otherwise(F.col("quality")))
+    a = quality_rank.training_rows(docs, labels, quality_rank.Ranking())
+    b = quality_rank.training_rows(docs, flipped, quality_rank.Ranking())
+    assert (a[0] == b[0]).all() and (a[1] == b[1]).all() and len(a[1])
+
+
+def test_quality_rank_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(0, 1, "x"), (None, 0, "x"), (7, 0, "x"), (6, 1, "x"), (6, 0, "x")],
+                                   "doc_id long, quality int, text string")
+    got = quality_rank.classify(odd, labels).collect()
+    assert len(got) == len(odd_rows(odd))
+    assert all(0 <= r["score"] <= 1 for r in got)
+    assert [r["held_out"] for r in got if r["doc_id"] is None] == [False]
+    assert quality_rank.classify(none, labels).count() == 0
+    assert {r["predicted"] for r in quality_rank.classify(odd, labels.limit(0)).collect()} == {1}
+
+
+# 9 ---------------------------------------------------------------------------
+
+def test_secret_scan(spark, rows):
+    got = {r["doc_id"]: r for r in Q.op9_secret_scan(spark, SF).collect()}
+    for doc_id, text in rows:
+        base, r = brute.secrets(text), got[doc_id]
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [
+            base.count(k) for k in ("assign", "access", "hex")]
+        assert set(filter(None, base.split(","))) <= set(r["spans"].split(","))
+
+
+def test_base_spans():
+    for t in ("API_KEY='abcdef' token:short", "password = secret: abcdefg", "pAssWd=\"x.y_z+/=-1\"",
+              "AKIA" + "A" * 16 + "b AKIA123", "f" * 24 + "g" + "0" * 23, "ſecret=abcdefgh",
+              "apikey:  token=aaaaaa", "AKIAAKIA" + "0" * 20, "secret='" + "ab12" * 9 + "'"):
+        assert secret_scan.joined(secret_scan.base_spans(t)) == brute.secrets(t), t
+
+
+def test_network_finds_held_out_secrets(docs):
+    net = secret_scan.train(docs)
+    new = secret_scan.generated_findings(600, seed=99)
+    p = secret_scan.score(net, [w for w, _ in new])
+    y = np.array([y for _, y in new])
+    assert (p[y == 1] >= net["threshold"]).mean() > 0.93
+    assert (p[y == 0] >= net["threshold"]).mean() < 0.05
+    text = "use ghp_" + "aB3dE6gH9jK2" * 3 + " and room-12-north-west-corner-3 now"
+    found = secret_scan.spans_of([text], net)[0]
+    assert [text[a:b][:4] for a, b, _ in found] == ["ghp_"]
+
+
+def test_secret_scan_odd_rows(docs, odd, none):
+    net = secret_scan.train(docs)
+    got = secret_scan.scan(odd, net).collect()
+    assert len(got) == len(odd_rows(odd)) and not any(r["spans"] for r in got)
+    clean = secret_scan.redact(odd, net)
+    assert clean.columns == odd.columns
+    assert sorted(map(repr, clean.collect())) == sorted(map(repr, odd.collect()))
+    assert secret_scan.scan(none, net).count() == 0
+    assert secret_scan.scan(odd, secret_scan.train(none)).count() == len(odd_rows(odd))
+
+
+def test_redaction(spark, docs):
+    df = spark.createDataFrame([("a", "x token = \"" + "ab12" * 10 + "\" y")],
+                               "spans string, text string")
+    assert secret_scan.redact(df, secret_scan.train(docs)).first()["text"] == "x [SECRET]\" y"
+
+
+# 10 --------------------------------------------------------------------------
+
+def test_quality_rules(spark, rows):
+    got = {r["doc_id"]: r for r in Q.op10_quality_rules(spark, SF).collect()}
+    for doc_id, text in rows:
+        r = got[doc_id]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"],
+                r["n_repeat_words"], r["base_failed"]) == brute.quality(text)
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_quality_rules_odd_rows(odd, none):
+    got = quality_rules.measure(odd).collect()
+    want = [(d, *brute.quality(t)) for d, t in odd_rows(odd)]
+    assert [tuple(r)[:7] for r in got] == want
+    kept = quality_rules.keep_good(odd)
+    assert kept.columns == odd.columns
+    assert kept.count() == sum(r["kept"] for r in got)
+    assert quality_rules.measure(none).count() == 0
+
+
+def test_repeats_of_any_width():
+    rnd = random.Random(2)
+    for _ in range(200):
+        w = [str(rnd.randrange(3)).encode() for _ in range(rnd.randrange(40))]
+        for width in (1, 2, 3, 5, 8):
+            seen = [tuple(w[a:a + width]) for a in range(len(w) - width + 1)]
+            hit = {p for a, s in enumerate(seen) if seen.count(s) > 1 for p in range(a, a + width)}
+            assert quality_rules.repeated_words(w, width) == len(hit)
+
+
+def test_compression_bands(spark):
+    noise = "".join(random.Random(1).choices(
+        [chr(c) for c in range(0x4E00, 0x9000)], k=4000))
+    noise = " ".join(noise[i:i + 30] for i in range(0, 4000, 30))
+    loop = "\n".join(f"{i} the end of the line is {i * 7}" for i in range(2000))
+    df = spark.createDataFrame([(0, noise), (1, loop)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quality_rules.measure(df).collect()}
+    assert not got[0]["base_failed"] and got[0]["ratio"] < 2
+    assert not got[1]["base_failed"] and not got[1]["kept"] and got[1]["ratio"] > 4
