@@ -64,7 +64,7 @@ def derive(windowed: DataFrame) -> DataFrame:
 def all_events(fct: DataFrame, pages: DataFrame, devices: DataFrame,
                max_rows: int | None = None) -> DataFrame:
     """``all_events`` full build."""
-    keys = fct.select("session_id", "event_time")
+    keys = fct.select("session_id")
     return derive(with_session_windows(enrich(fct, pages, devices), keys, max_rows))
 
 
@@ -140,8 +140,8 @@ def page_view_counts(fct: DataFrame, pages: DataFrame, max_rows: int | None = No
     view counts, with or without a page row).
 
     A hot session (more views than one task should gather, see
-    ``operators.sessions``) is built in two levels: an ordered path per time
-    chunk, then the chunk paths joined in chunk order (empty ones skipped).
+    ``operators.sessions``) is built in two levels: an ordered path per chunk
+    of its rows, then the chunk paths joined in chunk order (empty ones skipped).
     The path itself stays one value per session, as defined.
     """
     views = fct.where(F.col("event_type") == F.lit(S.PAGE_VIEWED)).select(
@@ -151,21 +151,24 @@ def page_view_counts(fct: DataFrame, pages: DataFrame, max_rows: int | None = No
                                   salt=["session_id", "event_time"]).drop("p_event_uuid")
     if max_rows is None:
         max_rows = sessions.configured_max_rows(fct)
-    hot = sessions.hot_sessions(views.select("session_id", "event_time"), max_rows)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return joined.groupBy("session_id").agg(
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("session_id").agg(
             page_path(F.col("page_title")).alias("page_path"),
-            F.count(F.lit(1)).alias("total_pages_viewed"),
-        )
-    parts = sessions.assign_chunks(joined, hot, n_hot <= sessions.BROADCAST_MAX_HOT).groupBy("_sk", "session_id", "_chunk").agg(
+            F.count(F.lit(1)).alias("total_pages_viewed"))
+
+    hot, n_hot_rows = sessions.find_hot(views, max_rows)
+    if n_hot_rows == 0:
+        return plain(joined)
+    rest, chunked = sessions.split_hot(joined, hot, n_hot_rows, max_rows)
+    parts = chunked.groupBy("_sk", "session_id", "_chunk").agg(
         page_path(F.col("page_title")).alias("_part"), F.count(F.lit(1)).alias("_n"))
     ordered = F.array_sort(F.collect_list(F.struct(
         F.col("_chunk").alias("c"), F.nullif(F.col("_part"), F.lit("")).alias("part"))))
-    return parts.groupBy("_sk", "session_id").agg(
+    return plain(rest).unionByName(parts.groupBy("_sk", "session_id").agg(
         F.array_join(F.transform(ordered, lambda x: x["part"]), S.PAGE_PATH_SEPARATOR).alias("page_path"),
         F.sum("_n").alias("total_pages_viewed"),
-    ).drop("_sk")
+    ).drop("_sk"))
 
 
 def all_event_counts(fct: DataFrame, devices: DataFrame) -> DataFrame:

@@ -11,13 +11,15 @@ Plan:
    extra). Sessions above ``max_rows`` are *hot*; there are at most
    ``total / max_rows`` of them.
 2. Without hot sessions: one plain window (one shuffle, one sort).
-3. With hot sessions: cut each hot session into consecutive time chunks of
-   about ``max_rows`` rows (chunk = whole-width slice of its time span; rows
-   without time form the last chunk) and evaluate the window per (session,
-   chunk). A small table with one row per chunk -- its row count, first row
-   and last row -- then gives each chunk its row-number offset, the last row
-   of the previous chunk (for LAG) and the first row of the next (for LEAD).
-   Chunks follow the window order, so the values equal the plain window's.
+3. With hot sessions: rows of the others take the plain window. Rows of hot
+   sessions are range-partitioned by (session, window order) into parts of
+   about half of ``max_rows`` and written to the shared folder; the part's
+   number is the chunk. Chunks follow the window order whatever the times
+   look like (bursts, equal or NULL times), and the stored rows fix them. The
+   window runs per (session, chunk). A small table with one row per chunk --
+   its row count, first row and last row -- then gives each chunk its
+   row-number offset, the last row of the previous chunk (for LAG) and the
+   first row of the next (for LEAD). The values equal the plain window's.
 """
 
 from __future__ import annotations
@@ -25,13 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickmart.session import scratch_path
+
 DEFAULT_MAX_ROWS = 2_000_000
-# The hot-session table is broadcast only up to this many rows (~40 bytes
-# each); beyond, it is joined with a shuffle.
-BROADCAST_MAX_HOT = 500_000
 MAX_ROWS_CONF = "spark.clickmart.session.maxRowsPerTask"
-_NULL_TIME_CHUNK = 1 << 62
-_EPOCH = "1970-01-01 00:00:00"
 
 
 def _order() -> list[Column]:
@@ -40,10 +39,6 @@ def _order() -> list[Column]:
     return [F.asc_nulls_last("event_time"), F.asc_nulls_last("event_uuid")]
 
 
-def _micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts)
-
-
 def _session_key() -> Column:
     # Equal for equal sessions, NULL included, and never NULL itself.
     sid = F.col("session_id")
@@ -58,20 +53,14 @@ def _plain(df: DataFrame) -> DataFrame:
         F.lead("event_time").over(w).alias("next_event_time"),
         F.lag("event_type").over(w).alias("previous_event_type"),
         F.lag("page_url").over(w).alias("previous_page_url"),
-        F.row_number().over(w).alias("event_counter"),
+        F.row_number().over(w).cast("long").alias("event_counter"),
     )
 
 
 def hot_sessions(keys: DataFrame, max_rows: int) -> DataFrame:
-    """Sessions with more than ``max_rows`` rows, with their chunk geometry."""
-    us = _micros(F.col("event_time"))
-    sizes = keys.groupBy(_session_key().alias("_sk")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"), F.max(us).alias("_hi"))
-    span = F.coalesce(F.col("_hi") - F.col("_lo") + F.lit(1), F.lit(1))
-    width = F.greatest(F.lit(1), F.ceil(span.cast("double") * F.lit(float(max_rows)) / F.col("_n")))
-    return sizes.where(F.col("_n") > F.lit(max_rows)).select(
-        F.col("_sk").alias("_hsk"), F.coalesce(F.col("_lo"), F.lit(0)).alias("_lo"),
-        width.cast("long").alias("_width"))
+    """Sessions with more than ``max_rows`` rows, with their row count."""
+    sizes = keys.groupBy(_session_key().alias("_hsk")).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.where(F.col("_n") > F.lit(max_rows))
 
 
 def configured_max_rows(df: DataFrame) -> int:
@@ -83,53 +72,67 @@ def with_session_windows(df: DataFrame, keys: DataFrame | None = None,
     """``df`` plus ``next_event_time``, ``previous_event_type``,
     ``previous_page_url`` and ``event_counter``.
 
-    ``keys`` (``session_id``, ``event_time``; default ``df``) is only used
-    to size sessions -- pass the un-joined fact to avoid evaluating joins
-    twice. Checking for hot sessions runs one aggregation job.
+    ``keys`` (``session_id``; default ``df``) is only used to size sessions --
+    pass the un-joined fact to avoid evaluating joins twice. Checking for hot
+    sessions runs one aggregation job.
     """
+    hot, n_hot_rows = find_hot(keys if keys is not None else df, max_rows)
+    if n_hot_rows == 0:
+        return _plain(df)
     if max_rows is None:
         max_rows = configured_max_rows(df)
-    hot = hot_sessions((keys if keys is not None else df).select("session_id", "event_time"),
-                       max_rows)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return _plain(df)
-    return _chunked(df, hot, broadcast=n_hot <= BROADCAST_MAX_HOT)
+    rest, chunked = split_hot(df, hot, n_hot_rows, max_rows)
+    return _plain(rest).unionByName(_chunked(chunked, df.columns))
 
 
-def assign_chunks(df: DataFrame, hot: DataFrame, broadcast: bool = True) -> DataFrame:
-    """``df`` plus ``_sk`` (null-safe session key) and ``_chunk``: NULL for
-    rows of ordinary sessions, else the row's time slice of its hot session
-    (rows without time last). Chunks follow the session order."""
-    # ``hot`` holds at most total_rows / max_rows rows (one per hot session);
-    # callers pass ``broadcast`` from its counted size.
+def find_hot(keys: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
+    """The hot sessions (stored, so that their size is known to the planner)
+    and how many rows they have; runs one aggregation job."""
+    if max_rows is None:
+        max_rows = configured_max_rows(keys)
+    path = scratch_path(keys.sparkSession, "hotsessions")
+    hot = hot_sessions(keys.select("session_id"), max_rows)
+    hot.write.parquet(path)
+    stored = keys.sparkSession.read.schema(hot.schema).parquet(path)
+    return stored, stored.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+
+
+def split_hot(df: DataFrame, hot: DataFrame, n_hot_rows: int,
+              max_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary sessions, and stored rows of hot ones with ``_sk``
+    (null-safe session key) and ``_chunk``. A chunk has about ``max_rows / 2``
+    rows; only rows equal in time, uuid, type and page stay together."""
     x = df.withColumn("_sk", _session_key())
-    x = x.join(F.broadcast(hot) if broadcast else hot, x["_sk"] == hot["_hsk"], "left")
-    chunk = F.when(F.col("_hsk").isNull(), F.lit(None).cast("long")).when(
-        F.col("event_time").isNull(), F.lit(_NULL_TIME_CHUNK)).otherwise(
-        F.floor((_micros(F.col("event_time")) - F.col("_lo")) / F.col("_width")).cast("long"))
-    return x.withColumn("_chunk", chunk).drop("_hsk", "_lo", "_width")
-
-
-def _chunked(df: DataFrame, hot: DataFrame, broadcast: bool = True) -> DataFrame:
-    x = assign_chunks(df, hot, broadcast)
-
+    is_hot = x["_sk"] == hot["_hsk"]
+    n = max(1, -(-2 * n_hot_rows // max_rows))
+    tie = [F.xxhash64(*[c for c in ("event_type", "page_url") if c in df.columns])] \
+        if "event_type" in df.columns else []
+    path = scratch_path(df.sparkSession, "hotrows")
+    ranged = (x.join(hot, is_hot, "left_semi")
+              .repartitionByRange(n, "_sk", *_order(), *tie)
+              .withColumn("_chunk", F.spark_partition_id()))
+    ranged.write.parquet(path)
+    stored = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    return x.join(hot, is_hot, "left_anti").drop("_sk"), stored
+
+
+def _chunked(x: DataFrame, columns: list[str]) -> DataFrame:
     w = Window.partitionBy("_sk", "_chunk").orderBy(*_order())
     local = x.select(
         "*",
         F.lead("event_time").over(w).alias("_lead_t"),
         F.lag("event_type").over(w).alias("_lag_type"),
         F.lag("page_url").over(w).alias("_lag_url"),
-        F.row_number().over(w).alias("_rn"),
+        F.row_number().over(w).cast("long").alias("_rn"),
         F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
     )
-
-    t, u = F.col("event_time"), F.col("event_uuid")
-    edges = x.where(F.col("_chunk").isNotNull()).groupBy("_sk", "_chunk").agg(
-        F.count(F.lit(1)).alias("_cn"),
-        F.min(F.struct(t.isNull().alias("a"), t.alias("t"), u.alias("u"))).alias("_first"),
-        F.max(F.struct(t.isNull().alias("a"), t.alias("t"), u.alias("u"),
-                       F.col("event_type").alias("type"), F.col("page_url").alias("url"))).alias("_last"),
+    # the edges are the window's own first and last rows
+    first, last = F.col("_rn") == 1, F.col("_is_last")
+    edges = local.where(first | last).groupBy("_sk", "_chunk").agg(
+        F.max("_rn").alias("_cn"),
+        F.max(F.when(first, F.struct("event_time"))).alias("_first"),
+        F.max(F.when(last, F.struct(F.col("event_type").alias("type"),
+                                    F.col("page_url").alias("url")))).alias("_last"),
     )
     we = Window.partitionBy("_sk").orderBy("_chunk")
     before = we.rowsBetween(Window.unboundedPreceding, -1)
@@ -138,18 +141,16 @@ def _chunked(df: DataFrame, hot: DataFrame, broadcast: bool = True) -> DataFrame
         F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_offset"),
         F.lag("_last.type").over(we).alias("_prev_type"),
         F.lag("_last.url").over(we).alias("_prev_url"),
-        F.lead("_first.t").over(we).alias("_next_t"),
+        F.lead("_first.event_time").over(we).alias("_next_t"),
         F.lead(F.lit(1)).over(we).isNotNull().alias("_has_next"),
     )
-    y = local.join(fix, (local["_sk"] == fix["_fsk"]) & (local["_chunk"] == fix["_fchunk"]), "left")
-    first, last = F.col("_rn") == 1, F.col("_is_last")
-    in_hot = F.col("_fsk").isNotNull()
-    out = y.select(
-        *[F.col(c) for c in df.columns],
-        F.when(in_hot & last & F.col("_has_next"), F.col("_next_t"))
+    y = local.join(fix, (local["_sk"] == fix["_fsk"]) & (local["_chunk"] == fix["_fchunk"]))
+    return y.select(
+        *[F.col(c) for c in columns],
+        F.when(last & F.col("_has_next"), F.col("_next_t"))
          .otherwise(F.col("_lead_t")).alias("next_event_time"),
-        F.when(in_hot & first, F.col("_prev_type")).otherwise(F.col("_lag_type")).alias("previous_event_type"),
-        F.when(in_hot & first, F.col("_prev_url")).otherwise(F.col("_lag_url")).alias("previous_page_url"),
-        (F.col("_rn") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias("event_counter"),
+        F.when(first, F.col("_prev_type")).otherwise(F.col("_lag_type"))
+         .alias("previous_event_type"),
+        F.when(first, F.col("_prev_url")).otherwise(F.col("_lag_url")).alias("previous_page_url"),
+        (F.col("_rn") + F.col("_offset")).alias("event_counter"),
     )
-    return out

@@ -98,7 +98,7 @@ TABLE_DDL = {
     "dim_devices": ", ".join(f"{c} {_TS if c == 'load_timestamp' else 'string'}" for c in DEVICES_COLUMNS),
     "all_events": (
         "event_uuid string, session_id string, device_id string, device_type string, platform string, "
-        "event_type string, event_time timestamp_ntz, event_duration_s decimal(21,1), event_counter int, "
+        "event_type string, event_time timestamp_ntz, event_duration_s decimal(21,1), event_counter bigint, "
         "page_url string, page_counter bigint, page_title string, parent_page_title string, "
         "element_text string, element_tag string, element_url string, previous_event_repeated boolean, "
         "click_error boolean, extract_timestamp timestamp_ntz"),

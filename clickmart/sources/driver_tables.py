@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from clickmart import schemas as S
 
-N_LINKED_PAGES = 50  # events link to pages 0..49
-
 
 def _when(cond: Column, value: Column) -> Column:
     return F.when(cond, value)
@@ -35,10 +33,11 @@ def _vendor_events(events: DataFrame, pages: DataFrame) -> DataFrame:
     """``event`` (struct in the vendor's JSON shape) and ``filename`` per event."""
     ts, uid, eid = F.col("ts"), F.col("user_id"), F.col("event_id")
     day = F.dayofmonth(ts)
-    linked = pages.where(F.col("page_id").between(0, N_LINKED_PAGES - 1)).select(
-        F.col("page_id").alias("_page_id"), F.col("url").alias("_url"))
+    linked = pages.select(F.col("page_id").alias("_page_id"), F.col("url").alias("_url"))
+    # events link to all pages, 0 .. count - 1
+    n_pages = pages.select(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n")).scalar()
     ev = spread(events.select("event_id", "ts", "user_id", "event_type")).withColumn(
-        "_page_id", F.pmod(uid + F.floor(day / F.lit(3)), F.lit(N_LINKED_PAGES)))
+        "_page_id", F.pmod(uid + F.floor(day / F.lit(3)), n_pages))
     joined = ev.join(linked, "_page_id", "left")
 
     etype = F.col("event_type")

@@ -20,7 +20,7 @@ SRC = """
 ev AS (
   SELECT e.event_id, e.ts, e.user_id, e.event_type, p.url
   FROM events e
-  LEFT JOIN pages p ON p.page_id = (e.user_id + day(e.ts) // 3) % 50 AND p.page_id BETWEEN 0 AND 49
+  LEFT JOIN pages p ON p.page_id = (e.user_id + day(e.ts) // 3) % (SELECT count(*) FROM pages)
 ),
 src AS (
   SELECT
@@ -145,7 +145,7 @@ def windows_cte(name: str, fct: str, pages: str, devices: str) -> str:
          lead(e.event_time) OVER w AS next_event_time,
          lag(e.event_type) OVER w AS previous_event_type,
          lag(p.page_url) OVER w AS previous_page_url,
-         CAST(row_number() OVER w AS INTEGER) AS event_counter,
+         row_number() OVER w AS event_counter,
          e.extract_timestamp
   FROM {fct} e
   LEFT JOIN {pages} p ON e.event_uuid = p.event_uuid
@@ -314,7 +314,9 @@ def oracle_sql() -> dict[str, str]:
         "all_events_incr_unpruned": with_(two, "SELECT * FROM ae_inc"),
         "session_journey_incr": with_(two, "SELECT * FROM sj_inc"),
         "two_batch_silver": with_(two, "SELECT * FROM fct2"),
+        "two_batch_pages": with_(two, "SELECT * FROM pg2"),
         "two_batch_gold": with_(two, "SELECT * FROM ae1 UNION ALL SELECT * FROM ae_inc"),
+        "two_batch_journey": with_(two, "SELECT * FROM sj1 UNION ALL SELECT * FROM sj_inc"),
         "high_water_marks": with_(two, """
             SELECT 'fct_all_session_events' AS table_name, max(extract_timestamp) AS mark FROM fct1
             UNION ALL SELECT 'dim_event_pages', max(extract_timestamp) FROM pg1
@@ -324,6 +326,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT b.event_uuid, b.session_id, b.event_time, b.extract_timestamp
             FROM base_all b WHERE NOT EXISTS (SELECT 1 FROM fct2 f WHERE f.event_uuid = b.event_uuid)"""),
     }
+    q |= {"stored_fact": q["two_batch_silver"], "stored_devices": q["devices_merge"], "stored_all_events": q["two_batch_gold"],
+          "stored_session_journey": q["two_batch_journey"], "stored_late_rows": q["late_rows"]}
     q["stream_raw_to_base"] = with_(stream_base, f"SELECT {base_cols}, load_timestamp FROM base1 "
                                                  f"UNION ALL SELECT {base_cols}, load_timestamp FROM base2")
     return q
