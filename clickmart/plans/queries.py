@@ -9,6 +9,8 @@ files of hours before ``BATCH_CUT`` first, the rest second.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ from clickmart.functions.variant import json_string
 from clickmart.operators import gold, marks, merge, silver
 from clickmart.operators.bronze import bronze, extract
 from clickmart.plans import pipeline as P
-from clickmart.session import checkpoint_root, scratch_path
+from clickmart.plans import refresh, store
+from clickmart.session import scratch_path
 from clickmart.sources.driver_tables import raw_from_tables, raw_json_lines, write_json_lines  # noqa: F401
 from clickmart.sources.raw import list_files, listing_audit, load_audit, read_raw
 from clickmart.streaming.ingest import ingest_files, raw_to_base
@@ -53,21 +56,46 @@ def first_delivery(filename, late: bool = False):
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and read it from there:
-    every branch of a query (fact, pages, devices, marks) reuses one bronze
-    build instead of re-deriving it, and lineage stops here."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet under the checkpoint folder: every branch
+    of a query (fact, pages, devices, marks) reads the columns it needs from
+    one bronze build, and lineage stops here."""
+    path = scratch_path(df.sparkSession, "bronze")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Layers(dict):
+    """Tables built on first use, so that a query starts no job of a layer it
+    does not return."""
+
+    def __init__(self, **build: Callable[[], DataFrame]):
+        super().__init__()
+        self.build = build
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.build[name]()
+        return self[name]
+
 
+def _built(base: DataFrame, load_ts: str) -> Layers:
+    t = Layers()
+    t.build = {
+        P.BASE: lambda: base,
+        P.FACT: lambda: silver.fact(base, load_ts),
+        P.PAGES: lambda: silver.pages(base, load_ts),
+        P.DEVICES: lambda: silver.latest_devices(base, load_ts),
+        P.ALL_EVENTS: lambda: gold.all_events(t[P.FACT], t[P.PAGES], t[P.DEVICES]),
+        P.JOURNEY: lambda: gold.session_journey(t[P.FACT], t[P.PAGES], t[P.DEVICES]),
+    }
+    return t
 
-def full(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    base = materialized(bronze(raw(spark, sf_dir), LOAD_TS_1))
-    silver_tables = P.silver_build(base, LOAD_TS_1)
-    return {P.BASE: base, **silver_tables, **P.gold_build(silver_tables)}
+
+def full(spark: SparkSession, sf_dir: str) -> Layers:
+    return _built(materialized(bronze(raw(spark, sf_dir), LOAD_TS_1)), LOAD_TS_1)
 
 
 def two_batch(spark: SparkSession, sf_dir: str, late: bool = False,
-              prune: bool = True) -> dict[str, dict[str, DataFrame] | DataFrame]:
+              prune: bool = True) -> dict[str, Layers]:
     """Initial build over the first delivery, then one refresh with the
     second. Returns the tables after each step and the refresh's appends."""
     r = raw(spark, sf_dir)
@@ -75,17 +103,29 @@ def two_batch(spark: SparkSession, sf_dir: str, late: bool = False,
     base_all = materialized(bronze(r.where(first), LOAD_TS_1)
                             .unionByName(bronze(r.where(~first), LOAD_TS_2)))
     base1 = base_all.where(F.col("load_timestamp") == F.lit(LOAD_TS_1).cast("timestamp_ntz"))
-    t1 = {P.BASE: base1, **P.silver_build(base1, LOAD_TS_1)}
-    t1.update(P.gold_build(t1))
-    sil = P.silver_step(base_all, t1, LOAD_TS_2)
-    after_silver = dict(t1)
-    after_silver[P.BASE] = base_all
-    after_silver[P.FACT] = t1[P.FACT].unionByName(sil[P.FACT])
-    after_silver[P.PAGES] = t1[P.PAGES].unionByName(sil[P.PAGES])
-    after_silver[P.DEVICES] = sil[P.DEVICES]
-    gld = P.gold_step(after_silver, prune=prune)
-    return {"first": t1, "silver_appends": sil, "after_silver": after_silver,
-            "gold_appends": gld}
+    t1 = _built(base1, LOAD_TS_1)
+    sil, after, gld = Layers(), Layers(), Layers()
+    sil.build = {
+        P.FACT: lambda: silver.fact_increment(base_all, t1[P.FACT], LOAD_TS_2),
+        P.PAGES: lambda: silver.pages_increment(base_all, t1[P.PAGES], LOAD_TS_2),
+        P.DEVICES: lambda: merge.merge_devices(t1[P.DEVICES],
+                                               silver.latest_devices(base_all, LOAD_TS_2)),
+    }
+    gld.build = {
+        P.ALL_EVENTS: lambda: gold.all_events_increment(
+            after[P.FACT], after[P.PAGES], after[P.DEVICES], t1[P.ALL_EVENTS], prune=prune),
+        P.JOURNEY: lambda: gold.session_journey_increment(
+            after[P.FACT], after[P.PAGES], after[P.DEVICES], t1[P.JOURNEY]),
+    }
+    after.build = {
+        P.BASE: lambda: base_all,
+        P.FACT: lambda: t1[P.FACT].unionByName(sil[P.FACT]),
+        P.PAGES: lambda: t1[P.PAGES].unionByName(sil[P.PAGES]),
+        P.DEVICES: lambda: sil[P.DEVICES],
+        P.ALL_EVENTS: lambda: t1[P.ALL_EVENTS].unionByName(gld[P.ALL_EVENTS]),
+        P.JOURNEY: lambda: t1[P.JOURNEY].unionByName(gld[P.JOURNEY]),
+    }
+    return {"first": t1, "silver_appends": sil, "after": after, "gold_appends": gld}
 
 
 # --- sources ---------------------------------------------------------------
@@ -210,7 +250,7 @@ def q_session_journey(spark, sf_dir):
 
 def _windowed(spark, sf_dir):
     t = full(spark, sf_dir)
-    return gold.with_session_windows(gold.enrich(t[P.FACT], t[P.PAGES], t[P.DEVICES]))
+    return gold.with_session_windows(gold.enrich(t[P.FACT], t[P.PAGES], t[P.DEVICES]), t[P.FACT])
 
 
 def q_event_duration(spark, sf_dir):
@@ -250,7 +290,7 @@ def q_pages_incr(spark, sf_dir):
 def q_pages_incr_empty_target(spark, sf_dir):
     tb = two_batch(spark, sf_dir)
     empty = tb["first"][P.PAGES].where(F.lit(False))
-    return silver.pages_increment(tb["after_silver"][P.BASE], empty, LOAD_TS_2)
+    return silver.pages_increment(tb["after"][P.BASE], empty, LOAD_TS_2)
 
 
 def q_devices_merge(spark, sf_dir):
@@ -259,7 +299,7 @@ def q_devices_merge(spark, sf_dir):
 
 def q_devices_merge_stats(spark, sf_dir):
     tb = two_batch(spark, sf_dir)
-    src = silver.latest_devices(tb["after_silver"][P.BASE], LOAD_TS_2)
+    src = silver.latest_devices(tb["after"][P.BASE], LOAD_TS_2)
     return merge.merge_stats(tb["first"][P.DEVICES], src)
 
 
@@ -276,12 +316,19 @@ def q_session_journey_incr(spark, sf_dir):
 
 
 def q_two_batch_silver(spark, sf_dir):
-    return two_batch(spark, sf_dir)["after_silver"][P.FACT]
+    return two_batch(spark, sf_dir)["after"][P.FACT]
+
+
+def q_two_batch_pages(spark, sf_dir):
+    return two_batch(spark, sf_dir)["after"][P.PAGES]
 
 
 def q_two_batch_gold(spark, sf_dir):
-    tb = two_batch(spark, sf_dir)
-    return tb["first"][P.ALL_EVENTS].unionByName(tb["gold_appends"][P.ALL_EVENTS])
+    return two_batch(spark, sf_dir)["after"][P.ALL_EVENTS]
+
+
+def q_two_batch_journey(spark, sf_dir):
+    return two_batch(spark, sf_dir)["after"][P.JOURNEY]
 
 
 def q_high_water_marks(spark, sf_dir):
@@ -291,7 +338,36 @@ def q_high_water_marks(spark, sf_dir):
 
 def q_late_rows(spark, sf_dir):
     tb = two_batch(spark, sf_dir, late=True)
-    late = marks.late_rows(tb["after_silver"][P.BASE], tb["after_silver"][P.FACT])
+    late = marks.late_rows(tb["after"][P.BASE], tb["after"][P.FACT])
+    return late.select("event_uuid", "session_id", "event_time", "extract_timestamp")
+
+
+# --- the stored pipeline ---------------------------------------------------
+
+def stored_run(spark, sf_dir, late: bool = False) -> str:
+    """The pipeline on storage: two deliveries of files, ``initial_build``
+    after the first and ``run_increment`` after the second. Returns the root."""
+    root = scratch_path(spark, "stored")
+    landing = f"{root}/landing"
+    lines = raw_json_lines(*tables(spark, sf_dir))
+    first = first_delivery(F.col("filename"), late)
+    write_json_lines(lines.where(first), landing, mode="append")
+    refresh.initial_build(spark, root, landing, LOAD_TS_1)
+    write_json_lines(lines.where(~first), landing, mode="append")
+    refresh.run_increment(spark, root, landing, LOAD_TS_2)
+    return root
+
+
+def _stored(name: str):
+    def query(spark, sf_dir):
+        return store.read_table(spark, stored_run(spark, sf_dir), name) \
+            .select(S.TABLE_COLUMNS[name])
+
+    return query
+
+
+def q_stored_late_rows(spark, sf_dir):
+    late = refresh.late_report(spark, stored_run(spark, sf_dir, late=True))
     return late.select("event_uuid", "session_id", "event_time", "extract_timestamp")
 
 
@@ -325,7 +401,14 @@ QUERIES = {
     "all_events_incr_unpruned": q_all_events_incr_unpruned,
     "session_journey_incr": q_session_journey_incr,
     "two_batch_silver": q_two_batch_silver,
+    "two_batch_pages": q_two_batch_pages,
     "two_batch_gold": q_two_batch_gold,
+    "two_batch_journey": q_two_batch_journey,
     "high_water_marks": q_high_water_marks,
     "late_rows": q_late_rows,
+    "stored_fact": _stored(P.FACT),
+    "stored_devices": _stored(P.DEVICES),
+    "stored_all_events": _stored(P.ALL_EVENTS),
+    "stored_session_journey": _stored(P.JOURNEY),
+    "stored_late_rows": q_stored_late_rows,
 }

@@ -2,11 +2,17 @@
 
 ``initial_build``: load every landed file, then build bronze (stream),
 silver and gold from scratch. ``run_increment``: the chained refresh -- load
-new files, append their bronze rows, and only if there were any, refresh
+new files, append their bronze rows, and only if there are any, refresh
 silver (fact, pages, device merge, in that order) and then gold
-(``all_events``, then ``session_journey``). Every step reads what the
-previous one committed, so a failed run can simply be run again: the
-streams resume from their checkpoints and the marks skip what was appended.
+(``all_events``, then ``session_journey``).
+
+Runs are numbered (``plans.store``). Bronze rows carry the run in which they
+arrived; silver and gold of run n read the tables of runs before n and write
+folders of run n; the run is recorded when gold is done. A run that failed is
+therefore done again by the next call under the same number: what it had loaded
+is still its input, whether or not new files came and whatever the load stamp,
+and what it had written is replaced. The layers can also be run one by one
+(``refresh_silver``, ``refresh_gold``).
 """
 
 from __future__ import annotations
@@ -20,13 +26,8 @@ from clickmart import schemas as S
 from clickmart.operators import marks, merge, silver
 from clickmart.sources.raw import list_files, listing_audit
 from clickmart.plans import pipeline as P
-from clickmart.plans.store import (
-    PARTITION_COLUMN,
-    read_table,
-    table_path,
-    with_partition_column,
-    write_table,
-)
+from clickmart.plans import store
+from clickmart.plans.store import PARTITION_COLUMN, RUN_COLUMN, read_table, table_path, write_table
 from clickmart.streaming.ingest import ingest_files, raw_to_base
 
 RAW = "events_raw"
@@ -34,8 +35,8 @@ DEVICE_STATE = "device_state"
 
 
 def stamp(load_ts=None) -> str:
-    """The run's load stamp: given, or the driver's clock (UTC, no zone).
-    Stored refreshes need a fixed value: the device state records it."""
+    """The run's load stamp: given, or the driver's clock (UTC, no zone), one
+    value for all its rows."""
     return str(load_ts) if load_ts is not None else datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
@@ -48,15 +49,27 @@ def _checkpoint(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/{name}"
 
 
+def pending_run(spark: SparkSession, root: str) -> int:
+    """The run under way: the one after the last completed."""
+    return store.last_run(spark, root) + 1
+
+
 def load_bronze(spark: SparkSession, root: str, landing: str, load_ts=None,
                 max_files_per_trigger: int | None = None) -> dict[str, int]:
     """Files -> raw -> bronze, each exactly once. ``max_files_per_trigger``
     cuts a large backlog of files into several micro-batches."""
+    run = pending_run(spark, root)
+
+    def layout(df: DataFrame) -> DataFrame:
+        # one shuffle by day, or every task would open a file in every day
+        return (store.with_partition_column(df).withColumn(RUN_COLUMN, F.lit(run))
+                .hint("rebalance", PARTITION_COLUMN))
+
     n_raw = ingest_files(spark, landing, table_path(root, RAW), _checkpoint(root, "ingest"),
                          max_files_per_trigger)
     n_base = raw_to_base(spark, table_path(root, RAW), table_path(root, P.BASE),
                          _checkpoint(root, "raw_to_base"), load_ts,
-                         layout=with_partition_column, partition_by=[PARTITION_COLUMN])
+                         layout=layout, partition_by=[RUN_COLUMN, PARTITION_COLUMN])
     return {"raw_rows": n_raw, "base_rows": n_base}
 
 
@@ -71,53 +84,79 @@ def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None,
 
 def build_silver(spark: SparkSession, root: str, load_ts=None) -> None:
     load_ts = stamp(load_ts)
-    base = read_table(spark, root, P.BASE)
-    write_table(silver.fact(base, load_ts), root, P.FACT, "overwrite")
-    write_table(silver.pages(base, load_ts), root, P.PAGES, "overwrite")
-    write_table(_with_through(silver.device_candidates(base), load_ts), root, DEVICE_STATE, "append")
-    state = read_table(spark, root, DEVICE_STATE)
-    write_table(silver.profiles(state, load_ts), root, P.DEVICES, "append")
+    run = pending_run(spark, root)
+    base = store.read_base(spark, root, run)
+    write_table(silver.fact(base, load_ts), root, P.FACT, run)
+    write_table(silver.pages(base, load_ts), root, P.PAGES, run)
+    write_table(_with_through(silver.device_candidates(base), load_ts), root, DEVICE_STATE, run)
+    state = read_table(spark, root, DEVICE_STATE, run)
+    write_table(silver.profiles(state, load_ts), root, P.DEVICES, run)
 
 
 def build_gold(spark: SparkSession, root: str) -> None:
-    silver = {n: read_table(spark, root, n) for n in (P.FACT, P.PAGES, P.DEVICES)}
-    for name, df in P.gold_build(silver).items():
-        write_table(df, root, name, "overwrite")
+    run = pending_run(spark, root)
+    built = {n: _of_run(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES)}
+    for name, df in P.gold_build(built).items():
+        write_table(df, root, name, run)
+    store.complete(spark, root, run, build=True)
+
+
+def _of_run(spark: SparkSession, root: str, name: str, run: int) -> DataFrame:
+    """What ``run`` alone wrote; an error names the layer that is missing."""
+    if run not in store.runs(spark, root, name, run):
+        raise RuntimeError(f"{name} of run {run} is not finished: run the silver layer first")
+    ddl = S.TABLE_DDL[name] + (f", {PARTITION_COLUMN} date" if name in store.PARTITIONED else "")
+    return spark.read.schema(ddl).parquet(f"{table_path(root, name)}/run={run}")
+
+
+def _built(spark: SparkSession, root: str) -> int:
+    """The pending run; there must be a full build before it."""
+    run = pending_run(spark, root)
+    if run == 0:
+        raise RuntimeError("nothing is built here yet: run the full build first")
+    return run
 
 
 def refresh_silver(spark: SparkSession, root: str, load_ts=None) -> None:
     """Fact and pages appends as in ``pipeline.silver_step``; the device merge
-    reads only base rows newer than the device state (see
+    reads only the bronze rows of this run and the device-sized state (see
     ``silver.advance_device_state``) instead of all history."""
     load_ts = stamp(load_ts)
-    tables = {n: read_table(spark, root, n) for n in (P.BASE, P.FACT, P.PAGES, P.DEVICES)}
-    base = tables[P.BASE]
-    write_table(silver.fact_increment(base, tables[P.FACT], load_ts), root, P.FACT, "append")
-    write_table(silver.pages_increment(base, tables[P.PAGES], load_ts), root, P.PAGES, "append")
-
-    state = read_table(spark, root, DEVICE_STATE)
-    through = state.agg(F.max("through_load_ts")).first()[0]
-    new_rows = base if through is None else base.where(F.col("load_timestamp") > F.lit(through))
-    new_state = _with_through(silver.advance_device_state(state, new_rows), load_ts)
-    write_table(new_state, root, DEVICE_STATE, "append")  # new snapshot
-    state = read_table(spark, root, DEVICE_STATE)
-    source = silver.changed_device_source(state, new_rows, load_ts)
-    write_table(merge.merge_devices(tables[P.DEVICES], source), root, P.DEVICES, "append")
+    run = _built(spark, root)
+    base = store.read_base(spark, root, run)
+    for name, increment in ((P.FACT, silver.fact_increment), (P.PAGES, silver.pages_increment)):
+        newest = store.read_newest_day(spark, root, name, run - 1)
+        write_table(increment(base, newest, load_ts), root, name, run)
+
+    new_rows = store.read_base(spark, root, run, only=True)
+    old_state = read_table(spark, root, DEVICE_STATE, run - 1)
+    write_table(_with_through(silver.advance_device_state(old_state, new_rows), load_ts),
+                root, DEVICE_STATE, run)
+    source = silver.changed_device_source(read_table(spark, root, DEVICE_STATE, run), new_rows,
+                                          load_ts)
+    write_table(merge.merge_devices(read_table(spark, root, P.DEVICES, run - 1), source),
+                root, P.DEVICES, run)
 
 
 def refresh_gold(spark: SparkSession, root: str, prune: bool = True) -> None:
-    tables = {n: read_table(spark, root, n)
-              for n in (P.FACT, P.PAGES, P.DEVICES, P.ALL_EVENTS, P.JOURNEY)}
+    run = _built(spark, root)
+    for name in (P.FACT, P.PAGES, P.DEVICES):
+        _of_run(spark, root, name, run)
+    tables = {n: read_table(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES)}
+    tables |= {n: store.read_newest_day(spark, root, n, run - 1)
+               for n in (P.ALL_EVENTS, P.JOURNEY)}
     step = P.gold_step(tables, prune=prune)
-    write_table(step[P.ALL_EVENTS], root, P.ALL_EVENTS, "append")
-    write_table(step[P.JOURNEY], root, P.JOURNEY, "append")
+    write_table(step[P.ALL_EVENTS], root, P.ALL_EVENTS, run)
+    write_table(step[P.JOURNEY], root, P.JOURNEY, run)
+    store.complete(spark, root, run)
 
 
 def run_increment(spark: SparkSession, root: str, landing: str, load_ts=None,
                   prune: bool = True, max_files_per_trigger: int | None = None) -> dict[str, int]:
     load_ts = stamp(load_ts)
+    run = _built(spark, root)
     counts = load_bronze(spark, root, landing, load_ts, max_files_per_trigger)
-    if counts["base_rows"] == 0:  # nothing new: the later steps do not run
+    if not store.run_has_bronze(spark, root, run):  # nothing new, nothing left unfinished
         return {**counts, "refreshed": 0}
     refresh_silver(spark, root, load_ts)
     refresh_gold(spark, root, prune)

@@ -6,9 +6,16 @@ filter (``operators.marks.above_mark``) adds the implied day condition, so
 an increment lists and reads only days at or above its mark. Days, not
 hours: an hour of a small feed is a tiny file, a day of a large one is
 split by AQE into files of the advisory size.
-The device dimension is replaced, not appended, by the merge: each merge
-writes a new snapshot folder ``v=<n>`` and readers take the highest
-finished one (a folder with ``_SUCCESS``), so a failed write is never read.
+
+Every run writes a folder of its own, ``run=<n>``, in overwrite mode, and a
+folder counts only when it is finished (``_SUCCESS``). Appended tables are all
+folders up to a run, snapshots (devices) the newest one. A run that failed is
+done again under its number: its half-written folders are replaced, so no row
+is lost or doubled. ``_progress/run=<n>`` (``build=<n>`` for a full build) is
+written last; readers see finished runs only, so all tables change together.
+Tables of runs before the newest full build are no longer read. The bronze
+table is written by a stream, exactly once per file, with the run in which its
+rows arrived as a partition (``load_run``).
 """
 
 from __future__ import annotations
@@ -43,40 +50,103 @@ def _jvm_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def snapshot_versions(spark: SparkSession, root: str, name: str,
-                      finished_only: bool = True) -> list[int]:
-    """Snapshot versions of a table (listing only, no data read): finished
-    ones (with ``_SUCCESS``) by default, else every version folder."""
-    fs, p, jvm = _jvm_fs(spark, table_path(root, name))
+RUN_COLUMN = "load_run"
+PROGRESS = "_progress"
+KEEP_SNAPSHOTS = 3
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (listing only)."""
+    fs, p, _ = _jvm_fs(spark, path)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        leaf = st.getPath().getName()
-        if not leaf.startswith("v="):
-            continue
-        if finished_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            continue
-        out.append(int(leaf[2:]))
-    return sorted(out)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def _numbers(spark: SparkSession, path: str, label: str) -> list[int]:
+    """Numbers of the finished folders ``<label>=<n>`` in ``path``."""
+    fs, _, jvm = _jvm_fs(spark, path)
+    found = [int(x[len(label) + 1:]) for x in _folders(spark, path) if x.startswith(f"{label}=")]
+    return sorted(n for n in found
+                  if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{label}={n}/_SUCCESS")))
+
+
+def runs(spark: SparkSession, root: str, name: str, upto: int) -> list[int]:
+    """Finished runs of a table from the newest full build on."""
+    first = max((b for b in _numbers(spark, table_path(root, PROGRESS), "build") if b <= upto),
+                default=0)
+    written = _numbers(spark, table_path(root, name), "run")
+    # a build under way replaces what came before once it is recorded
+    return [n for n in written if first <= n <= upto]
+
+
+def last_run(spark: SparkSession, root: str) -> int:
+    """The last completed run; -1 before the first build."""
+    path = table_path(root, PROGRESS)
+    return max(_numbers(spark, path, "build") + _numbers(spark, path, "run"), default=-1)
+
+
+def complete(spark: SparkSession, root: str, run: int, build: bool = False) -> None:
+    """Record ``run`` as done, and let go of device snapshots no reader can want."""
+    label = "build" if build else "run"
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(
+        f"{table_path(root, PROGRESS)}/{label}={run}")
+    for name in SNAPSHOT:
+        old = _numbers(spark, table_path(root, name), "run")[:-KEEP_SNAPSHOTS]
+        fs, _, jvm = _jvm_fs(spark, table_path(root, name))
+        for n in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_path(root, name)}/run={n}"), True)
+
+
+def run_has_bronze(spark: SparkSession, root: str, run: int) -> bool:
+    """Whether bronze rows arrived in ``run``, in this attempt or an earlier one."""
+    return f"{RUN_COLUMN}={run}" in _folders(spark, table_path(root, "events_base"))
 
 
 def with_partition_column(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.to_date(F.col(STAMP_COLUMN)))
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_base(spark: SparkSession, root: str, run: int, only: bool = False) -> DataFrame:
+    """Bronze rows that arrived up to ``run``, or in it ``only``."""
+    name = "events_base"
+    ddl = S.TABLE_DDL[name] + f", {RUN_COLUMN} int, {PARTITION_COLUMN} date"
+    df = spark.read.schema(ddl).parquet(table_path(root, name))
+    at = F.col(RUN_COLUMN)
+    return df.where(at == run if only else at <= run) \
+        .select(*S.TABLE_COLUMNS[name], PARTITION_COLUMN)
+
+
+def read_table(spark: SparkSession, root: str, name: str, upto: int | None = None) -> DataFrame:
     """A stored table in its declared column order and types (plus the
-    partition day for partitioned tables)."""
+    partition day for partitioned tables), as of run ``upto`` (default: the
+    last completed one)."""
+    if upto is None:
+        upto = last_run(spark, root)
+    if name == "events_base":
+        return read_base(spark, root, upto)
     path = table_path(root, name)
+    found = runs(spark, root, name, upto)
+    ddl = S.TABLE_DDL[name] + (f", {PARTITION_COLUMN} date" if name in PARTITIONED else "")
+    columns = [*S.TABLE_COLUMNS[name], *([PARTITION_COLUMN] if name in PARTITIONED else [])]
+    if not found:
+        return spark.createDataFrame([], ddl).select(columns)
     if name in SNAPSHOT:
-        versions = snapshot_versions(spark, root, name)
-        if not versions:
-            return spark.createDataFrame([], S.TABLE_DDL[name])
-        return spark.read.schema(S.TABLE_DDL[name]).parquet(f"{path}/v={versions[-1]}") \
-            .select(S.TABLE_COLUMNS[name])
-    ddl = S.TABLE_DDL[name] + f", {PARTITION_COLUMN} date"
-    return spark.read.schema(ddl).parquet(path).select(*S.TABLE_COLUMNS[name], PARTITION_COLUMN)
+        return spark.read.schema(ddl).parquet(f"{path}/run={found[-1]}").select(columns)
+    return (spark.read.schema(ddl).option("basePath", path)
+            .parquet(*[f"{path}/run={n}" for n in found]).select(columns))
+
+
+def read_newest_day(spark: SparkSession, root: str, name: str, upto: int) -> DataFrame:
+    """The rows of the newest day folder of a table: all that its high-water
+    mark needs. Found by listing, so the mark reads one day, not the table."""
+    prefix = f"{PARTITION_COLUMN}="
+    days = [x[len(prefix):] for n in runs(spark, root, name, upto)
+            for x in _folders(spark, f"{table_path(root, name)}/run={n}")
+            if x.startswith(prefix) and not x.endswith("__")]
+    table = read_table(spark, root, name, upto)
+    newest = F.lit(max(days)).cast("date") if days else F.lit(None).cast("date")
+    return table.where(F.col(PARTITION_COLUMN) == newest)
 
 
 def _ordered(df: DataFrame, name: str) -> DataFrame:
@@ -84,27 +154,16 @@ def _ordered(df: DataFrame, name: str) -> DataFrame:
     return df.sortWithinPartitions(*keys) if keys else df
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str) -> None:
-    """Write rows of ``name`` (``mode`` = overwrite for a full build, append
-    for an increment). Snapshot tables always get a new version."""
+def write_table(df: DataFrame, root: str, name: str, run: int) -> None:
+    """Write what ``run`` adds to a table (or, for a snapshot table, its new
+    state), in place of whatever an earlier attempt left."""
     df = df.select(S.TABLE_COLUMNS[name])
-    if name in PARTITIONED:
-        df = with_partition_column(df)
-    path = table_path(root, name)
-    if name in SNAPSHOT:
-        # number past every folder, finished or not: a write that died
-        # half-way leaves its folder behind, unread and never reused
-        versions = snapshot_versions(df.sparkSession, root, name, finished_only=False)
-        nxt = (versions[-1] + 1) if versions else 0
-        _ordered(df, name).write.mode("errorifexists").parquet(f"{path}/v={nxt}")
+    path = f"{table_path(root, name)}/run={run}"
+    if name not in PARTITIONED:
+        _ordered(df, name).write.mode("overwrite").parquet(path)
         return
-    if name in PARTITIONED:
-        # One shuffle by the partition column so each task writes few
-        # partitions (else every task opens a file in every hour); AQE
-        # splits an hour too large for one task and merges small ones.
-        df = df.hint("rebalance", PARTITION_COLUMN)
-    writer = _ordered(df, name).write.mode(mode)
-    if name in PARTITIONED:
-        writer = writer.partitionBy(PARTITION_COLUMN)
-    writer.parquet(path)
-
+    # One shuffle by the partition column so each task writes few partitions
+    # (else every task opens a file in every day); AQE splits a day too large
+    # for one task and merges small ones.
+    df = with_partition_column(df).hint("rebalance", PARTITION_COLUMN)
+    _ordered(df, name).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)

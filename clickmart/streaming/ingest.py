@@ -23,13 +23,19 @@ from clickmart.operators.bronze import bronze
 from clickmart.sources.raw import file_path_column
 
 
+# Far more often than the entries a query keeps (100 by default) can turn over.
+POLL_SECONDS = 1
+# The file source forgets, and then never loads, files older than this against
+# the newest it has seen. Its default of a week would drop backfills and copies
+# that keep their times.
+MAX_FILE_AGE = "36500d"
+
+
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None) -> int:
     """Append ``df``'s new input to parquet at ``path`` and stop; returns the
-    number of input rows processed by this run (summed over the progress
-    entries the query keeps, ``spark.sql.streaming.numRecentProgressUpdates``:
-    exact unless a run spans more micro-batches; zero exactly when nothing
-    was new)."""
+    number of input rows processed by this run. The query keeps only its
+    latest progress entries, so they are gathered by batch while it runs."""
     writer = df.writeStream.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -39,10 +45,14 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str,
              .outputMode("append")
              .trigger(availableNow=True)
              .start())
-    query.awaitTermination()
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(POLL_SECONDS)
+        rows.update((p["batchId"], int(p["numInputRows"])) for p in query.recentProgress)
     if query.exception() is not None:  # pragma: no cover - surfaced by Spark
         raise query.exception()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+    return sum(rows.values())
 
 
 def raw_file_stream(spark: SparkSession, source_dir: str,
@@ -50,6 +60,7 @@ def raw_file_stream(spark: SparkSession, source_dir: str,
     reader = (spark.readStream.format("json")
               .option("singleVariantColumn", "json_data")
               .option("recursiveFileLookup", "true")
+              .option("maxFileAge", MAX_FILE_AGE)
               .schema("json_data variant"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

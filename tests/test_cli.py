@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from clickmart.__main__ import main
 from clickmart.plans import queries as Q
 from clickmart.plans import refresh as R
@@ -33,3 +35,23 @@ def test_build_refresh_and_late_report(spark, capsys):
     late = R.late_report(spark, tables)
     assert late.count() == 19  # as the late_rows query (oracle-checked)
     assert late.where(F.hour("extract_timestamp") != 23).count() == 0
+
+
+def test_layers_one_by_one(spark, capsys, monkeypatch):
+    """A refresh whose silver fails is finished by the layer commands."""
+    root = scratch_path(spark, "test-cli-layers")
+    landing, tables = f"{root}/landing", f"{root}/tables"
+    Q._write_delivery(spark, SF, landing, 1)
+    with pytest.raises(RuntimeError, match="full build first"):
+        main(["refresh", "--root", tables, "--landing", landing])
+    main(["build", "--root", tables, "--landing", landing, "--load-ts", Q.LOAD_TS_1])
+    Q._write_delivery(spark, SF, landing, 2)
+    R.load_bronze(spark, tables, landing, Q.LOAD_TS_2)
+    with pytest.raises(RuntimeError, match="silver layer first"):
+        main(["gold", "--root", tables])
+    main(["silver", "--root", tables, "--load-ts", Q.LOAD_TS_2])
+    main(["gold", "--root", tables])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"gold": 1}
+    assert R.store.read_table(spark, tables, "all_events").count() == 1000
+    with pytest.raises(SystemExit):
+        main(["refresh", "--root", tables])

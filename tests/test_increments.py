@@ -25,13 +25,13 @@ def full(spark):
 
 
 def test_fact_and_pages_equal_full_build(tb, full):
-    after = tb["after_silver"]
+    after = tb["after"]
     assert _rows(after[P.FACT]) == _rows(full[P.FACT])
     assert _rows(after[P.PAGES]) == _rows(full[P.PAGES])
 
 
 def test_devices_get_one_more_null_row(tb, full):
-    merged = tb["after_silver"][P.DEVICES]
+    merged = tb["after"][P.DEVICES]
     assert merged.count() == full[P.DEVICES].count() + 1
     assert merged.where(F.col("device_id").isNull()).count() == 2
 
@@ -51,9 +51,7 @@ def test_pruned_equals_unpruned(spark, tb):
 
 
 def test_second_refresh_without_new_rows_adds_nothing(spark, tb):
-    after = dict(tb["after_silver"])
-    after[P.ALL_EVENTS] = tb["first"][P.ALL_EVENTS].unionByName(tb["gold_appends"][P.ALL_EVENTS])
-    after[P.JOURNEY] = tb["first"][P.JOURNEY].unionByName(tb["gold_appends"][P.JOURNEY])
+    after = {n: tb["after"][n] for n in (P.BASE, P.FACT, P.PAGES, P.DEVICES, P.ALL_EVENTS, P.JOURNEY)}
     empty = after[P.BASE].where(F.lit(False))
     again = P.apply_increment(after, empty, Q.LOAD_TS_2)
     for name in (P.BASE, P.FACT, P.PAGES, P.ALL_EVENTS, P.JOURNEY):
@@ -85,7 +83,7 @@ def test_stored_refresh_equals_pure_two_batch(spark, tb):
     assert counts["refreshed"] == 1 and counts["base_rows"] == 399
     stored = {n: store.read_table(spark, root, n).drop("extract_date")
               for n in (P.FACT, P.PAGES, P.DEVICES, P.ALL_EVENTS, P.JOURNEY)}
-    after = tb["after_silver"]
+    after = tb["after"]
     for name in (P.FACT, P.PAGES):
         assert _rows(stored[name], drop=()) == _rows(after[name], drop=()), name
     assert _rows(stored[P.DEVICES], drop=()) == _rows(after[P.DEVICES], drop=())
@@ -102,7 +100,7 @@ def test_device_state_merge_equals_full_source_merge(spark, tb):
     from clickmart.operators import merge, silver
 
     base1 = tb["first"][P.BASE]
-    base_all = tb["after_silver"][P.BASE]
+    base_all = tb["after"][P.BASE]
     new_rows = base_all.where(F.col("load_timestamp") > F.lit(Q.LOAD_TS_1).cast("timestamp_ntz"))
     state1 = silver.device_candidates(base1)
     state2 = silver.advance_device_state(state1, new_rows)
@@ -110,4 +108,4 @@ def test_device_state_merge_equals_full_source_merge(spark, tb):
     src = silver.changed_device_source(state2, new_rows, Q.LOAD_TS_2)
     assert src.count() <= silver.latest_devices(base_all).count()
     merged = merge.merge_devices(tb["first"][P.DEVICES], src)
-    assert _rows(merged, drop=()) == _rows(tb["after_silver"][P.DEVICES], drop=())
+    assert _rows(merged, drop=()) == _rows(tb["after"][P.DEVICES], drop=())

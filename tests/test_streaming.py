@@ -81,13 +81,15 @@ def test_snapshot_versions_skip_unfinished_folders(spark):
     dev = spark.createDataFrame([("d1", "m", "f", "iOS", "1", "o", None)],
                                 "device_id string, device_type string, device_family string, "
                                 "platform string, os_version string, os_name string, load_timestamp timestamp_ntz")
-    store.write_table(dev, root, "dim_devices", "append")
+    store.write_table(dev, root, "dim_devices", 0)
     # a writer that died half-way: folder without _SUCCESS
-    dev.write.parquet(f"{root}/dim_devices/v=1/_temporary_dead")
-    assert store.snapshot_versions(spark, root, "dim_devices") == [0]
-    store.write_table(dev.withColumn("os_name", F.lit("new")), root, "dim_devices", "append")
-    assert store.snapshot_versions(spark, root, "dim_devices") == [0, 2]
-    assert store.read_table(spark, root, "dim_devices").first()["os_name"] == "new"
+    dev.write.parquet(f"{root}/dim_devices/run=1/_temporary_dead")
+    assert store.runs(spark, root, "dim_devices", 9) == [0]
+    assert store.read_table(spark, root, "dim_devices", 1).first()["os_name"] == "o"
+    store.write_table(dev.withColumn("os_name", F.lit("new")), root, "dim_devices", 1)
+    assert store.runs(spark, root, "dim_devices", 9) == [0, 1]
+    assert store.read_table(spark, root, "dim_devices", 1).first()["os_name"] == "new"
+    assert store.read_table(spark, root, "dim_devices", 0).first()["os_name"] == "o"
 
 
 def test_backlog_in_several_micro_batches(spark):
@@ -97,3 +99,36 @@ def test_backlog_in_several_micro_batches(spark):
         _write(spark, src, f"0_2024-01-01_{h}", [event(f"e{h}", "s1", f"2024-01-01 0{h}:00:00")])
     assert ingest_files(spark, src, raw, f"{root}/ck", max_files_per_trigger=1) == 3
     assert spark.read.parquet(raw).count() == 3
+
+
+def test_exact_count_over_more_micro_batches_than_a_query_remembers(spark):
+    root = scratch_path(spark, "test-many")
+    src, raw = f"{root}/landing", f"{root}/raw"
+    lines = spark.range(130).selectExpr(
+        "concat('{\"uuid\":\"', id, '\"}') as json_text",
+        "concat('data/0_2024-01-', lpad(cast(1 + id div 24 as string), 2, '0'), '_', id % 24, "
+        "'#0.json') as filename")
+    from clickmart.sources.driver_tables import write_json_lines
+
+    write_json_lines(lines, src)
+    assert ingest_files(spark, src, raw, f"{root}/ck", max_files_per_trigger=1) == 130
+    assert spark.read.parquet(raw).count() == 130
+
+
+def test_files_with_an_old_time_are_loaded(spark):
+    """A backfill that keeps its files' times, after newer files were loaded."""
+    import glob
+    import os
+    import time
+
+    root = scratch_path(spark, "test-old")
+    src, raw = f"{root}/landing", f"{root}/raw"
+    _write(spark, src, "0_2024-01-01_1", [event("a", "s1", "2024-01-01 01:00:00")])
+    assert ingest_files(spark, src, raw, f"{root}/ck") == 1
+    before = set(glob.glob(f"{src}/**/*", recursive=True))
+    _write(spark, src, "0_2024-01-01_0", [event("b", "s1", "2024-01-01 00:00:00")])
+    for f in set(glob.glob(f"{src}/**/*", recursive=True)) - before:
+        os.utime(f, (time.time() - 20 * 86400,) * 2)
+    assert ingest_files(spark, src, raw, f"{root}/ck") == 1
+    assert ingest_files(spark, src, raw, f"{root}/ck") == 0
+    assert spark.read.parquet(raw).count() == 2
