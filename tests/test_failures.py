@@ -1,6 +1,7 @@
 """A run that fails anywhere is finished by the next one, with nothing lost or doubled."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickmart.plans import pipeline as P
 from clickmart.plans import queries as Q
@@ -17,12 +18,24 @@ def _rows(spark, root):
             for n in TABLES}
 
 
+def _lines(spark):
+    """The files of three days around the cut."""
+    lines = Q.raw_json_lines(*Q.tables(spark, SF))
+    return lines.where(F.col("filename").rlike("2024-01-1[789]_"))
+
+
+def _deliver(spark, landing, which):
+    lines = _lines(spark)
+    first = Q.first_delivery(F.col("filename"))
+    Q.write_json_lines(lines.where(first if which == 1 else ~first), landing, mode="append")
+
+
 def _first(spark, name):
     root = scratch_path(spark, name)
     landing = f"{root}/landing"
-    Q._write_delivery(spark, SF, landing, 1)
+    _deliver(spark, landing, 1)
     R.initial_build(spark, root, landing, Q.LOAD_TS_1)
-    Q._write_delivery(spark, SF, landing, 2)
+    _deliver(spark, landing, 2)
     return root, landing
 
 
@@ -69,11 +82,10 @@ def test_failure_right_after_bronze_and_more_files_before_the_retry(spark, monke
                                                                     undisturbed):
     root = scratch_path(spark, "test-fail-bronze")
     landing = f"{root}/landing"
-    Q._write_delivery(spark, SF, landing, 1)
+    _deliver(spark, landing, 1)
     R.initial_build(spark, root, landing, Q.LOAD_TS_1)
-    lines = Q.raw_json_lines(*Q.tables(spark, SF))
-    second = lines.where(~Q.first_delivery(Q.F.col("filename")))
-    some = Q.F.col("filename").contains("_2024-01-2")
+    second = _lines(spark).where(~Q.first_delivery(F.col("filename")))
+    some = F.col("filename").contains("2024-01-19")
     Q.write_json_lines(second.where(some), landing, mode="append")
     monkeypatch.setattr(R, "refresh_silver", lambda *a, **k: (_ for _ in ()).throw(Failure()))
     with pytest.raises(Failure):
@@ -102,15 +114,14 @@ def test_a_second_build_replaces_the_first(spark, undisturbed):
     root, landing = _first(spark, "test-rebuild")
     R.initial_build(spark, root, landing, Q.LOAD_TS_2)
     got = _rows(spark, root)
-    assert len(got[P.FACT]) == len(got[P.ALL_EVENTS]) == 1000
+    assert len(got[P.FACT]) == len(got[P.ALL_EVENTS]) == _lines(spark).count()
     assert len(got[P.DEVICES]) == len(undisturbed[P.DEVICES]) - 1
 
 
 def test_old_device_snapshots_go(spark):
     root, landing = _first(spark, "test-expire")
     for i in range(4):
-        lines = Q.raw_json_lines(*Q.tables(spark, SF)).limit(2)
-        Q.write_json_lines(lines, f"{landing}/more{i}")
+        Q.write_json_lines(_lines(spark).limit(2), f"{landing}/more{i}")
         R.run_increment(spark, root, landing, Q.LOAD_TS_2)
     for name in store.SNAPSHOT:
         assert store.runs(spark, root, name, 99) == [2, 3, 4]

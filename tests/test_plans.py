@@ -94,5 +94,5 @@ def test_queries_build_only_their_layers(spark, monkeypatch):
 
 def test_bronze_is_read_back_by_column(spark):
     plan = _plan(Q.QUERIES["fct"](spark, SF))
-    read = re.search(r"ReadSchema: struct<([^>]*)>", plan)[1]
+    read = re.search(r"FileScan parquet \[([^\]]*)\]", plan)[1]
     assert "event_uuid" in read and "page_url" not in read
