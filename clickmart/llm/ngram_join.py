@@ -291,7 +291,11 @@ def _columns(t: pa.Table, names: list[str]) -> tuple[np.ndarray, ...]:
 
 
 def _in_blocks(rows: DataFrame, by: str, n_blocks: str) -> DataFrame:
-    """Each row once for every pair of blocks (lo, hi) that its block, ``side``, is in."""
+    """Each row once for every pair of blocks (lo, hi) that its block, ``side``, is in.
+
+    In order of key, so that the root of a forest is its least key and the
+    many lists of one group of near copies give the same few edges.
+    """
     cols = [c for c in rows.columns if c != n_blocks]
     split = rows.withColumn("side", F.pmod(F.xxhash64("key", F.lit(1)), F.col(n_blocks))
                             .cast("int"))
@@ -299,7 +303,7 @@ def _in_blocks(rows: DataFrame, by: str, n_blocks: str) -> DataFrame:
         F.lit(0), (F.col(n_blocks) - 1).cast("int"))).alias("other"))
     return (pairs.select(*cols, "side", F.least("side", "other").alias("lo"),
                          F.greatest("side", "other").alias("hi"))
-            .repartition(by, "lo", "hi").sortWithinPartitions(by, "lo", "hi"))
+            .repartition(by, "lo", "hi").sortWithinPartitions(by, "lo", "hi", "key"))
 
 
 # --- step 2: likely links ---------------------------------------------------
