@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-#: Slots of the fixed-size filter tables: the bound on what they broadcast.
-FILTER_SLOTS = 1 << 20
+#: Slots of the filter bitmaps. A filter broadcasts at most slots / 64 rows of
+#: 64 bits, whatever the data.
+FILTER_SLOTS = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,14 +50,18 @@ def semi_filter(df: DataFrame, keys: DataFrame, names: list[str],
                 slots: int = FILTER_SLOTS) -> DataFrame:
     """Rows of ``df`` whose key may be among ``keys`` (a superset of the semi-join).
 
-    Both sides are hashed to one of ``slots`` slots and only the distinct
-    slots are broadcast, so what is sent is bounded by ``slots`` whatever the
-    data. It thins out a side before a shuffle join, which stays exact.
+    Keys are hashed to one of ``slots`` bits; the bitmap, in words of 64 bits,
+    is what is broadcast, at most ``slots / 64`` rows. It thins out a side
+    before a shuffle join, which stays exact.
     """
-    def slot(cols: list[Column]) -> Column:
-        return F.pmod(F.xxhash64(*cols), F.lit(slots)).cast("int")
+    def slot(frame: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*[frame[n] for n in names]), F.lit(slots))
 
-    hit = keys.select(slot([keys[n] for n in names]).alias("__slot")).distinct()
+    hit = keys.select(slot(keys).alias("s")).selectExpr(
+        "cast(s div 64 as int) as __word", "cast(s % 64 as int) as b") \
+        .groupBy("__word").agg(F.expr("bit_or(shiftleft(1L, b))").alias("__bits"))
     cols = df.columns
-    return (df.withColumn("__slot", slot([df[n] for n in names]))
-            .join(F.broadcast(hit), "__slot", "left_semi").select(*[df[c] for c in cols]))
+    return (df.withColumn("__slot", slot(df)).withColumn("__word", F.expr("cast(__slot div 64 as int)"))
+            .join(F.broadcast(hit), "__word")
+            .where(F.expr("getbit(__bits, cast(__slot % 64 as int)) = 1"))
+            .select(*[df[c] for c in cols]))
