@@ -364,8 +364,9 @@ def components(edges: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, wanted: DataFrame, how: Join) -> DataFrame:
     """(key, sig, shingles) of the documents ``wanted`` (doc_id, text_key)."""
     texts = semi_filter(_texts(docs), wanted, ["doc_id", "text_key"])
+    # an inner join: a semi-join would be moved below the filter, before all texts
     met = texts.join(wanted, (texts["text_key"] == wanted["text_key"])
-                     & texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
+                     & texts["doc_id"].eqNullSafe(wanted["doc_id"]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(how)
