@@ -114,7 +114,10 @@ def phrase_hits(postings: DataFrame, items: Items, width: int = WINDOW) -> DataF
     """
     item = ["item_id", "item_key"]
     diagonal = [*DOC, *item, "diagonal"]
-    first = postings.join(anchors(postings, items, width), "term") \
+    # stored, so that its size is known: a small table is broadcast and the
+    # postings, of hot terms too, stay where they are
+    rare = stored(anchors(postings, items, width), "anchors")
+    first = postings.join(rare, "term") \
         .withColumn("diagonal", F.col("pos") - F.col("j"))
     lone = items.words.groupBy(*item).agg((F.max("n") == 1).alias("lone"))
     # both rarest lists meet on the diagonal (an item of one word has one list)
