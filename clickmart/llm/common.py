@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -41,6 +43,26 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable
     return df.mapInArrow(fn, schema)
 
 
+def per_process(key: tuple, make: Callable[[], object]) -> object:
+    """One object for all tasks of a Python worker process, made on first use.
+
+    Task functions are sent with the job and have no module of their own to
+    keep it in.
+    """
+    held = sys.modules.setdefault("_clickmart_worker", types.ModuleType("_clickmart_worker"))
+    kept = held.__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that few texts are held as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def blobs(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A text column as UTF-8 bytes; null counts as empty."""
     return [b or b"" for b in batch.column(name).cast(pa.binary()).to_pylist()]

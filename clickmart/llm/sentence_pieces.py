@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, stored
+from .common import in_parts, only, per_process, stored
 
 SPACE = "▁"
 CHUNK = 32_768
@@ -53,7 +54,7 @@ State = tuple[int, int]  # start and end of a piece, in characters from a chunk'
 class Pieces:
     """A sentencepiece BPE model, without its dummy prefix, and its pieces."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 120_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -76,8 +77,8 @@ class Pieces:
         self.bytes_of = [self._bytes(i, p) for i, p in enumerate(model.pieces)]
         self.cache_words = cache_words
         self.words: dict[str, bytes] = {}
-        self.joint = lru_cache(200_000)(self._joint)
-        self.one = lru_cache(200_000)(self._symbol)
+        self.joint = lru_cache(10_000)(self._joint)
+        self.one = lru_cache(10_000)(self._symbol)
 
     @staticmethod
     def _bytes(i: int, p) -> bytes:
@@ -99,22 +100,31 @@ class Pieces:
         """Whether two symbols stay as they are when encoded together."""
         return self.raw(left + right) == self.raw(left) + self.raw(right)
 
-    def word_ids(self, text: str) -> bytes:
-        """Ids (little-endian uint32) of normalised text that begins and ends at word starts."""
-        words = WORD.findall(text)
-        new = list({w for w in words if w not in self.words})
+    def learn(self, words: set[str]) -> None:
+        """Encode new words; a call has a cost of its own, so many texts' at once."""
+        new = [w for w in words if w not in self.words]
         if len(self.words) + len(new) > self.cache_words:
             self.words = {}
-            new = list(set(words))
+            new = list(words)
         got = self.library.encode([w.replace(SPACE, " ") for w in new], num_threads=1) if new else []
-        self.words.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(new, got, strict=True))
-        return b"".join(map(self.words.__getitem__, words))
+        self.words.update((w, array("I", i).tobytes()) for w, i in zip(new, got, strict=True))
+
+    def word_ids(self, texts: list[str]) -> list[bytes]:
+        """Ids (little-endian uint32) of normalised texts that begin and end at word starts."""
+        found = [WORD.findall(t) for t in texts]
+        self.learn(set().union(*found))
+        return [b"".join(map(self.words.__getitem__, words)) for words in found]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+def pieces(path: str) -> Pieces:
+    """The model of this worker process."""
+    return per_process(("pieces", path), lambda: Pieces(path))
+
+
 def _starts(text: str) -> list[int]:
     """Word starts: places of a space after a non-space."""
     out, at = [], text.find(SPACE)
@@ -253,7 +263,7 @@ class Chunk:
         head = self.ids(back(self.walk(entry, first), first, entry[1]))
         tail = back(self.walk((last, last), exit_[0]), exit_[0], last)
         tail = self.ids([*tail, *([exit_] if exit_[1] > exit_[0] else [])])
-        return head + (self.m.word_ids(self.sub(first, last)) if last > first else b"") + tail
+        return head + self.m.word_ids([self.sub(first, last)])[0] + tail
 
     def ids(self, spans: list[State]) -> bytes:
         out: list[int] = []
@@ -286,24 +296,21 @@ _CHUNK = "doc_id long, key long, n_chunks int, chunk int, head string, body stri
 _ENCODED = "doc_id long, key long, n_chunks int, chunk int, ids binary"
 
 
-def _chunks(docs: DataFrame, model: str, size: int) -> DataFrame:
-    """Chunks with their halos; small documents are one chunk."""
-    keyed = only(docs, doc_id="long", text="string") \
-        .withColumn("key", F.xxhash64("doc_id", "text"))
-
+def _chunks(keyed: DataFrame, model: str, size: int) -> DataFrame:
+    """Chunks with their halos."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Pieces(model)
+        m = pieces(model)
         halo = m.longest + 1
         for batch in batches:
-            out = []
             for doc, key, text in zip(*[batch.column(c).to_pylist()
                                         for c in ("doc_id", "key", "text")], strict=True):
-                t = m.prefix + text.replace(" ", SPACE) if text else ""
-                n = max(1, -(-len(t) // size))
-                out += [(doc, key, n, k, t[max(0, k * size - halo):k * size],
-                         t[k * size:(k + 1) * size], t[(k + 1) * size:(k + 1) * size + halo])
-                        for k in range(n)]
-            yield _batch(out, _CHUNK)
+                t = m.prefix + text.replace(" ", SPACE)
+                n = -(-len(t) // size)
+                for at in range(0, n, 64):  # a giant text leaves in parts
+                    yield _batch([(doc, key, n, k, t[max(0, k * size - halo):k * size],
+                                   t[k * size:(k + 1) * size],
+                                   t[(k + 1) * size:(k + 1) * size + halo])
+                                  for k in range(at, min(at + 64, n))], _CHUNK)
 
     return keyed.mapInArrow(rows, _CHUNK)
 
@@ -330,24 +337,28 @@ def _unpack(b: bytes) -> np.ndarray:
 
 def encode_chunks(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
     """(doc_id, key, n_chunks, chunk, ids): ids of each chunk, little-endian uint32."""
-    chunks = _chunks(docs, model, size)
+    keyed = only(docs, doc_id="long", text="string") \
+        .withColumn("key", F.xxhash64("doc_id", "text"))
+    # one character more than the text for the leading space
+    fits = F.coalesce(F.length("text") < size, F.lit(True))
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Pieces(model)
-        for batch in batches:
-            out = [(r["doc_id"], r["key"], 1, 0, m.word_ids(r["body"]) if r["body"] else b"")
-                   for r in batch.to_pylist()]
-            yield _batch(out, _ENCODED)
+        m = pieces(model)
+        for batch in in_parts(batches, 200):
+            docs_, keys, texts = [batch.column(c).to_pylist() for c in ("doc_id", "key", "text")]
+            ids = m.word_ids([m.prefix + t.replace(" ", SPACE) if t else "" for t in texts])
+            yield _batch([(d, k, 1, 0, i) for d, k, i in zip(docs_, keys, ids, strict=True)],
+                         _ENCODED)
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Pieces(model)
+        m = pieces(model)
         for batch in batches:
             yield _batch([(r["doc_id"], r["key"], r["chunk"],
                            _pack(Chunk(m, r["head"], r["body"], r["tail"]).matrix()[2]))
                           for r in batch.to_pylist()], "doc_id long, key long, chunk int, m binary")
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Pieces(model)
+        m = pieces(model)
         for batch in batches:
             out = []
             for r in batch.to_pylist():
@@ -356,9 +367,9 @@ def encode_chunks(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
                             c.backtrace(c.states(0)[r["entry"]], c.states(c.n)[r["exit"]])))
             yield _batch(out, _ENCODED)
 
-    whole = chunks.where("n_chunks = 1").mapInArrow(short, _ENCODED)
+    whole = keyed.where(fits).mapInArrow(short, _ENCODED)
     # equal rows have equal chunks: one of each is scanned, all are joined to the result
-    long_ = stored(chunks.where("n_chunks > 1").repartition("key", "chunk"), "chunks")
+    long_ = stored(_chunks(keyed.where(~fits), model, size).repartition("key", "chunk"), "chunks")
     cut = long_.select("doc_id", "key", "chunk", "head", "body", "tail") \
         .mapInArrow(matrices, "doc_id long, key long, chunk int, m binary") \
         .dropDuplicates(["key", "chunk"])
@@ -426,8 +437,8 @@ def encode(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Pieces(model)
-        for batch in batches:
+        m = pieces(model)
+        for batch in in_parts(batches, 200):
             texts = [m.decode(np.frombuffer(b or b"", "<u4"))
                      for b in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
@@ -440,8 +451,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 def digest(encoded: DataFrame, model: str) -> DataFrame:
     """Per row of (doc_id, ids): n_tokens, ids_crc32, and of the decoded text n_chars, text_crc32."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Pieces(model)
-        for batch in batches:
+        m = pieces(model)
+        for batch in in_parts(batches, 200):
             ids = [b or b"" for b in batch.column("ids").to_pylist()]
             texts = [m.decode(np.frombuffer(b, "<u4")) for b in ids]
             yield _batch([(d, len(b) // 4, zlib.crc32(b), len(t), zlib.crc32(t.encode()))
