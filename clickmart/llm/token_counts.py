@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blobs, map_batches, only
-from .word_encoder import WordEncoder
+from .word_encoder import word_encoder
 
 #: Lengths in a block of the two-level suffix sums.
 BLOCK = 1024
@@ -31,11 +31,11 @@ BLOCK = 1024
 def lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, n_tokens) of each whole text."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"),
-                 pa.array([encoder.count(t) for t in blobs(batch)], pa.int64())],
+                 pa.array(encoder.count(blobs(batch)), pa.int64())],
                 ["doc_id", "n_tokens"])
 
     return map_batches(only(docs, doc_id="long", text="string"), rows,

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blobs, only
-from .word_encoder import WordEncoder
+from .common import blobs, in_parts, only
+from .word_encoder import word_encoder
 
 #: Bits of the chunks of an id, lowest first.
 WIDTHS = (8, 8, 16)
@@ -107,7 +107,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
           segment_ids: int = SEGMENT_IDS) -> None:
     """Encode ``docs`` (doc_id, text) and write them to the folder ``path``."""
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         shard, seq, start = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], "<u4").tobytes()
         doc_ids: list[int | None] = []
@@ -120,10 +120,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
                    "doc_ids": doc_ids, "n_tokens": [len(p) // 4 for p in parts], **pack(ids)}
             return pa.RecordBatch.from_pylist([row], _ARROW)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), blobs(batch), strict=True):
+        for batch in in_parts(batches):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(),
+                                   encoder.encode(blobs(batch)), strict=True):
                 doc_ids.append(doc_id)
-                parts.append(encoder.encode(text) + end)
+                parts.append(ids + end)
                 held += len(parts[-1]) // 4
                 if held >= segment_ids:
                     yield segment()

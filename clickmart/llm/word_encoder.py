@@ -2,48 +2,79 @@
 
 ``word_bpe_49k.json`` drops white space and never joins what stands on its two
 sides, so the ids of a text are the ids of its white-space-separated parts in
-order. Parts repeat a lot; each task keeps their ids in a bounded cache and
-only new parts go through the tokenizers library.
+order. It also lower-cases, and sets a full stop or comma after a letter or
+digit apart, so that "The", "the" and "the," share a part. Parts repeat a lot;
+each worker process keeps their ids in a bounded cache and only new parts go
+through the tokenizers library.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+import re
+from array import array
 
-import numpy as np
+from .common import per_process
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 
+#: Texts whose parts are looked up at once.
+TEXTS = 500
+#: A stop or comma that ends a word and begins a token of its own.
+END = re.compile(rb"(?<=[A-Za-z0-9])([.,])(?=[ \n]|\Z)")
+#: With a combining mark, a capital composes unlike its small letter; special
+#: tokens are matched before the case is changed.
+CASED = (b"\xcc", b"\xcd", b"<|")
+
+
+def parts(text: bytes) -> list[bytes]:
+    """Pieces of a text (UTF-8) that are encoded each on its own."""
+    if not any(mark in text for mark in CASED):
+        text = text.lower()  # bytes: A-Z only
+    return END.sub(rb" \1", text).split()  # bytes: ASCII white space only
+
+
 class WordEncoder:
     """Encodes texts (UTF-8 bytes) to little-endian uint32 ids."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache_words = cache_words
         self.ids: dict[bytes, bytes] = {}
 
-    def learn(self, words: Iterable[bytes]) -> None:
-        new = list({w for w in words if w not in self.ids})
+    def learn(self, words: set[bytes]) -> None:
+        """Encode new parts; a call has a cost of its own, so many texts' at once."""
+        new = [w for w in words if w not in self.ids]
         if len(self.ids) + len(new) > self.cache_words:
             self.ids = {}
-            new = list(set(words))
+            new = list(words)
         for at in range(0, len(new), 50_000):
             part = new[at:at + 50_000]
             got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part],
                                               add_special_tokens=False)
-            self.ids.update((w, np.array(e.ids, "<u4").tobytes())
+            self.ids.update((w, array("I", e.ids).tobytes())
                             for w, e in zip(part, got, strict=True))
 
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()  # bytes: ASCII white space only
-        self.learn(words)
-        return b"".join(map(self.ids.__getitem__, words))
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            found = [parts(t) for t in texts[at:at + TEXTS]]
+            self.learn(set().union(*found))
+            out += [b"".join(map(self.ids.__getitem__, words)) for words in found]
+        return out
+
+    def count(self, texts: list[bytes]) -> list[int]:
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            found = [parts(t) for t in texts[at:at + TEXTS]]
+            self.learn(set().union(*found))
+            out += [sum(map(len, map(self.ids.__getitem__, words))) // 4 for words in found]
+        return out
+
 
-    def count(self, text: bytes) -> int:
-        words = text.split()
-        self.learn(words)
-        return sum(map(len, map(self.ids.__getitem__, words))) // 4
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of this worker process."""
+    return per_process(("words", path), lambda: WordEncoder(path))
