@@ -100,4 +100,31 @@ QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_sentence_pieces, op3_token_file, op4_ngram_join, op5_url_filter,
     op6_token_counts, op7_pii_surrogates, op8_quality_rank, op9_secret_scan,
     op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+
+_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{decontamination.UPPER}', "
+          f"'{decontamination.UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+#: DuckDB SQL for the queries that SQL can express.
+ORACLES: dict[str, str] = {"op1_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+ik AS (SELECT item_id, w, least(10, len(w)) AS k FROM i WHERE len(w) > 0),
+iw AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS win
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM ik)
+),
+dw AS (
+  SELECT doc_id, s, k, array_to_string(w[s:s + k - 1], ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
+        FROM d CROSS JOIN (SELECT DISTINCT k FROM ik) WHERE len(w) >= k)
+),
+met AS (SELECT dw.doc_id, dw.s, dw.k, iw.item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.win = iw.win),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM met) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
+"""}

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from clickmart.llm import (decontamination, ngram_join, pii, quality_rank, quality_rules,
                            secret_scan, sentence_pieces, token_counts, token_file, url_filter)
 from clickmart.llm import queries as Q
+from clickmart.llm.word_encoder import WordEncoder
 from clickmart.session import scratch_path
 
 from . import brute
@@ -146,11 +148,15 @@ def test_scan_is_associative():
 
 # 3, 6 ------------------------------------------------------------------------
 
-def encoded(text):
+@lru_cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(Q.tokenizer_path(Q.WORD_TOKENIZER))
-    return t.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(Q.tokenizer_path(Q.WORD_TOKENIZER))
+
+
+def encoded(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def test_token_file(spark, rows):
@@ -190,6 +196,18 @@ def test_codes_round_trip():
             assert token_file.access(seg, i) == ids[i]
 
 
+def test_parts_encode_like_whole_texts():
+    encoder = WordEncoder(Q.tokenizer_path(Q.WORD_TOKENIZER))
+    rnd = random.Random(4)
+    bits = ["the", "The", "THE,", ".", ",", " ", "\n", "don't.", "3.", "3,5", "é,", "…,", "H\u0331.",
+            "E\u0301,", "I\u0307", "<|startoftext|>", "<|STARTOFTEXT|>", "!.", "a.b", "\u2003", "\x1c"]
+    for _ in range(400):
+        text = "".join(rnd.choices(bits, k=rnd.randint(0, 12)))
+        ids = np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist()
+        assert ids == encoded(text), text
+        assert encoder.count([text.encode()]) == [len(ids)]
+
+
 def test_token_counts(spark, rows):
     lengths = [len(encoded(t)) for _, t in rows]
     sums = Q.op6_token_counts(spark, SF)
