@@ -54,7 +54,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+    """Judge all pages by words counted over all documents and pages."""
+    pages = table(spark, sf_dir, "pages")
+    counts = url_filter.learn(pages, table(spark, sf_dir, "documents"))
+    return url_filter.judge_urls(pages, counts=counts)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

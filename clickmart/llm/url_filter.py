@@ -3,11 +3,18 @@
 Rules name a host (it and all its subdomains) and a path prefix; the longest
 that fits decides. Other URLs are judged by the words of their host and path:
 a unigram Viterbi splits concatenated names (``cheappills``) into words, and a
-multinomial naive Bayes, trained on labelled seed names, weighs them.
+naive Bayes weighs them.
 
-The word and seed lists are parameters and small; they do not grow with the
-data. Everything else is per row, with a bounded cache of split names in each
-task, so nothing is shuffled and a hot host costs one look-up per row.
+``learn`` counts both models on Spark: the unigram counts are those of every
+word of the given texts (documents and the visible text of all pages), and the
+Bayes weights compare in how many pages a word occurs whose names the seeds
+take for block, and in how many others. Seeds are only the start: a share of
+the unigram probability and the prior weight of their own words. The counts
+are a table as long as the vocabulary; it is joined to the parts of the
+distinct names, never collected. Without it, seeds alone judge, per row.
+
+Hot hosts: names and (host, path) are made distinct before they are split, and
+the join back is an equi-join on a unique side.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path;
 no rule fits it and it is judged on no words (the prior: allow). A url may
@@ -27,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import in_parts, map_batches, stored
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -75,6 +82,8 @@ class Settings:
     unknown_start: float = -6.0
     longest: int = 24
     cache: int = 200_000
+    seed_share: float = 0.1          # of the unigram probability, beside counted words
+    shrink: float = 5.0              # pages of each label added to a word's, at the overall ratio
     words: Counter = field(init=False, compare=False)
 
     def __post_init__(self) -> None:
@@ -111,11 +120,17 @@ class Segmenter:
 
     def __init__(self, how: Settings):
         total = sum(how.words.values()) + len(how.words)
-        self.log = {w: math.log((c + 1) / total) for w, c in how.words.items()
-                    if len(w) > 1}
+        self.seeds = {w: (c + 1) / total for w, c in how.words.items() if len(w) > 1}
+        self.log = {w: math.log(p) for w, p in self.seeds.items()}
         self.how = how
         self.longest = max(map(len, self.log), default=1)
 
+    def use(self, counts: dict[str, int], total: int) -> None:
+        """Judge by these words' counts of ``total`` from now on, mixed with the seeds."""
+        share = self.how.seed_share
+        self.log = {w: math.log(share * self.seeds.get(w, 0.0) + (1 - share) * n / total)
+                    for w, n in counts.items() if n or w in self.seeds}
+
     def split(self, name: str) -> list[str]:
         """Words of ``name``, unknown stretches whole; of equal scores the longer last word."""
         n = len(name)
@@ -179,8 +194,137 @@ SCHEMA = ("page_id long, host string, path string, rule string, verdict string,
           "words array<string>, log_odds double")
 
 
-def judge_urls(pages: DataFrame, how: Settings = Settings()) -> DataFrame:
-    """``SCHEMA`` for each row of ``pages`` (page_id, url); only these columns are read."""
+# --- counted words ---------------------------------------------------------
+
+#: What is no visible text of a page: scripts, styles, comments, tags, addresses.
+HIDDEN = (r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;"
+          r"|\b\w+://\S+")
+WORD = r"\p{L}+"
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+
+
+def _countable(df: DataFrame) -> DataFrame:
+    """Words that names can hold: two ASCII letters or more."""
+    return df.where(F.col("word").rlike("^[a-z]{2,}$"))
+
+
+def learn(pages: DataFrame, texts: DataFrame | None = None,
+          how: Settings = Settings()) -> DataFrame:
+    """(word, n, block, other): occurrences in all texts, pages of each label with the word.
+
+    ``pages`` has url and html, ``texts`` text. A page counts as block if the
+    seed words of its host and path speak for block.
+    """
+    u = pages.select(pages["url"].cast("string").alias("__u"),
+                     F.regexp_replace(F.coalesce(pages["html"].cast("string"), F.lit("")),
+                                      HIDDEN, " ").alias("text"))
+    named = u.select(host_of(F.col("__u")).alias("host"), path_of(F.col("__u")).alias("path"),
+                     "text")
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(how)
+        for batch in batches:
+            block = [judge.score(h, p)[1] > judge.bayes.prior for h, p in zip(
+                batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("text"), pa.array(block, pa.bool_())],
+                                             ["text", "block"])
+
+    once = F.array_distinct(_words(F.col("text")))
+    by_page = _countable(map_batches(named, label, "text string, block boolean")
+                         .select(F.explode(once).alias("word"), "block")) \
+        .select("word", F.lit(0).cast("long").alias("n"),
+                F.col("block").cast("long").alias("block"),
+                (~F.col("block")).cast("long").alias("other"))
+    all_texts = named.select("text")
+    if texts is not None:
+        all_texts = all_texts.unionByName(texts.select(texts["text"].cast("string").alias("text")))
+    said = _countable(all_texts.select(F.explode(_words(F.col("text"))).alias("word"))) \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")) \
+        .select("word", "n", F.lit(0).cast("long").alias("block"),
+                F.lit(0).cast("long").alias("other"))
+    return said.unionByName(by_page).groupBy("word").agg(
+        *[F.sum(c).alias(c) for c in ("n", "block", "other")])
+
+
+def _judged_names(urls: DataFrame, counts: DataFrame, how: Settings) -> DataFrame:
+    """(host, path, words, odds) of each distinct host and path, by counted words."""
+    size = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                        for c in ("n", "block", "other")]).first()
+    total, pages = max(size["n"], 1), max(size["block"] + size["other"], 1)
+    share = size["block"] / pages
+    longest = max(how.longest, *map(len, how.words), 1)
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [PARTS.findall(h.lower()) + PARTS.findall(p.lower()) for h, p in zip(
+                batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), batch.column("path"),
+                 pa.array(parts, pa.list_(pa.string()))], ["host", "path", "names"])
+
+    def listed(out: list[tuple[str, str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.string()),
+                                           pa.array([w for _, w in out], pa.string())],
+                                          ["name", "word"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_parts(batches, 1000):
+            out: list[tuple[str, str]] = []
+            for name in part.column("name").to_pylist():
+                for a in range(len(name)):
+                    out += [(name, name[a:b])
+                            for b in range(a + 2, min(a + longest, len(name)) + 1)]
+                    if len(out) >= 50_000:
+                        yield listed(out)
+                        out = []
+            yield listed(out)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, bayes = Segmenter(how), Bayes(how)
+
+        def odds(word: str, block: int, other: int) -> float:
+            n = block + other
+            return bayes.odds.get(word, 0.0) \
+                + math.log((block + how.shrink) / (n * share + how.shrink)) \
+                - math.log((other + how.shrink) / (n * (1 - share) + how.shrink))
+
+        for batch in batches:
+            words, score = [], []
+            for name, known in zip(batch.column("name").to_pylist(),
+                                   batch.column("known").to_pylist(), strict=True):
+                met = {k["word"]: (k["block"], k["other"]) for k in known or ()}
+                counts = {k["word"]: k["n"] for k in known or ()}
+                segment.use({**{w: 0 for w in segment.seeds if w in name}, **counts}, total)
+                words.append(segment.split(name))
+                score.append(sum(odds(w, *met.get(w, (0, 0))) for w in words[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("name"), pa.array(words, pa.list_(pa.string())),
+                 pa.array(score, pa.float64())], ["name", "words", "odds"])
+
+    named = stored(map_batches(urls.select("host", "path").distinct(), names,
+                               "host string, path string, names array<string>"), "url-names")
+    distinct = named.select(F.explode("names").alias("name")).distinct()
+    known = map_batches(distinct, pieces, "name string, word string").join(counts, "word") \
+        .groupBy("name").agg(F.collect_set(F.struct("word", "n", "block", "other")).alias("known"))
+    done = map_batches(distinct.join(known, "name", "left").select("name", "known"), split,
+                       "name string, words array<string>, odds double")
+    placed = named.select("host", "path", F.posexplode("names").alias("at", "name")) \
+        .join(done, "name").groupBy("host", "path") \
+        .agg(F.array_sort(F.collect_list(F.struct("at", "words", "odds"))).alias("got"))
+    return placed.select(
+        "host", "path", F.flatten(F.transform("got", lambda g: g["words"])).alias("words"),
+        F.aggregate("got", F.lit(0.0), lambda x, g: x + g["odds"]).alias("odds"))
+
+
+def judge_urls(pages: DataFrame, how: Settings = Settings(),
+               counts: DataFrame | None = None) -> DataFrame:
+    """``SCHEMA`` for each row of ``pages`` (page_id, url); only these columns are read.
+
+    ``counts`` are those of ``learn``; without them the seeds alone judge.
+    """
     u = pages.select(pages["page_id"].cast("long").alias("page_id"),
                      pages["url"].cast("string").alias("__u"))
     parted = u.select("page_id", host_of(F.col("__u")).alias("host"),
@@ -188,6 +332,16 @@ def judge_urls(pages: DataFrame, how: Settings = Settings()) -> DataFrame:
     ruled = parted.withColumn("__r", rule_of(F.col("host"), F.col("path"), how.rules)) \
         .select("page_id", "host", "path", F.col("__r.rule").alias("rule"),
                 F.col("__r.verdict").alias("verdict"))
+    if counts is not None:
+        prior = Bayes(how).prior
+        met = _judged_names(ruled, stored(counts, "url-words"), how)
+        log_odds = F.coalesce("odds", F.lit(0.0)) + F.lit(prior)
+        return ruled.join(met, ["host", "path"], "left").select(
+            "page_id", "host", "path", "rule",
+            F.coalesce("verdict", F.when(log_odds > 0, "block").otherwise("allow"))
+            .alias("verdict"),
+            F.coalesce("words", F.array().cast("array<string>")).alias("words"),
+            log_odds.alias("log_odds"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(how)

@@ -344,6 +344,29 @@ def test_segmentation_is_the_best_split():
         assert sum(map(cost, seg.split(name))) == pytest.approx(best)
 
 
+def test_url_words_are_learnt_from_the_tables(spark):
+    """A block host of words outside the seeds, known only from pages and documents."""
+    bad = "<html><script>garden()</script><p>best mortgage rates, refinance now</p></html>"
+    good = "<p>pictures of mountains and rivers</p>"
+    rows = [(i, f"http://cheappills{i % 3}.net/{i}", bad) for i in range(20)]
+    rows += [(100 + i, f"http://weather{i % 5}.net/{i}", good) for i in range(60)]
+    rows += [(900, "http://bestmortgagerates.net/", None), (901, "http://mountainrivers.net/x", ""),
+             (901, "http://mountainrivers.net/x", ""), (None, None, good)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = spark.createDataFrame([("mortgage rates and rivers, a mountain " * 3,), (None,)],
+                                  "text string")
+    counts = url_filter.learn(pages, texts)
+    by = {r["word"]: tuple(r)[1:] for r in counts.collect()}
+    assert by["mortgage"] == (23, 20, 0) and by["rivers"] == (64, 0, 61) and "script" not in by
+    got = url_filter.judge_urls(pages, counts=counts).collect()
+    assert len(got) == len(rows)
+    first = {r["page_id"]: r for r in got}
+    assert first[900]["words"] == ["best", "mortgage", "rates", "net"]
+    assert first[900]["verdict"] == "block" and first[900]["rule"] is None
+    assert first[901]["words"][:2] == ["mountain", "rivers"]
+    assert [first[i]["verdict"] for i in (0, 100, 901, None)] == ["block", "allow", "allow", "allow"]
+
+
 # 7 ---------------------------------------------------------------------------
 
 TEXTS = ["Write to ann.lee@mail.example.com or ANN.LEE@mail.example.com, or bob@mail.example.com",
