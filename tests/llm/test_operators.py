@@ -517,6 +517,24 @@ def test_redaction(spark, docs):
     assert secret_scan.redact(df, secret_scan.train(docs)).first()["text"] == "x [SECRET]\" y"
 
 
+def test_secrets_behind_long_paths(spark, docs):
+    """A secret counts wherever it starts in a run, and is redacted."""
+    net = secret_scan.train(docs)
+    rnd = random.Random(5)
+    tail = "".join(rnd.choices("abcdefghijkLMNOPQRSTUV0123456789", k=36))
+    front = "archive/2019/reports/quarter/summary/of-the-year/public/index/"
+    texts = [f"see {front * n}ghp_{tail}{end} now" for n in (1, 2, 9) for end in ("", "/raw/file")]
+    assert len(front) > secret_scan.INSIDE
+    for t, found in zip(texts, secret_scan.spans_of(texts, net), strict=True):
+        assert [(t[a:a + 7], t[b:], kind) for a, b, kind in found] == [("archive", " now", "found")]
+    assert secret_scan.spans_of([f"see {front * 9}file now"], net) == [[]]
+    clean = secret_scan.redact(spark.createDataFrame([(t,) for t in texts], "text string"), net)
+    assert {r["text"] for r in clean.collect()} == {"see [SECRET] now"}
+    for n in (1, 47, 48, 49, 64, 500):
+        got = secret_scan.slices(3, 3 + n)
+        assert set().union(*(range(a, b) for a, b in got)) == set(range(3, 3 + n))
+
+
 # 10 --------------------------------------------------------------------------
 
 def test_quality_rules(spark, rows):
