@@ -535,6 +535,21 @@ def test_secrets_behind_long_paths(spark, docs):
         assert set().union(*(range(a, b) for a, b in got)) == set(range(3, 3 + n))
 
 
+def test_threshold_keeps_the_recall_of_a_hard_mix():
+    """Look-alikes that are secrets in 30 of 100 cases score below 0.5, and are kept."""
+    how = secret_scan.Training()
+    made = secret_scan.generated_findings(1000, seed=3)
+    rng = np.random.default_rng(1)
+    y = np.array([label or int(rng.random() < 0.3) for _, label in made])
+    net = secret_scan.fit([w for w, _ in made], y.tolist(), [True] * len(y), how)
+    held = np.random.default_rng(how.seed).permutation(len(y))[:len(y) // 3]
+    p = secret_scan.score(net, [made[i][0] for i in held])
+    assert (p[y[held] == 1] >= net["threshold"]).mean() >= how.recall
+    assert net["threshold"] < 0.5
+    assert secret_scan.recall_threshold(np.array([0.99] * 50), 0.98) == 0.9
+    assert secret_scan.recall_threshold(np.array([0.1, *[0.8] * 98, 0.2]), 0.98) == 0.8
+
+
 # 10 --------------------------------------------------------------------------
 
 def test_quality_rules(spark, rows):
