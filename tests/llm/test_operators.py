@@ -550,6 +550,38 @@ def test_threshold_keeps_the_recall_of_a_hard_mix():
     assert secret_scan.recall_threshold(np.array([0.1, *[0.8] * 98, 0.2]), 0.98) == 0.8
 
 
+def test_every_candidate():
+    def got(t):
+        return [t[a:b] for a, b in secret_scan.candidates(t, secret_scan.base_spans(t))]
+
+    assert got("a ShoRt1 no 123 word " + "kQzWxPvTbNmLrJhG" + " x9") == ["ShoRt1", "kQzWxPvTbNmLrJhG", "x9"]
+    assert got("1" * 16 + " " + "2" * 15) == ["1" * 16]
+    # only the base span's own characters are taken out of a run
+    assert got("front/" + "G" * 10 + "/" + "0a" * 12 + "ZZ9") == ["front/" + "G" * 10 + "/", "ZZ9"]
+    assert got("see path/to/the/file1/token=abcdefgh now") == ["path/to/the/file1/"]
+    assert got("x" * 15) == got("") == got("token=abcdefgh") == []
+
+
+def test_training_findings_are_those_of_the_scan(spark):
+    """Values of all three base kinds are positive, the scan's candidates negative."""
+    texts = ["password=hunter-two-x", "AKIA" + "Q" * 16, "0a" * 16, "slug room-12-north and v2",
+             "averyverylongplainword"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = secret_scan.corpus_findings(docs, secret_scan.Training())
+    at = secret_scan.BEFORE
+    inner = {(w[at:at + secret_scan.INSIDE].rstrip("\0"), y) for w, y in got}
+    assert inner == {("hunter-two-x", 1), ("AKIA" + "Q" * 16, 1), ("0a" * 16, 1),
+                     ("room-12-north", 0), ("v2", 0), ("averyverylongplainword", 0)}
+
+
+def test_network_finds_secrets_without_digits(docs):
+    net = secret_scan.train(docs)
+    rnd = random.Random(8)
+    texts = ["use " + "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=32))
+             + " now" for _ in range(200)]
+    assert sum(map(bool, secret_scan.spans_of(texts, net))) > 180
+
+
 # 10 --------------------------------------------------------------------------
 
 def test_quality_rules(spark, rows):
