@@ -5,7 +5,8 @@ after a title or with a known given name) get replacements of the same type,
 script, gender and format. A surrogate is drawn from a keyed hash of the
 entity's normal form, so every mention of it, in any format and document, gets
 the same one (coreference). Draws that fall on another entity's surrogate, or
-on any real entity, are drawn again until none is left (distinctness).
+on any real entity, are drawn again until none is left (distinctness), from a
+space that grows in the entity's own alphabet once its format is used up.
 
 Defined cases: null texts stay null and empty ones empty, with 0 entities;
 equal rows get equal results and all stay; other columns pass through; empty
@@ -49,7 +50,9 @@ PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
 #: Every mention has one of these; texts without are not searched further.
 HINT = r"[0-9@]|(?<![\p{L}])(?:" + "|".join(TITLES_M + TITLES_F + GIVEN_M + GIVEN_F) + r")\b"
 
+#: Draws in an entity's own length; later ones are longer by one place more each.
 ROUNDS = 8
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 _SYLLABLES = {
     "latin": ("ba", "cor", "del", "fen", "gal", "hol", "jin", "kel", "lor", "mar", "nev", "or",
               "pel", "quin", "ros", "sel"),
@@ -129,18 +132,20 @@ def _like(text: Column, h: Column) -> Column:
     """Characters of the same class: digits by digits, letters by letters, others kept."""
     def one(c: Column, i: Column) -> Column:
         x = _at(h, i)
+        pair = F.conv(F.concat(_at(h, 2 * i), _at(h, 2 * i + 1)), 16, 10).cast("int")
+        letter = F.substring(F.lit(ALPHABET), F.pmod(pair, F.lit(26)) + 1, F.lit(1))
         return (F.when(c.rlike("[0-9]"), F.translate(x, "abcdef", "135792"))
-                .when(c.rlike("[a-z]"), F.translate(x, "0123456789", "ghijklmnop"))
-                .when(c.rlike("[A-Z]"), F.upper(F.translate(x, "0123456789", "ghijklmnop")))
+                .when(c.rlike("[a-z]"), letter).when(c.rlike("[A-Z]"), F.upper(letter))
                 .when(c.rlike(r"\p{L}"), F.translate(x, "0123456789abcdef", "áéíóúàèìòùâêîôûü"))
                 .otherwise(c))
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
-def _draw(key: str, type_: Column, normal: Column, attempt: Column) -> Column:
-    """A surrogate normal form."""
+def _draw(key: str, type_: Column, normal: Column, attempt: Column, rounds: int) -> Column:
+    """A surrogate normal form, from ``rounds`` on longer with each attempt."""
     h = _hash(key, type_, normal, attempt)
+    extra = F.greatest(attempt - F.lit(rounds - 1), F.lit(0)).cast("int")
 
     def octet(i: int) -> Column:
         return F.conv(F.substring(h, 1 + 2 * i, 2), 16, 10)
@@ -151,57 +156,61 @@ def _draw(key: str, type_: Column, normal: Column, attempt: Column) -> Column:
         parts = [F.element_at(F.array(*map(F.lit, _SYLLABLES[script])),
                               F.conv(F.substring(h, 1 + i, 1), 16, 10).cast("int") + 1)
                  for i in range(3)]
-        # later draws take a longer name, so that names never run out
-        longer = F.element_at(F.array(*map(F.lit, _SYLLABLES[script])),
-                              F.conv(F.substring(h, 5, 1), 16, 10).cast("int") + 1)
-        return F.concat(*parts, F.when(attempt > 0, longer).otherwise(F.lit("")),
-                        F.when(attempt > 2, F.concat(parts[1], longer)).otherwise(F.lit("")),
-                        F.lit(_ENDINGS[script, end]))
+        # later draws take a longer name, each of its syllables drawn, so that names never run out
+        longer = F.transform(
+            F.sequence(F.lit(0), attempt),
+            lambda i: F.when(i > 0, F.element_at(
+                F.array(*map(F.lit, _SYLLABLES[script])),
+                F.conv(_at(h, i + 3), 16, 10).cast("int") + 1)).otherwise(F.lit("")))
+        return F.concat(*parts, F.array_join(longer, ""), F.lit(_ENDINGS[script, end]))
 
     def either(end: str) -> Column:
         return F.when(cyrillic, name("cyrillic", end)).otherwise(name("latin", end))
 
-    local = _like(F.substring_index(normal, "@", 1), h)
+    local = _like(F.concat(F.substring_index(normal, "@", 1), F.repeat(F.lit("a"), extra)), h)
     tld = F.substring_index(normal, ".", -1)
-    stem = F.expr("substr(normal, 1, length(normal) - length(substring_index(normal, '.', -1)))")
+    stem = F.expr("substr(normal, 1, length(normal) - length(substring_index(normal, '.', -1)) - 1)")
     return (F.when(type_ == "email", local)
-            .when(type_ == "domain", F.concat(_like(stem, h), tld))
+            .when(type_ == "domain", F.concat(
+                _like(F.concat(stem, F.repeat(F.lit("a"), extra)), h), F.lit("."), tld))
+            .when((type_ == "ip") & (extra > 0), _like(F.lit("000.000.000.000"), h))
             .when(type_ == "ip", F.concat_ws(".", *[octet(i) for i in range(4)]))
             .when(type_ == "given_m", either("m")).when(type_ == "given_f", either("f"))
             .when(type_ == "given_u", either("u")).when(type_ == "family", either("s"))
             .when(type_ == "iban", F.concat(F.substring(normal, 1, 2),
-                                            _like(F.expr("substr(normal, 3)"), h)))
-            .otherwise(_like(normal, h)))
+                                            _like(F.concat(F.expr("substr(normal, 3)"),
+                                                           F.repeat(F.lit("0"), extra)), h)))
+            .otherwise(_like(F.concat(normal, F.repeat(F.lit("0"), extra)), h)))
 
 
 def draw_surrogates(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(type, normal, surrogate) of distinct (type, normal), distinct and never a real entity.
 
-    An e-mail's surrogate is its local part, held unique among all e-mails. An
-    entity whose space of that format is used up after ``rounds`` draws gets a
-    longer surrogate, ended by its hash.
+    An e-mail's surrogate is its local part, distinct among those of its domain
+    and other than its own; the domain's surrogate is no real one, so neither
+    is the address. An entity that found no free surrogate of its own length in
+    ``rounds`` draws gets longer ones of the same characters, until all have one.
     """
-    real = entities.select("type", F.when(
-        F.col("type") == "email", F.substring_index("normal", "@", 1))
-        .otherwise(F.col("normal")).alias("taken")).distinct()
+    local = F.substring_index("normal", "@", 1)
+    scope = F.when(F.col("type") == "email", F.substring_index("normal", "@", -1)) \
+        .otherwise(F.lit(""))
+    held = ["type", "scope", "surrogate"]
+    real = entities.where("type <> 'email'").select(
+        "type", F.lit("").alias("scope"), F.col("normal").alias("surrogate"))
     settled, open_ = None, entities.withColumn("attempt", F.lit(0))
-    for turn in range(rounds + 1):
-        drawn = open_.withColumn("surrogate", _draw(key, F.col("type"), F.col("normal"),
-                                                    F.col("attempt")))
-        if turn == rounds:
-            drawn = drawn.withColumn("surrogate", F.concat("surrogate", F.lit("x"), _hash(
-                key, F.col("type"), F.col("normal"), F.col("attempt"))))
+    while True:
+        drawn = open_.withColumn("scope", scope).withColumn("surrogate", _draw(
+            key, F.col("type"), F.col("normal"), F.col("attempt"), rounds))
         # a draw is kept by the least entity that has it, if no earlier round took it
-        first = drawn.groupBy("type", "surrogate").agg(F.min("normal").alias("owner"))
+        first = drawn.where((F.col("type") != "email") | (F.col("surrogate") != local)) \
+            .groupBy(*held).agg(F.min("normal").alias("owner"))
         taken = real if settled is None else real.unionByName(
-            settled.select("type", F.col("surrogate").alias("taken")))
-        free = first.join(taken, (first["type"] == taken["type"])
-                          & (first["surrogate"] == taken["taken"]), "left_anti")
-        judged = stored(drawn.join(free.withColumn("free", F.lit(True)),
-                                   ["type", "surrogate"], "left")
+            settled.select("type", scope.alias("scope"), "surrogate"))
+        free = first.join(taken, held, "left_anti")
+        judged = stored(drawn.join(free, held, "left")
                         .select("type", "normal", "attempt", "surrogate",
-                                F.coalesce(F.col("free") & (F.col("owner") == F.col("normal")),
-                                           F.lit(False)).alias("ok")), "surrogates")
+                                F.coalesce(F.col("owner") == F.col("normal"), F.lit(False))
+                                .alias("ok")), "surrogates")
         good = judged.where("ok").select("type", "normal", "surrogate")
         settled = good if settled is None else settled.unionByName(good)
         open_ = judged.where("not ok").select("type", "normal", (F.col("attempt") + 1)

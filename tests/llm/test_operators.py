@@ -420,6 +420,33 @@ def test_surrogates_stay_distinct_when_draws_collide(spark):
     assert not real & set(drawn)
 
 
+def test_surrogates_keep_their_format_when_draws_run_out(spark):
+    """Longer ones are of the entity's own characters; e-mails differ within their domain."""
+    import re
+
+    rows = [("email", f"hr@d{i}.com") for i in range(400)]
+    rows += [("email", f"{a}{b}@one.org") for a in "abcdefghij" for b in "abcdefghij"]
+    rows += [("domain", f"{a}.com") for a in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("family", "n" + "".join("abcdefghij"[int(d)] for d in str(i))) for i in range(6000)]
+    rows += [("ssn", f"{i:02d}") for i in range(60)]
+    got = pii.draw_surrogates(spark.createDataFrame(rows, "type string, normal string"), "k",
+                              rounds=2).collect()
+    assert sorted((r["type"], r["normal"]) for r in got) == sorted(rows)
+    by = {t: [r for r in got if r["type"] == t] for t in ("email", "domain", "family", "ssn")}
+    assert all(re.fullmatch("[a-z]{2}", r["surrogate"]) and r["surrogate"] != "hr"
+               for r in by["email"] if r["normal"].startswith("hr@"))
+    assert all(re.fullmatch("[a-z]{2,5}", r["surrogate"]) for r in by["email"])
+    one = [r["surrogate"] for r in by["email"] if r["normal"].endswith("@one.org")]
+    assert len(set(one)) == 100
+    assert all(re.fullmatch(r"[a-z]{2,5}\.com", r["surrogate"]) for r in by["domain"])
+    syllables = "|".join(pii._SYLLABLES["latin"])
+    assert all(re.fullmatch(f"(?:{syllables}){{3,8}}er", r["surrogate"]) for r in by["family"])
+    assert all(re.fullmatch("[0-9]{2,6}", r["surrogate"]) for r in by["ssn"])
+    for t in ("domain", "family", "ssn"):
+        drawn = {r["surrogate"] for r in by[t]}
+        assert len(drawn) == len(by[t]) and not drawn & {r["normal"] for r in by[t]}
+
+
 def test_surrogates_on_documents(spark, rows):
     import re
 
