@@ -2,7 +2,10 @@
 
 Every whole text gets a few plain measures (words, symbols, repeated lines,
 repeated 8-word windows) and zstandard ratios (raw bytes / compressed bytes)
-of the whole text and of each full fixed-size chunk. Text that compresses far
+of the whole text and of fixed-size chunks: each full one, and the last bytes
+of a text that does not end with one, so that every byte of a text of at least
+one chunk is in a chunk (shorter texts are one piece, judged by the band for
+their length). Text that compresses far
 better than prose of its length is repetitive, text that hardly compresses is
 noise; both fall outside the band for their length and are rejected.
 
@@ -99,7 +102,10 @@ def judge(text: bytes, rules: Rules, zip_: zstandard.ZstdCompressor) -> tuple:
         ratio = len(text) / len(zip_.compress(text))
         low, high = next((lo, hi) for end, lo, hi in rules.bands if len(text) < end)
         step, (c_low, c_high) = rules.chunk_bytes, rules.chunk_band
-        for at in range(0, len(text) - step + 1, step):
+        starts = list(range(0, len(text) - step + 1, step))
+        if starts and len(text) % step:
+            starts.append(len(text) - step)
+        for at in starts:
             n_chunks += 1
             bad += not c_low <= step / len(zip_.compress(text[at:at + step])) <= c_high
         kept = kept and low <= ratio <= high and bad <= rules.max_bad_chunks * n_chunks

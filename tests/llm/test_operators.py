@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from clickmart.llm import (decontamination, ngram_join, pii, quality_rank, quality_rules,
@@ -649,3 +650,21 @@ def test_compression_bands(spark):
     got = {r["doc_id"]: r for r in quality_rules.measure(df).collect()}
     assert not got[0]["base_failed"] and got[0]["ratio"] < 2
     assert not got[1]["base_failed"] and not got[1]["kept"] and got[1]["ratio"] > 4
+
+
+def test_the_tail_of_a_text_is_in_a_chunk():
+    """A repetitive tail behind good text, short of a full chunk."""
+    rnd = random.Random(4)
+    good = " ".join("".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(900))
+    rules, zip_ = quality_rules.Rules(max_repeat_pct=100), zstandard.ZstdCompressor(level=3)
+    names = quality_rules.SCHEMA.replace(",", "").split()[2::2]
+
+    def got(text):
+        return dict(zip(names, quality_rules.judge(text.encode(), rules, zip_), strict=True))
+
+    front = good[:4096]
+    tail = " ".join(f"{i % 7} spam" for i in range(4000))[:4090]
+    assert (got(front)["n_chunks"], got(front)["n_bad_chunks"]) == (1, 0)
+    r = got(front + tail)
+    assert (r["n_chunks"], r["n_bad_chunks"]) == (2, 1) and not r["kept"]
+    assert got(front * 2)["n_chunks"] == 2 and got(good[:4095])["n_chunks"] == 0
