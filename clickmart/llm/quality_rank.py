@@ -3,18 +3,20 @@
 A document has a score w.x over features of its whole text. A pair (better,
 worse) is won with probability sigmoid(w.x_better - w.x_worse); w minimises
 the logistic loss over pairs, that is, over feature differences. Documents are
-then cut at a quantile of the training scores: the share of label 0. The
-score is mapped monotonically to 0..1 so that the cut lies at ``cut``.
+then cut at a quantile of the scores of all labelled rows that are not held
+out: the share of label 0 among them, both exact, so that as many of them fall
+below the cut as have label 0. The score is mapped monotonically to 0..1 so that the cut lies at ``cut``.
 
 Training, on the driver: at most ``Ranking.sample`` labelled rows of each
 label, the first by a hash of the key over all labelled rows; from these
-``Ranking.pairs`` preference pairs. Everything else runs over all rows.
+``Ranking.pairs`` preference pairs. Everything else, the cut too, runs over all
+rows; of several rows of one labelled doc_id the least score counts.
 
 Defined cases: a null or empty text has the features of an empty one and a
 score like any other; a null doc_id is never held out nor labelled; several
 labels of one doc_id agree on their least; equal rows get equal scores; other
 columns are not read; without labels of both kinds all scores are ``cut``.
-Per row work only: nothing is shuffled but the labelled rows.
+Per row work only: nothing is shuffled but the labelled rows' keys and scores.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, map_batches, only
+from .common import blobs, map_batches, only, stored
 
 
 @dataclass(frozen=True)
@@ -109,12 +111,18 @@ def with_features(docs: DataFrame, how: Ranking) -> DataFrame:
                        "doc_id long, x array<double>")
 
 
+def learnable(labels: DataFrame) -> DataFrame:
+    """(doc_id, y) of all labels that may be learnt from, one row per doc_id."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("quality").cast("int").alias("y")) \
+        .where(F.col("doc_id").isNotNull() & ~held_out()) \
+        .groupBy("doc_id").agg(F.min("y").alias("y"))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, how: Ranking) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the bounded sample; held-out ids are never in it."""
     first = []
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
-                          F.col("quality").cast("int").alias("y")) \
-        .where(F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min("y").alias("y"))
+    known = learnable(labels)
     for y in (0, 1):
         first.append(known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id")
                      .limit(how.sample))
@@ -129,7 +137,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, how: Ranking) -> tuple[np.
 
 
 def fit(x: np.ndarray, y: np.ndarray, how: Ranking) -> dict:
-    """Weights by logistic loss on feature differences, and the quantile cut."""
+    """Weights by logistic loss on feature differences."""
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):
         return {"w": np.zeros(x.shape[1]), "mean": np.zeros(x.shape[1]),
@@ -147,25 +155,47 @@ def fit(x: np.ndarray, y: np.ndarray, how: Ranking) -> dict:
         speed = 0.9 * speed + grad
         w -= how.rate / (1 + step / 200) * 0.1 * speed
     s = z @ w
-    share = len(bad) / len(y) if len(good) < how.sample or len(bad) < how.sample else None
-    at = float(np.quantile(s, len(bad) / len(y) if share is None else share))
-    at = _between(s, y, at)
-    return {"w": w, "mean": mean, "scale": scale, "at": at, "spread": float(max(s.std(), 1e-6) / 4)}
-
-
-def _between(s: np.ndarray, y: np.ndarray, at: float) -> float:
-    """The score quantile near the label share with the best balanced accuracy."""
-    grid = np.quantile(s, np.linspace(0.001, 0.999, 999))
-    good, bad = np.sort(s[y == 1]), np.sort(s[y == 0])
-    right = (1 - np.searchsorted(good, grid) / len(good)) + np.searchsorted(bad, grid) / len(bad)
-    best = np.flatnonzero(right >= right.max() - 1e-9)
-    return float(grid[best[np.argmin(np.abs(grid[best] - at))]])
-
-
-def score(docs: DataFrame, model: dict, how: Ranking = Ranking()) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row."""
+    return {"w": w, "mean": mean, "scale": scale, "at": 0.0,
+            "spread": float(max(s.std(), 1e-6) / 4)}
+
+
+def order_statistic(scores: DataFrame, rank: int, most: int = 10_000) -> float:
+    """The value ``s`` of this rank, from 0, exactly; at most ``most`` distinct ones are collected.
+
+    Counts of equal steps between the bounds narrow them, until few values are left.
+    """
+    low, high = scores.agg(F.min("s"), F.max("s")).first()
+    while True:
+        part = scores.where(F.col("s").between(low, high)).groupBy("s").count()
+        values = part.limit(most + 1).collect()
+        if len(values) <= most:
+            for value, n in sorted(tuple(v) for v in values):
+                if rank < n:
+                    return value
+                rank -= n
+        step = (high - low) / 1000
+        cell = F.least(F.floor((F.col("s") - low) / step), F.lit(999)).alias("cell")
+        for _, n, first, last in sorted(tuple(r) for r in part.groupBy(cell).agg(
+                F.sum("count"), F.min("s"), F.max("s")).collect()):
+            if rank < n:
+                low, high = first, last
+                break
+            rank -= n
+
+
+def cut_at(raw: DataFrame, labels: DataFrame) -> float:
+    """Midway between two scores of labelled rows: as many lie below as have label 0."""
+    met = stored(raw.join(learnable(labels).where(F.col("y").isin(0, 1)), "doc_id")
+                 .groupBy("doc_id", "y").agg(F.min("s").alias("s")), "labelled-scores")
+    n = {r["y"]: r["count"] for r in met.groupBy("y").count().collect()}
+    if len(n) < 2:
+        return 0.0
+    return (order_statistic(met, n[0] - 1) + order_statistic(met, n[0])) / 2
+
+
+def raw_scores(docs: DataFrame, model: dict, how: Ranking = Ranking()) -> DataFrame:
+    """(doc_id, s), the scores before they are mapped, for each row."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    base = np.log(how.cut / (1 - how.cut))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -174,15 +204,33 @@ def score(docs: DataFrame, model: dict, how: Ranking = Ranking()) -> DataFrame:
             if not len(x):
                 continue
             s = ((x - m["mean"]) / m["scale"]) @ m["w"]
-            p = 1 / (1 + np.exp(-np.clip((s - m["at"]) / m["spread"] + base, -30, 30)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.float64())],
+                                             ["doc_id", "s"])
+
+    return map_batches(only(docs, doc_id="long", text="string"), rows, "doc_id long, s double")
+
+
+def mapped(raw: DataFrame, model: dict, how: Ranking = Ranking()) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for each row of raw scores."""
+    at, spread = model["at"], model["spread"]
+    base = np.log(how.cut / (1 - how.cut))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = batch.column("s").to_numpy(zero_copy_only=False)
+            p = 1 / (1 + np.exp(-np.clip((s - at) / spread + base, -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(p, pa.float64())], ["doc_id", "score"])
 
-    got = map_batches(only(docs, doc_id="long", text="string"), rows, "doc_id long, score double")
+    got = map_batches(raw, rows, "doc_id long, score double")
     return got.select("doc_id", held_out().alias("held_out"), "score",
                       (F.col("score") >= how.cut).cast("int").alias("predicted"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, how: Ranking = Ranking()) -> DataFrame:
     """Train on the labels that may be learnt from and score all of ``docs``."""
-    return score(docs, fit(*training_rows(docs, labels, how), how), how)
+    model = fit(*training_rows(docs, labels, how), how)
+    raw = stored(raw_scores(docs, model, how), "raw-scores")
+    if model["w"].any():
+        model["at"] = cut_at(raw, labels)
+    return mapped(raw, model, how)

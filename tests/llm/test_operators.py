@@ -486,6 +486,25 @@ def test_quality_rank_never_learns_from_held_out(spark, docs):
     assert (a[0] == b[0]).all() and (a[1] == b[1]).all() and len(a[1])
 
 
+def test_quality_rank_cuts_at_the_share_of_all_labels(spark, docs):
+    """As many learnable rows fall below the cut as have label 0, however small the sample."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    known = {r["doc_id"]: r["y"] for r in quality_rank.learnable(labels).collect()}
+    n0 = sum(y == 0 for y in known.values())
+    assert 0 < n0 < len(known) / 3
+    for sample in (4, 3000):
+        got = quality_rank.classify(docs, labels, quality_rank.Ranking(sample=sample)).collect()
+        assert sum(r["predicted"] == 0 for r in got if r["doc_id"] in known) == n0
+
+
+def test_order_statistic_is_exact(spark):
+    rnd = random.Random(6)
+    values = [rnd.gauss(0, 1) ** 9 for _ in range(3000)] + [0.5] * 500
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    for rank in (0, 1700, len(values) - 1):
+        assert quality_rank.order_statistic(df, rank, most=20) == sorted(values)[rank]
+
+
 def test_quality_rank_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(0, 1, "x"), (None, 0, "x"), (7, 0, "x"), (6, 1, "x"), (6, 0, "x")],
                                    "doc_id long, quality int, text string")
