@@ -169,6 +169,15 @@ def remove_contaminated(docs: DataFrame, test: DataFrame, width: int = WINDOW) -
         .select(*[keyed[c] for c in cols])
 
 
+def near_in(docs: DataFrame, queries: DataFrame, within: int) -> DataFrame:
+    """``proximity_matches`` of any words: the index is built here, of the queries' words."""
+    word = F.translate("word", UPPER, UPPER.lower()).alias("word")
+    ends = queries.sparkSession.range(1).select(F.lit("").alias("word"))
+    terms = (queries.select(word).where("word is not null").unionByName(ends).distinct()
+             .withColumn("term", F.xxhash64("word")))
+    return proximity_matches(index(docs, Items(terms, terms)), queries, within)
+
+
 def proximity_matches(postings: DataFrame, queries: DataFrame, within: int) -> DataFrame:
     """(query_id, doc_id, text_key, pos): places where all of a query's words are close together.
 
@@ -176,6 +185,9 @@ def proximity_matches(postings: DataFrame, queries: DataFrame, within: int) -> D
     rarest word with every other word of the query less than ``within``
     positions away, in any order. Positions are bucketed by ``within``, so a
     posting is met in its own bucket and the two beside it only.
+
+    ``postings`` must hold all words of the queries: a word that it was not
+    built for counts as occurring nowhere. ``near_in`` builds it for any words.
     """
     q = queries.select("query_id", F.xxhash64(F.translate("word", UPPER, UPPER.lower()))
                        .alias("term")).distinct()

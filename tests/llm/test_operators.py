@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -100,6 +101,24 @@ def test_proximity(spark):
         == {1, 2}
 
 
+def test_proximity_of_words_outside_the_items(spark, docs, rows):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("text").collect()
+    known = {w for r in items for w in brute.words(r["text"])}
+    often = Counter(w for _, t in rows for w in brute.words(t))
+    asked = next([w[3], w[5]] for w in (brute.words(t) for _, t in rows)
+                 if len(w) > 9 and often[w[3]] != often[w[5]] and not known & {w[3], w[5]})
+    q = spark.createDataFrame([(7, w) for w in asked] + [(8, asked[0]), (8, "no-such")],
+                              "query_id long, word string")
+    got = {(r["query_id"], r["doc_id"], r["pos"])
+           for r in decontamination.near_in(docs, q, 6).collect()}
+    where = {w: {(d, p) for d, t in rows for p, x in enumerate(brute.words(t)) if x == w}
+             for w in asked}
+    rare, other = sorted(asked, key=often.get)
+    assert got == {(7, d, p) for d, p in where[rare]
+                   if any((d, p + i) in where[other] for i in range(-5, 6))}
+    assert got
+
+
 # 2 ---------------------------------------------------------------------------
 
 def library():
