@@ -45,8 +45,9 @@ DENSE_BYTES = 64
 #: A tile has 2^TILE numbers on each side, and is dense if this part of its places is met.
 TILE = 10
 FULL = 8
-#: Words that a task counts at once.
-BLOCK_WORDS = 1 << 21
+#: Words that a task holds, and counts at most at once; rows that it hands on at once.
+BLOCK_WORDS = 1 << 20
+BATCH_ROWS = 1 << 16
 #: Bits of the filter of frequent parts: broadcast as 4 MiB.
 SLOTS = 1 << 25
 
@@ -97,7 +98,7 @@ class Words(NamedTuple):
 
 
 def by_language(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_WORDS) -> Iterator[Words]:
-    """Blocks of about ``limit`` words, gathered by language."""
+    """Blocks of words, gathered by language; about ``limit`` words are held in all."""
     held: dict[str, list] = {}
     n_held: dict[str, int] = {}
 
@@ -119,9 +120,7 @@ def by_language(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_WORDS) ->
             if len(words):
                 held.setdefault(lang, []).append((words, piece))
                 n_held[lang] = n_held.get(lang, 0) + len(words)
-                if n_held[lang] >= limit:
-                    yield taken(lang)
-        while sum(n_held.values()) >= 2 * limit:  # many small languages
+        while sum(n_held.values()) >= limit:
             yield taken(max(n_held, key=n_held.get))
     for lang in list(held):
         yield taken(lang)
@@ -273,15 +272,20 @@ def _rows(df: DataFrame) -> DataFrame:
     return only(df, lang="string", text="string")
 
 
+def _batches(lang: str, columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    n = len(columns["n"])
+    rows = pa.RecordBatch.from_pydict({"lang": pa.repeat(pa.scalar(lang), n), **columns})
+    for at in range(0, n, BATCH_ROWS):
+        yield rows.slice(at, BATCH_ROWS)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) of all words."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in by_language(batches):
             n = np.bincount(w.place, minlength=len(w.names))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w.lang] * len(n), pa.string()),
-                 pa.array(w.names, pa.binary()).cast(pa.string()),
-                 pa.array(n)], ["lang", "word", "n"])
+            yield from _batches(w.lang, {"word": pa.array(w.names, pa.binary()).cast(pa.string()),
+                                         "n": pa.array(n, pa.int64())})
 
     return _rows(docs).mapInArrow(rows, "lang string, word string, n long") \
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -298,10 +302,8 @@ def phrase_counts(docs: DataFrame, size: int, known: Known, least: int) -> DataF
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in by_language(batches):
             ids, n = level_of(w, size, known)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w.lang] * len(n), pa.string()), *map(pa.array, ids),
-                 pa.array(n, pa.int64())],
-                ["lang", *names, "n"])
+            yield from _batches(w.lang, {**dict(zip(names, map(pa.array, ids), strict=True)),
+                                         "n": pa.array(n, pa.int64())})
 
     schema = ", ".join(["lang string", *[f"{x} long" for x in names], "n long"])
     return _rows(docs).mapInArrow(rows, schema).groupBy("lang", *names) \
