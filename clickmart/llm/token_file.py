@@ -53,10 +53,10 @@ def _dtype(width: int) -> str:
 def pack(ids: np.ndarray, widths: tuple[int, ...] = WIDTHS) -> dict[str, list[bytes]]:
     """Levels, continuation bitmaps and rank directories of uint32 ``ids``."""
     out: dict[str, list[bytes]] = {"levels": [], "bitmaps": [], "ranks": []}
-    rest = np.asarray(ids, np.uint64)
+    rest = np.asarray(ids, np.uint32)
     for k, width in enumerate(widths):
-        out["levels"].append((rest & np.uint64((1 << width) - 1)).astype(_dtype(width)).tobytes())
-        rest = rest >> np.uint64(width)
+        out["levels"].append((rest & np.uint32((1 << width) - 1)).astype(_dtype(width)).tobytes())
+        rest = rest >> np.uint32(width)
         if k + 1 < len(widths):
             more = rest != 0
             ones = np.add.reduceat(more, range(0, len(more), BLOCK), dtype=np.int64) \
@@ -120,7 +120,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
                    "doc_ids": doc_ids, "n_tokens": [len(p) // 4 for p in parts], **pack(ids)}
             return pa.RecordBatch.from_pylist([row], _ARROW)
 
-        for batch in in_parts(batches):
+        for batch in in_parts(batches, 2000):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(),
                                    encoder.encode(blobs(batch)), strict=True):
                 doc_ids.append(doc_id)
