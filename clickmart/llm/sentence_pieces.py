@@ -337,6 +337,12 @@ def _unpack(b: bytes) -> np.ndarray:
 
 def encode_chunks(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
     """(doc_id, key, n_chunks, chunk, ids): ids of each chunk, little-endian uint32."""
+    whole, traced = _encoded(docs, model, size)
+    return whole.unionByName(traced)
+
+
+def _encoded(docs: DataFrame, model: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """``encode_chunks`` of texts of one chunk, which are final, and of longer ones."""
     keyed = only(docs, doc_id="long", text="string") \
         .withColumn("key", F.xxhash64("doc_id", "text"))
     # one character more than the text for the leading space
@@ -376,7 +382,7 @@ def encode_chunks(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
     states = _scan(stored(cut.select("key", "chunk", "m"), "matrices"))
     joined = long_.join(states, ["key", "chunk"]) \
         .select("doc_id", "key", "n_chunks", "chunk", "head", "body", "tail", "entry", "exit")
-    return whole.unionByName(joined.mapInArrow(traced, _ENCODED))
+    return whole, joined.mapInArrow(traced, _ENCODED)
 
 
 def _scan(matrices: DataFrame) -> DataFrame:
@@ -420,10 +426,9 @@ def _scan(matrices: DataFrame) -> DataFrame:
 
 def encode(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
     """(doc_id, ids): the whole encoding of each row, little-endian uint32."""
-    got = encode_chunks(docs, model, size)
-    one = got.where("n_chunks = 1").select("doc_id", "ids")
+    whole, traced = _encoded(docs, model, size)
     # equal rows: their chunks lie on one another; number the copies to keep them apart
-    many = got.where("n_chunks > 1").groupBy("doc_id", "key", "n_chunks", "chunk") \
+    many = traced.groupBy("doc_id", "key", "n_chunks", "chunk") \
         .agg(F.first("ids").alias("ids"), F.count(F.lit(1)).alias("copies")) \
         .groupBy("doc_id", "key").agg(
             F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("c"),
@@ -431,7 +436,7 @@ def encode(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
         .select("doc_id", F.expr("concat_ws('', transform(c, x -> hex(x.ids)))").alias("hex"),
                 F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")) \
         .select("doc_id", F.unhex("hex").alias("ids"))
-    return one.unionByName(many)
+    return whole.select("doc_id", "ids").unionByName(many)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
