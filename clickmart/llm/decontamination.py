@@ -14,8 +14,10 @@ rarest terms are looked up first, and only diagonals that both reach are
 intersected with the lists of the other terms. Runs of enough consecutive
 words on a diagonal are the matches. Built-in functions only.
 
-Defined cases: null texts have no words; a test item without item_id or words
-is left out; test rows with one item_id and different texts count as one item;
+Defined cases: null texts have no words; a test item without words is left out;
+test rows with one item_id and different texts count as one item; so do all
+without an item_id, whose windows hit like others and which is counted but has
+no id to list;
 equal training rows each get the same result; other columns are not read;
 empty tables give documents without hits, or no rows. Joins: item tables are
 broadcast by Spark only below its size threshold; a hot term meets only the
@@ -34,6 +36,8 @@ from .common import only, semi_filter, stored
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BREAKS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 WINDOW = 10
+#: Stands for a null item_id, which would equal nothing in a join.
+NO_ID = ""
 DOC = ["doc_id", "text_key"]
 
 
@@ -53,8 +57,8 @@ class Items:
 
 
 def test_items(items: DataFrame) -> Items:
-    rows = (only(items, item_id="long", text="string").where("item_id is not null").distinct()
-            .select("item_id", F.xxhash64("text").alias("item_key"), words(F.col("text")).alias("w"))
+    rows = (only(items, item_id="long", text="string").distinct()
+            .select(F.coalesce(F.col("item_id").cast("string"), F.lit(NO_ID)).alias("item_id"), F.xxhash64("text").alias("item_key"), words(F.col("text")).alias("w"))
             .where(F.size("w") > 0))
     at = stored(rows.select("item_id", "item_key", F.size("w").alias("n"),
                             F.posexplode("w").alias("j", "word"))
@@ -146,7 +150,7 @@ def contamination(docs: DataFrame, test: DataFrame, width: int = WINDOW) -> Data
     hits = phrase_hits(postings, items, width)
     by_doc = hits.groupBy(*DOC).agg(
         F.count_distinct("pos").alias("n_hit"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+        F.array_sort(F.collect_set("item_id")).alias("items"))
     ends = postings.where(F.col("term") == _end())
     none = F.array().cast("array<string>")
     return (ends.join(by_doc, _same_doc(ends, by_doc), "left")
@@ -154,6 +158,7 @@ def contamination(docs: DataFrame, test: DataFrame, width: int = WINDOW) -> Data
                     F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", none).alias("items"))
             .withColumn("n_items", F.size("items").cast("long"))
+            .withColumn("items", F.array_remove("items", NO_ID))
             .withColumn("contaminated", F.col("n_hit") > 0))
 
 
@@ -197,11 +202,12 @@ def proximity_matches(postings: DataFrame, queries: DataFrame, within: int) -> D
     by = rarity.groupBy("query_id").agg(
         F.min(F.struct("n_postings", "term")).alias("r"), F.count(F.lit(1)).alias("n_terms"))
     rare = by.where("r.n_postings > 0").select("query_id", "n_terms", F.col("r.term").alias("term"))
-    start = postings.distinct().join(rare, "term").select(
+    held = postings.join(q.select("term").distinct(), "term", "left_semi").distinct()
+    start = held.join(rare, "term").select(
         "query_id", "n_terms", *DOC, F.col("pos").alias("at"),
         F.explode(F.sequence((F.col("pos") / within).cast("int") - 1,
                              (F.col("pos") / within).cast("int") + 1)).alias("bucket"))
-    other = postings.distinct().join(q, "term").select(
+    other = held.join(q, "term").select(
         F.col("query_id").alias("q2"), *DOC, "term", "pos",
         (F.col("pos") / within).cast("int").alias("bucket"))
     met = start.join(other, (start["query_id"] == other["q2"])

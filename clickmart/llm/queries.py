@@ -127,7 +127,7 @@ _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{decontamination.U
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {"op1_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 ik AS (SELECT item_id, w, least(10, len(w)) AS k FROM i WHERE len(w) > 0),
 iw AS (
   SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS win

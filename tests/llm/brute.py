@@ -34,7 +34,7 @@ def contamination(docs, items, width=10):
                 if ids:
                     hit.update(range(a, a + n))
                     found |= ids
-        ids = ",".join(sorted(map(str, found)))
+        ids = ",".join(sorted(str(i) for i in found if i is not None))
         out[doc_id] = (len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(),
                        bool(hit))
     return out

@@ -73,8 +73,9 @@ def test_decontamination_odd_rows(spark, odd, none):
              (5, "b C"), (5, "xyz"), (6, "text here same text here same text here same text here")]
     test = spark.createDataFrame([(*i, "x") for i in items],
                                  "item_id long, text string, doc_id string")
-    want = [(d, *brute.contamination([(d, t)], [i for i in items if i[0] is not None])[d])
-            for d, t in odd_rows(odd)]
+    want = [(d, *brute.contamination([(d, t)], items)[d]) for d, t in odd_rows(odd)]
+    # the item without an id hits and is counted, but has no id to list
+    assert any(w[3] == 2 and w[4] == hashlib.sha256(b"5").hexdigest() for w in want)
     got = [tuple(r) for r in digested(decontamination.contamination(odd, test)).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     kept = decontamination.remove_contaminated(odd, test)
