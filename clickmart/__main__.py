@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--no-prune", action="store_true", help="window all sessions")
     ap.add_argument("--max-files-per-trigger", type=int, default=None,
                     help="cut a backlog of files into micro-batches of this many files")
+    ap.add_argument("--archive", default=None, help="folder that loaded files are moved to")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     if args.command in ("build", "refresh") and not args.landing:
@@ -32,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     if args.command == "build":
         counts = refresh.initial_build(spark, args.root, args.landing, args.load_ts,
-                                       args.max_files_per_trigger)
+                                       args.max_files_per_trigger, args.archive)
     elif args.command == "silver":
         refresh.refresh_silver(spark, args.root, args.load_ts)
         counts = {"silver": 1}
@@ -42,7 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         counts = refresh.run_increment(spark, args.root, args.landing, args.load_ts,
                                        prune=not args.no_prune,
-                                       max_files_per_trigger=args.max_files_per_trigger)
+                                       max_files_per_trigger=args.max_files_per_trigger,
+                                       archive=args.archive)
     print(json.dumps(counts))
 
 

@@ -39,7 +39,7 @@ def _order() -> list[Column]:
     return [F.asc_nulls_last("event_time"), F.asc_nulls_last("event_uuid")]
 
 
-def _session_key() -> Column:
+def session_key() -> Column:
     # Equal for equal sessions, NULL included, and never NULL itself.
     sid = F.col("session_id")
     return F.concat(F.when(sid.isNull(), F.lit("0")).otherwise(F.lit("1")),
@@ -59,7 +59,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def hot_sessions(keys: DataFrame, max_rows: int) -> DataFrame:
     """Sessions with more than ``max_rows`` rows, with their row count."""
-    sizes = keys.groupBy(_session_key().alias("_hsk")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = keys.groupBy(session_key().alias("_hsk")).agg(F.count(F.lit(1)).alias("_n"))
     return sizes.where(F.col("_n") > F.lit(max_rows))
 
 
@@ -102,7 +102,7 @@ def split_hot(df: DataFrame, hot: DataFrame, n_hot_rows: int,
     """Rows of ordinary sessions, and stored rows of hot ones with ``_sk``
     (null-safe session key) and ``_chunk``. A chunk has about ``max_rows / 2``
     rows; only rows equal in time, uuid, type and page stay together."""
-    x = df.withColumn("_sk", _session_key())
+    x = df.withColumn("_sk", session_key())
     is_hot = x["_sk"] == hot["_hsk"]
     n = max(1, -(-2 * n_hot_rows // max_rows))
     tie = [F.xxhash64(*[c for c in ("event_type", "page_url") if c in df.columns])] \

@@ -8,7 +8,11 @@ silver (fact, pages, device merge, in that order) and then gold
 
 Runs are numbered (``plans.store``). Bronze rows carry the run in which they
 arrived; silver and gold of run n read the tables of runs before n and write
-folders of run n; the run is recorded when gold is done. A run that failed is
+folders of run n; the run is recorded when gold is done. What a refresh reads
+follows the delivery, not the history: marks come from the summary of the last
+run, session windows go on from the sessions' state (``operators.continued``),
+and older days are read only where a filter of their keys is hit
+(``operators.keyfilter``). A run that failed is
 therefore done again by the next call under the same number: what it had loaded
 is still its input, whether or not new files came and whatever the load stamp,
 and what it had written is replaced. The layers can also be run one by one
@@ -19,16 +23,19 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import schemas as S
-from clickmart.operators import marks, merge, silver
-from clickmart.sources.raw import list_files, listing_audit
+from clickmart.operators import continued, gold, keyfilter, marks, merge, silver
+from clickmart.sources.raw import archived_files, list_files, listing_audit
 from clickmart.plans import pipeline as P
 from clickmart.plans import store
 from clickmart.plans.store import PARTITION_COLUMN, RUN_COLUMN, read_table, table_path, write_table
-from clickmart.streaming.ingest import ingest_files, raw_to_base
+from clickmart.operators.sessions import session_key
+from clickmart.session import scratch_path
+from clickmart.streaming.ingest import (ingest_files, landing_state, only_if_new, raw_to_base,
+                                        sink_state)
 
 RAW = "events_raw"
 DEVICE_STATE = "device_state"
@@ -55,28 +62,33 @@ def pending_run(spark: SparkSession, root: str) -> int:
 
 
 def load_bronze(spark: SparkSession, root: str, landing: str, load_ts=None,
-                max_files_per_trigger: int | None = None) -> dict[str, int]:
+                max_files_per_trigger: int | None = None,
+                archive: str | None = None) -> dict[str, int]:
     """Files -> raw -> bronze, each exactly once. ``max_files_per_trigger``
-    cuts a large backlog of files into several micro-batches."""
+    cuts a large backlog of files into several micro-batches; loaded files are
+    moved to the folder ``archive``, if there is one. Neither query is started
+    while its source is as the last run left it."""
     run = pending_run(spark, root)
+    raw, ingest, to_base = table_path(root, RAW), _checkpoint(root, "ingest"), _checkpoint(root, "raw_to_base")
 
     def layout(df: DataFrame) -> DataFrame:
         # one shuffle by day, or every task would open a file in every day
         return (store.with_partition_column(df).withColumn(RUN_COLUMN, F.lit(run))
                 .hint("rebalance", PARTITION_COLUMN))
 
-    n_raw = ingest_files(spark, landing, table_path(root, RAW), _checkpoint(root, "ingest"),
-                         max_files_per_trigger)
-    n_base = raw_to_base(spark, table_path(root, RAW), table_path(root, P.BASE),
-                         _checkpoint(root, "raw_to_base"), load_ts,
-                         layout=layout, partition_by=[RUN_COLUMN, PARTITION_COLUMN])
+    n_raw = only_if_new(spark, ingest, landing_state(spark, landing), lambda: ingest_files(
+        spark, landing, raw, ingest, max_files_per_trigger, archive))
+    n_base = only_if_new(spark, to_base, sink_state(spark, raw), lambda: raw_to_base(
+        spark, raw, table_path(root, P.BASE), to_base, load_ts,
+        layout=layout, partition_by=[RUN_COLUMN, PARTITION_COLUMN]))
     return {"raw_rows": n_raw, "base_rows": n_base}
 
 
 def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None,
-                  max_files_per_trigger: int | None = None) -> dict[str, int]:
+                  max_files_per_trigger: int | None = None,
+                  archive: str | None = None) -> dict[str, int]:
     load_ts = stamp(load_ts)
-    counts = load_bronze(spark, root, landing, load_ts, max_files_per_trigger)
+    counts = load_bronze(spark, root, landing, load_ts, max_files_per_trigger, archive)
     build_silver(spark, root, load_ts)
     build_gold(spark, root)
     return counts
@@ -88,25 +100,52 @@ def build_silver(spark: SparkSession, root: str, load_ts=None) -> None:
     base = store.read_base(spark, root, run)
     write_table(silver.fact(base, load_ts), root, P.FACT, run)
     write_table(silver.pages(base, load_ts), root, P.PAGES, run)
+    _write_keys(spark, root, run)
+    _write_late(spark, root, run, base, None)
     write_table(_with_through(silver.device_candidates(base), load_ts), root, DEVICE_STATE, run)
     state = read_table(spark, root, DEVICE_STATE, run)
     write_table(silver.profiles(state, load_ts), root, P.DEVICES, run)
 
 
+def _write_keys(spark: SparkSession, root: str, run: int) -> None:
+    """Filters of the event ids that this run's fact and page days hold."""
+    for name, keys in ((P.FACT, S.FACT_KEYS), (P.PAGES, S.PAGE_KEYS)):
+        rows = store.read_run(spark, root, name, run)
+        write_table(keyfilter.filters(rows, F.col("event_uuid"), F.col(PARTITION_COLUMN), run),
+                    root, keys, run)
+
+
+def _write_late(spark: SparkSession, root: str, run: int, rows: DataFrame, mark: Column | None) -> None:
+    """Bronze rows of this run that its fact rows do not hold, kept for ``late_report``. Rows
+    without an event id are kept too, as no fact row can be told to be theirs."""
+    late = F.col("event_uuid").isNull()
+    if mark is not None:
+        late = late | ~F.coalesce(F.col(marks.MARK_COLUMN) > mark, F.lit(False))
+    write_table(rows.where(late), root, S.LATE, run)
+
+
+def _write_state(spark: SparkSession, root: str, run: int, state: DataFrame) -> None:
+    write_table(state, root, S.SESSION_STATE, run)
+    written = store.read_run(spark, root, S.SESSION_STATE, run)
+    write_table(keyfilter.filters(written, session_key(), F.lit(None).cast("date"), run),
+                root, S.STATE_KEYS, run)
+
+
 def build_gold(spark: SparkSession, root: str) -> None:
     run = pending_run(spark, root)
     built = {n: _of_run(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES)}
     for name, df in P.gold_build(built).items():
         write_table(df, root, name, run)
+    windowed = store.read_run(spark, root, P.ALL_EVENTS, run)
+    _write_state(spark, root, run, continued.state_of(windowed, run))
     store.complete(spark, root, run, build=True)
 
 
 def _of_run(spark: SparkSession, root: str, name: str, run: int) -> DataFrame:
     """What ``run`` alone wrote; an error names the layer that is missing."""
-    if run not in store.runs(spark, root, name, run):
+    if not store.has_run(spark, root, name, run):
         raise RuntimeError(f"{name} of run {run} is not finished: run the silver layer first")
-    ddl = S.TABLE_DDL[name] + (f", {PARTITION_COLUMN} date" if name in store.PARTITIONED else "")
-    return spark.read.schema(ddl).parquet(f"{table_path(root, name)}/run={run}")
+    return store.read_run(spark, root, name, run)
 
 
 def _built(spark: SparkSession, root: str) -> int:
@@ -118,17 +157,20 @@ def _built(spark: SparkSession, root: str) -> int:
 
 
 def refresh_silver(spark: SparkSession, root: str, load_ts=None) -> None:
-    """Fact and pages appends as in ``pipeline.silver_step``; the device merge
-    reads only the bronze rows of this run and the device-sized state (see
-    ``silver.advance_device_state``) instead of all history."""
+    """Fact and pages appends as in ``pipeline.silver_step``, their marks taken from the
+    summary; the device merge reads only the bronze rows of this run and the
+    device-sized state (see ``silver.advance_device_state``) instead of all history."""
     load_ts = stamp(load_ts)
     run = _built(spark, root)
+    known = store.summary(spark, root)
     base = store.read_base(spark, root, run)
     for name, increment in ((P.FACT, silver.fact_increment), (P.PAGES, silver.pages_increment)):
-        newest = store.read_newest_day(spark, root, name, run - 1)
-        write_table(increment(base, newest, load_ts), root, name, run)
+        write_table(increment(base, store.mark_row(spark, known, name), load_ts), root, name, run)
+    _write_keys(spark, root, run)
 
     new_rows = store.read_base(spark, root, run, only=True)
+    mark = marks.mark_of(store.mark_row(spark, known, P.FACT), S.FACT_DEFAULT_MARK)
+    _write_late(spark, root, run, new_rows, mark)
     old_state = read_table(spark, root, DEVICE_STATE, run - 1)
     write_table(_with_through(silver.advance_device_state(old_state, new_rows), load_ts),
                 root, DEVICE_STATE, run)
@@ -138,24 +180,110 @@ def refresh_silver(spark: SparkSession, root: str, load_ts=None) -> None:
                 root, P.DEVICES, run)
 
 
+class GoldInputs:
+    """What a gold refresh reads: the delivery, and of history only what it needs.
+
+    * ``state``: where the sessions of the new rows stand, from the runs whose
+      filter holds them;
+    * ``disturbed``: sessions to be windowed again, for which the fact's days
+      from their first one on are read;
+    * ``pages_of``: page rows of this run, and of the older days whose filter
+      holds some of the events.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, run: int):
+        self.spark, self.root, self.run = spark, root, run
+        self.known = store.summary(spark, root, run - 1)
+        self.fact, self.pages, self.devices = (
+            _of_run(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES))
+
+    def _older(self, name: str, keys_name: str, keys: DataFrame, key: str) -> DataFrame:
+        """Rows of ``name`` before this run in the folders that may hold some of ``keys``."""
+        filters = store.read_leaves(self.spark, self.root, self.known, keys_name,
+                                    [(x.run, None) for x in self.known.of(keys_name)])
+        at = keyfilter.hits(filters, keys, key)
+        return store.read_leaves(self.spark, self.root, self.known, name, at)
+
+    def pages_of(self, rows: DataFrame) -> DataFrame:
+        return self.pages.unionByName(self._older(P.PAGES, S.PAGE_KEYS, rows, "event_uuid"))
+
+    def shifted(self) -> DataFrame:
+        """Keys of sessions with an older event that this run brought a page row for."""
+        ids = self.pages.select(F.col("event_uuid").alias("p_uuid"))
+        old = self._older(P.FACT, S.FACT_KEYS, ids, "p_uuid")
+        return old.join(ids, old["event_uuid"] == ids["p_uuid"], "left_semi") \
+            .select(session_key().alias("key")).distinct()
+
+    def states(self, keys: DataFrame) -> DataFrame:
+        """The newest state of the sessions in ``keys``."""
+        old = self._older(S.SESSION_STATE, S.STATE_KEYS, keys, "key") \
+            .withColumn("s_key", session_key())
+        return continued.newest(old.join(keys, old["s_key"] == keys["key"], "left_semi").drop("s_key"))
+
+    def all_sessions(self) -> DataFrame:
+        """The state of every session (to window all of them again)."""
+        return continued.newest(store.read_leaves(
+            self.spark, self.root, self.known, S.SESSION_STATE,
+            [(x.run, None) for x in self.known.of(S.SESSION_STATE)]))
+
+    def history(self, disturbed: DataFrame) -> DataFrame:
+        """All older fact rows of the disturbed sessions."""
+        span = disturbed.agg(F.min("first_day"), F.bool_or("dayless")).first()
+        old = store.read_since(self.spark, self.root, self.known, P.FACT, span[0], bool(span[1])) \
+            .withColumn("h_key", session_key())
+        return old.join(disturbed, old["h_key"] == disturbed["key"], "left_semi").drop("h_key")
+
+
+def windowed_rows(inputs: GoldInputs, prune: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The rows of this run, and all rows of disturbed sessions, with their window
+    values over the whole fact; and the state of all these sessions after them.
+    Both are read from stored rows."""
+    spark, run = inputs.spark, inputs.run
+    scratch = scratch_path(spark, "gold")
+    shifted = _kept(inputs.shifted(), f"{scratch}/shifted")
+    touched = inputs.fact.select(session_key().alias("key"))
+    state = _kept(inputs.states(touched.unionByName(shifted).distinct()) if prune
+                  else inputs.all_sessions(), f"{scratch}/state")
+    disturbed = _kept(continued.disturbed(state, inputs.fact, shifted) if prune
+                      else state.select("key", "first_day", "dayless"), f"{scratch}/disturbed")
+    rows = inputs.fact
+    if not disturbed.isEmpty():
+        rows = rows.unionByName(inputs.history(disturbed))
+    enriched = gold.enrich(rows, inputs.pages_of(rows), inputs.devices)
+    on = state.join(disturbed.select("key"), "key", "left_anti")
+    windowed = _kept(continued.go_on(
+        gold.with_session_windows(enriched, rows.select("session_id")), on), f"{scratch}/windowed")
+    return windowed, continued.merged_state(continued.state_of(windowed, run), on)
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refresh_gold(spark: SparkSession, root: str, prune: bool = True) -> None:
     run = _built(spark, root)
-    for name in (P.FACT, P.PAGES, P.DEVICES):
-        _of_run(spark, root, name, run)
-    tables = {n: read_table(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES)}
-    tables |= {n: store.read_newest_day(spark, root, n, run - 1)
-               for n in (P.ALL_EVENTS, P.JOURNEY)}
-    step = P.gold_step(tables, prune=prune)
-    write_table(step[P.ALL_EVENTS], root, P.ALL_EVENTS, run)
-    write_table(step[P.JOURNEY], root, P.JOURNEY, run)
+    inputs = GoldInputs(spark, root, run)
+    known = inputs.known
+    windowed, state = windowed_rows(inputs, prune)
+    mark = marks.mark_of(store.mark_row(spark, known, P.ALL_EVENTS), S.GOLD_DEFAULT_MARK)
+    write_table(gold.derive(marks.above_mark(windowed, mark)), root, P.ALL_EVENTS, run)
+    _write_state(spark, root, run, state)
+
+    high = known.high(P.JOURNEY) or datetime.fromisoformat(S.GOLD_DEFAULT_MARK)
+    fact = inputs.fact.unionByName(store.read_since(spark, root, known, P.FACT, high.date()))
+    new_rows = marks.above_mark(fact, F.lit(str(high)).cast("timestamp_ntz"))
+    write_table(gold.session_journey(new_rows, inputs.pages_of(new_rows), inputs.devices),
+                root, P.JOURNEY, run)
     store.complete(spark, root, run)
 
 
 def run_increment(spark: SparkSession, root: str, landing: str, load_ts=None,
-                  prune: bool = True, max_files_per_trigger: int | None = None) -> dict[str, int]:
+                  prune: bool = True, max_files_per_trigger: int | None = None,
+                  archive: str | None = None) -> dict[str, int]:
     load_ts = stamp(load_ts)
     run = _built(spark, root)
-    counts = load_bronze(spark, root, landing, load_ts, max_files_per_trigger)
+    counts = load_bronze(spark, root, landing, load_ts, max_files_per_trigger, archive)
     if not store.run_has_bronze(spark, root, run):  # nothing new, nothing left unfinished
         return {**counts, "refreshed": 0}
     refresh_silver(spark, root, load_ts)
@@ -164,13 +292,22 @@ def run_increment(spark: SparkSession, root: str, landing: str, load_ts=None,
 
 
 def late_report(spark: SparkSession, root: str) -> DataFrame:
-    """Bronze rows that never reached the fact (late or hour-less files)."""
-    return marks.late_rows(read_table(spark, root, P.BASE), read_table(spark, root, P.FACT)) \
-        .drop(PARTITION_COLUMN)
+    """Bronze rows that never reached the fact (late or hour-less files): what the runs
+    kept back, less the events that a later file brought again. Of the fact, only days
+    whose filter holds one of them are read."""
+    late = read_table(spark, root, S.LATE)
+    known = store.summary(spark, root)
+    at = keyfilter.hits(read_table(spark, root, S.FACT_KEYS), late, "event_uuid")
+    return marks.late_rows(late, store.read_leaves(spark, root, known, P.FACT, at))
 
 
-def landing_audit(spark: SparkSession, root: str, landing: str) -> DataFrame:
+def landing_audit(spark: SparkSession, root: str, landing: str,
+                  archive: str | None = None) -> DataFrame:
     """Every landed file against the raw table: rows loaded per file, files
-    never loaded (``n_rows`` 0), loaded names no longer listed."""
+    never loaded (``n_rows`` 0), loaded names no longer listed. Files in the
+    ``archive`` count as listed where they landed."""
     raw = spark.read.schema(S.RAW_SCHEMA).parquet(table_path(root, RAW))
-    return listing_audit(raw, list_files(spark, landing))
+    listed = list_files(spark, landing)
+    if archive:
+        listed = listed.unionByName(archived_files(spark, archive)).dropDuplicates(["filename"])
+    return listing_audit(raw, listed)

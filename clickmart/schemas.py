@@ -114,3 +114,22 @@ TABLE_DDL["device_state"] = (
     "device_id string, best struct<k0:boolean,k1:timestamp_ntz,k2:timestamp_ntz,k3:string,"
     + ",".join(f"{c}:string" for c in DEVICE_PROFILE_COLUMNS)
     + ">, through_load_ts timestamp_ntz")
+
+# Carried from run to run beside the tables: where each session stands
+# (operators.continued) and which keys the folders of a table hold
+# (operators.keyfilter).
+SESSION_STATE = "session_state"
+TABLE_COLUMNS[SESSION_STATE] = ["session_id", "n_rows", "first_day", "dayless", "last", "at_run"]
+TABLE_DDL[SESSION_STATE] = (
+    "session_id string, n_rows bigint, first_day date, dayless boolean, "
+    "last struct<no_time:boolean,event_time:timestamp_ntz,no_uuid:boolean,event_uuid:string,"
+    "event_type:string,page_url:string>, at_run int")
+FACT_KEYS, PAGE_KEYS, STATE_KEYS = "fct_event_keys", "page_event_keys", "session_state_keys"
+for _name in (FACT_KEYS, PAGE_KEYS, STATE_KEYS):
+    TABLE_COLUMNS[_name] = ["at_run", "day", "level", "shard", "n_bits", "bits"]
+    TABLE_DDL[_name] = ("at_run int, day date, level bigint, shard bigint, n_bits bigint, "
+                        "bits binary")
+
+# Bronze rows that a run's fact rows do not hold.
+LATE = "late_events"
+TABLE_COLUMNS[LATE], TABLE_DDL[LATE] = TABLE_COLUMNS["events_base"], TABLE_DDL["events_base"]

@@ -52,6 +52,17 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
             .select(decoded_path(F.col("path")).alias("filename"), F.col("length").alias("size")))
 
 
+def archived_files(spark: SparkSession, archive: str) -> DataFrame:
+    """The files of an archive folder, under the names they had where they landed: the
+    archive repeats their whole path below itself."""
+    base = spark.createDataFrame([(archive,)], "p string").select(
+        F.regexp_replace("p", "^[a-z0-9]+:/*", "/")).first()[0].rstrip("/")
+    name = F.col("filename")
+    scheme = F.regexp_extract(name, "^([a-z0-9]+:/*)/", 1)
+    return list_files(spark, archive).withColumn("filename", F.concat(
+        scheme, F.substring_index(name, base, -1)))
+
+
 def listing_audit(raw: DataFrame, listing: DataFrame) -> DataFrame:
     """Every listed file and every loaded file name, with the rows loaded
     from it: ``listed`` false means rows from a file no longer in the

@@ -8,15 +8,26 @@
   raw table gained since the previous committed run.
 
 Both run with ``availableNow``: process what is there, then stop -- the shape
-of a scheduled refresh. A run that finds nothing new writes nothing, which
-is the "only if the feed has data" gate.
+of a scheduled refresh. A run that finds nothing new writes nothing.
+
+Starting a query costs seconds even then, so a refresh asks first (``only_if_new``):
+a run notes the state of its source as it was before it started -- a fingerprint
+of the file listing, the newest batch of the raw table -- and the next run starts
+no query while the source is still in that state. A note that is missing, old or
+half-written costs one run that finds nothing; it can lose nothing.
+
+With an ``archive`` folder, loaded files are moved there once the batch after
+theirs begins, so that a run lists the files that are new or just loaded and not
+all that ever landed.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickmart import schemas as S
 from clickmart.operators.bronze import bronze
@@ -55,8 +66,51 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str,
     return sum(rows.values())
 
 
+def landing_state(spark: SparkSession, source_dir: str) -> str:
+    """A fingerprint of the files below ``source_dir``; only their listing is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source_dir)
+             .select(F.xxhash64("path", "modificationTime", "length").alias("h")))
+    n, total = files.agg(F.count(F.lit(1)), F.sum(F.col("h").cast("decimal(38,0)"))).first()
+    return f"{n} files {total}"
+
+
+def sink_state(spark: SparkSession, path: str) -> str:
+    """The newest batch that a stream has committed to the table at ``path``."""
+    fs, p, jvm = _fs(spark, f"{path}/_spark_metadata")
+    if not fs.exists(p):
+        return "no batch"
+    batches = [re.match(r"(\d+)", st.getPath().getName()) for st in fs.listStatus(p)]
+    return f"batch {max((int(m[1]) for m in batches if m), default=-1)}"
+
+
+def only_if_new(spark: SparkSession, checkpoint: str, state: str, run: Callable[[], int]) -> int:
+    """``run()``, unless the source is as the last finished run found it; then 0."""
+    fs, p, jvm = _fs(spark, f"{checkpoint.rstrip('/')}.seen")
+    if fs.exists(p):
+        stream = fs.open(p)
+        try:
+            if jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") == state:
+                return 0
+        finally:
+            stream.close()
+    n = run()
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(state.encode()))
+    finally:
+        out.close()
+    return n
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
 def raw_file_stream(spark: SparkSession, source_dir: str,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None,
+                    archive: str | None = None) -> DataFrame:
     reader = (spark.readStream.format("json")
               .option("singleVariantColumn", "json_data")
               .option("recursiveFileLookup", "true")
@@ -64,13 +118,15 @@ def raw_file_stream(spark: SparkSession, source_dir: str,
               .schema("json_data variant"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(source_dir).select("json_data", file_path_column().alias("filename"))
 
 
 def ingest_files(spark: SparkSession, source_dir: str, raw_dir: str, checkpoint: str,
-                 max_files_per_trigger: int | None = None) -> int:
+                 max_files_per_trigger: int | None = None, archive: str | None = None) -> int:
     """Load every JSON file under ``source_dir`` not loaded before."""
-    return run_available_now(raw_file_stream(spark, source_dir, max_files_per_trigger),
+    return run_available_now(raw_file_stream(spark, source_dir, max_files_per_trigger, archive),
                              raw_dir, checkpoint)
 
 
