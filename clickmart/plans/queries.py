@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmart import schemas as S
@@ -219,6 +219,18 @@ def q_bronze(spark, sf_dir):
     return bronze(raw(spark, sf_dir), LOAD_TS_1)
 
 
+def q_load_stamp(spark, sf_dir):
+    """The default load stamp: one value for all rows of a run, within the run's time."""
+    now = "select localtimestamp() as t"
+    started = spark.sql(now).first()[0]
+    rows = materialized(bronze(raw(spark, sf_dir)))
+    ended = spark.sql(now).first()[0]
+    at = F.col("load_timestamp")
+    within = at.between(F.lit(str(started)).cast("timestamp_ntz"), F.lit(str(ended)).cast("timestamp_ntz"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), (F.min(at) == F.max(at)).alias("one_stamp"),
+                    F.bool_and(within).alias("within_the_run"))
+
+
 # --- silver ----------------------------------------------------------------
 
 def q_fct(spark, sf_dir):
@@ -371,6 +383,25 @@ def q_stored_late_rows(spark, sf_dir):
     return late.select("event_uuid", "session_id", "event_time", "extract_timestamp")
 
 
+def q_stored_order(spark, sf_dir):
+    """The order of rows inside the stored files, by their place in the file: per table its
+    rows, and whether each file is sorted by the table's write order."""
+    root = stored_run(spark, sf_dir)
+    out = None
+    for name in (P.FACT, P.PAGES, P.DEVICES, P.ALL_EVENTS, P.JOURNEY):
+        key = F.struct(*store.WRITE_ORDER[name])
+        in_file = Window.partitionBy("file").orderBy("place")
+        rows = store.read_table(spark, root, name).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"),
+            key.alias("key"))
+        before = F.lag("key").over(in_file)
+        one = rows.select((before.isNull() | (before <= F.col("key"))).alias("sorted")).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+            F.coalesce(F.bool_and("sorted"), F.lit(True)).alias("in_order"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 QUERIES = {
     "raw_load": q_raw_load,
     "stream_ingest": q_stream_ingest,
@@ -381,6 +412,7 @@ QUERIES = {
     "extract_timestamp": q_extract_timestamp,
     "event_type_clean": q_event_type_clean,
     "bronze": q_bronze,
+    "load_stamp": q_load_stamp,
     "fct": q_fct,
     "pages": q_pages,
     "page_titles": q_page_titles,
@@ -411,4 +443,5 @@ QUERIES = {
     "stored_all_events": _stored(P.ALL_EVENTS),
     "stored_session_journey": _stored(P.JOURNEY),
     "stored_late_rows": q_stored_late_rows,
+    "stored_order": q_stored_order,
 }

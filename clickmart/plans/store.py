@@ -20,7 +20,7 @@ of its own: folders of earlier runs are no longer part of any table.
 
 Small folders are merged when a run is recorded: as soon as ``MERGE_AT``
 neighbouring folders of a table span about as many runs each, they become one,
-``run=<last>_<first>``. A table of n runs thus has a number of folders that
+``run=<last>_<first>``, whose files are ranges of the table's order inside each day. A table of n runs thus has a number of folders that
 grows with log n, and a row is rewritten that often. The last
 ``KEEP_SUMMARIES`` summaries stay readable; folders that only older ones name
 are removed.
@@ -240,7 +240,7 @@ def _merged(spark: SparkSession, root: str, leaves: list[Leaf],
                 folder = f"run={last}_{first}"
                 taken = {f for _, _, f in group}
                 old = [x for x in leaves if x.table_name == name and x.folder in taken]
-                _write(_read(spark, root, name, old), root, name, folder)
+                _write(_read(spark, root, name, old), root, name, folder, ranged=True)
                 made.add((name, folder))
                 by_day = defaultdict(list)
                 for x in old:
@@ -393,7 +393,9 @@ def _ordered(df: DataFrame, name: str) -> DataFrame:
     return df.sortWithinPartitions(*keys) if keys else df
 
 
-def _write(df: DataFrame, root: str, name: str, folder: str) -> None:
+def _write(df: DataFrame, root: str, name: str, folder: str, ranged: bool = False) -> None:
+    """``ranged``: files hold ranges of the write order inside a day, so that the statistics of
+    row groups cut a look-up to few files. Rows are sampled for it, so they should be stored."""
     df = df.select(S.TABLE_COLUMNS[name])
     path = f"{table_path(root, name)}/{folder}"
     if name not in PARTITIONED:
@@ -402,7 +404,9 @@ def _write(df: DataFrame, root: str, name: str, folder: str) -> None:
     # One shuffle by the partition column so each task writes few partitions
     # (else every task opens a file in every day); AQE splits a day too large
     # for one task and merges small ones.
-    df = with_partition_column(df).hint("rebalance", PARTITION_COLUMN)
+    df = with_partition_column(df)
+    df = df.repartitionByRange(PARTITION_COLUMN, *WRITE_ORDER.get(name, [])) if ranged \
+        else df.hint("rebalance", PARTITION_COLUMN)
     _ordered(df, name).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
 
 

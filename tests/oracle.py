@@ -328,6 +328,12 @@ def oracle_sql() -> dict[str, str]:
     }
     q |= {"stored_fact": q["two_batch_silver"], "stored_devices": q["devices_merge"], "stored_all_events": q["two_batch_gold"],
           "stored_session_journey": q["two_batch_journey"], "stored_late_rows": q["late_rows"]}
+    q["load_stamp"] = "SELECT count(*) AS n_rows, true AS one_stamp, true AS within_the_run FROM events"
+    q["stored_order"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, true AS in_order FROM ({q[key]}) AS t_{name}"
+        for name, key in (("fct_all_session_events", "two_batch_silver"),
+                          ("dim_event_pages", "two_batch_pages"), ("dim_devices", "devices_merge"),
+                          ("all_events", "two_batch_gold"), ("session_journey", "two_batch_journey")))
     q["stream_raw_to_base"] = with_(stream_base, f"SELECT {base_cols}, load_timestamp FROM base1 "
                                                  f"UNION ALL SELECT {base_cols}, load_timestamp FROM base2")
     return q
