@@ -86,12 +86,10 @@ def hits(known: DataFrame, keys: DataFrame, key: str, asked: int = ASKED) -> lis
 
     The list is as long as folders are hit; the keys stay on Spark.
     """
-    levels = [r[0] for r in known.select("level").distinct().collect()]
-    if not levels:
-        return []
     hashes = keys.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h")).distinct()
-    n = hashes.count()
-    if n == 0:
+    levels, n = known.agg(F.collect_set("level").alias("levels"), hashes.agg(F.count("h")).scalar()) \
+        .first()
+    if not levels or n == 0:
         return []
     level = F.col("a_level")
     parts = F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(n) / (level * F.lit(asked))))

@@ -21,8 +21,11 @@ and what it had written is replaced. The layers can also be run one by one
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,25 +97,44 @@ def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None,
     return counts
 
 
+def together(*steps: Callable[[], object]) -> list:
+    """Results of steps that do not depend on one another, run at once: their jobs share the
+    cluster. All have ended when the first error, if any, is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    return [r.result() for r in running]
+
+
 def build_silver(spark: SparkSession, root: str, load_ts=None) -> None:
     load_ts = stamp(load_ts)
     run = pending_run(spark, root)
     base = store.read_base(spark, root, run)
-    write_table(silver.fact(base, load_ts), root, P.FACT, run)
-    write_table(silver.pages(base, load_ts), root, P.PAGES, run)
-    _write_keys(spark, root, run)
-    _write_late(spark, root, run, base, None)
-    write_table(_with_through(silver.device_candidates(base), load_ts), root, DEVICE_STATE, run)
-    state = read_table(spark, root, DEVICE_STATE, run)
-    write_table(silver.profiles(state, load_ts), root, P.DEVICES, run)
 
+    def devices():
+        write_table(_with_through(silver.device_candidates(base), load_ts), root, DEVICE_STATE, run)
+        state = read_table(spark, root, DEVICE_STATE, run)
+        write_table(silver.profiles(state, load_ts), root, P.DEVICES, run)
+
+    together(lambda: _write_fact(spark, root, run, silver.fact(base, load_ts)),
+             lambda: _write_pages(spark, root, run, silver.pages(base, load_ts)),
+             lambda: _write_late(spark, root, run, base, None), devices)
+
+
+def _write_fact(spark: SparkSession, root: str, run: int, rows: DataFrame) -> None:
+    write_table(rows, root, P.FACT, run)
+    _write_keys(spark, root, run, P.FACT, S.FACT_KEYS)
 
-def _write_keys(spark: SparkSession, root: str, run: int) -> None:
-    """Filters of the event ids that this run's fact and page days hold."""
-    for name, keys in ((P.FACT, S.FACT_KEYS), (P.PAGES, S.PAGE_KEYS)):
-        rows = store.read_run(spark, root, name, run)
-        write_table(keyfilter.filters(rows, F.col("event_uuid"), F.col(PARTITION_COLUMN), run),
-                    root, keys, run)
+
+def _write_pages(spark: SparkSession, root: str, run: int, rows: DataFrame) -> None:
+    write_table(rows, root, P.PAGES, run)
+    _write_keys(spark, root, run, P.PAGES, S.PAGE_KEYS)
+
+
+def _write_keys(spark: SparkSession, root: str, run: int, name: str, keys: str) -> None:
+    """Filters of the event ids that the days of this run's rows hold."""
+    rows = store.read_run(spark, root, name, run)
+    write_table(keyfilter.filters(rows, F.col("event_uuid"), F.col(PARTITION_COLUMN), run),
+                root, keys, run)
 
 
 def _write_late(spark: SparkSession, root: str, run: int, rows: DataFrame, mark: Column | None) -> None:
@@ -134,10 +156,15 @@ def _write_state(spark: SparkSession, root: str, run: int, state: DataFrame) ->
 def build_gold(spark: SparkSession, root: str) -> None:
     run = pending_run(spark, root)
     built = {n: _of_run(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES)}
-    for name, df in P.gold_build(built).items():
-        write_table(df, root, name, run)
-    windowed = store.read_run(spark, root, P.ALL_EVENTS, run)
-    _write_state(spark, root, run, continued.state_of(windowed, run))
+
+    def events():
+        write_table(gold.all_events(built[P.FACT], built[P.PAGES], built[P.DEVICES]),
+                    root, P.ALL_EVENTS, run)
+        windowed = store.read_run(spark, root, P.ALL_EVENTS, run)
+        _write_state(spark, root, run, continued.state_of(windowed, run))
+
+    together(events, lambda: write_table(
+        gold.session_journey(built[P.FACT], built[P.PAGES], built[P.DEVICES]), root, P.JOURNEY, run))
     store.complete(spark, root, run, build=True)
 
 
@@ -164,20 +191,27 @@ def refresh_silver(spark: SparkSession, root: str, load_ts=None) -> None:
     run = _built(spark, root)
     known = store.summary(spark, root)
     base = store.read_base(spark, root, run)
-    for name, increment in ((P.FACT, silver.fact_increment), (P.PAGES, silver.pages_increment)):
-        write_table(increment(base, store.mark_row(spark, known, name), load_ts), root, name, run)
-    _write_keys(spark, root, run)
-
     new_rows = store.read_base(spark, root, run, only=True)
-    mark = marks.mark_of(store.mark_row(spark, known, P.FACT), S.FACT_DEFAULT_MARK)
-    _write_late(spark, root, run, new_rows, mark)
-    old_state = read_table(spark, root, DEVICE_STATE, run - 1)
-    write_table(_with_through(silver.advance_device_state(old_state, new_rows), load_ts),
-                root, DEVICE_STATE, run)
-    source = silver.changed_device_source(read_table(spark, root, DEVICE_STATE, run), new_rows,
-                                          load_ts)
-    write_table(merge.merge_devices(read_table(spark, root, P.DEVICES, run - 1), source),
-                root, P.DEVICES, run)
+
+    def appended(increment, name):
+        return increment(base, store.mark_row(spark, known, name), load_ts)
+
+    def late():
+        mark = marks.mark_of(store.mark_row(spark, known, P.FACT), S.FACT_DEFAULT_MARK)
+        _write_late(spark, root, run, new_rows, mark)
+
+    def devices():
+        old_state = read_table(spark, root, DEVICE_STATE, run - 1)
+        write_table(_with_through(silver.advance_device_state(old_state, new_rows), load_ts),
+                    root, DEVICE_STATE, run)
+        source = silver.changed_device_source(read_table(spark, root, DEVICE_STATE, run), new_rows,
+                                              load_ts)
+        write_table(merge.merge_devices(read_table(spark, root, P.DEVICES, run - 1), source),
+                    root, P.DEVICES, run)
+
+    together(lambda: _write_fact(spark, root, run, appended(silver.fact_increment, P.FACT)),
+             lambda: _write_pages(spark, root, run, appended(silver.pages_increment, P.PAGES)),
+             late, devices)
 
 
 class GoldInputs:
@@ -197,26 +231,33 @@ class GoldInputs:
         self.fact, self.pages, self.devices = (
             _of_run(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES))
 
-    def _older(self, name: str, keys_name: str, keys: DataFrame, key: str) -> DataFrame:
-        """Rows of ``name`` before this run in the folders that may hold some of ``keys``."""
+    def _at(self, keys_name: str, keys: DataFrame, key: str) -> list:
+        """Runs and days before this run that may hold some of ``keys``."""
         filters = store.read_leaves(self.spark, self.root, self.known, keys_name,
                                     [(x.run, None) for x in self.known.of(keys_name)])
-        at = keyfilter.hits(filters, keys, key)
+        return keyfilter.hits(filters, keys, key)
+
+    def _older(self, name: str, at: list) -> DataFrame:
         return store.read_leaves(self.spark, self.root, self.known, name, at)
 
     def pages_of(self, rows: DataFrame) -> DataFrame:
-        return self.pages.unionByName(self._older(P.PAGES, S.PAGE_KEYS, rows, "event_uuid"))
+        return self.pages.unionByName(
+            self._older(P.PAGES, self._at(S.PAGE_KEYS, rows, "event_uuid")))
 
-    def shifted(self) -> DataFrame:
-        """Keys of sessions with an older event that this run brought a page row for."""
+    def shifted(self) -> DataFrame | None:
+        """Keys of sessions with an older event that this run brought a page row for; None
+        without a trace of any."""
         ids = self.pages.select(F.col("event_uuid").alias("p_uuid"))
-        old = self._older(P.FACT, S.FACT_KEYS, ids, "p_uuid")
+        at = self._at(S.FACT_KEYS, ids, "p_uuid")
+        if not at:
+            return None
+        old = self._older(P.FACT, at)
         return old.join(ids, old["event_uuid"] == ids["p_uuid"], "left_semi") \
             .select(session_key().alias("key")).distinct()
 
     def states(self, keys: DataFrame) -> DataFrame:
         """The newest state of the sessions in ``keys``."""
-        old = self._older(S.SESSION_STATE, S.STATE_KEYS, keys, "key") \
+        old = self._older(S.SESSION_STATE, self._at(S.STATE_KEYS, keys, "key")) \
             .withColumn("s_key", session_key())
         return continued.newest(old.join(keys, old["s_key"] == keys["key"], "left_semi").drop("s_key"))
 
@@ -226,10 +267,13 @@ class GoldInputs:
             self.spark, self.root, self.known, S.SESSION_STATE,
             [(x.run, None) for x in self.known.of(S.SESSION_STATE)]))
 
-    def history(self, disturbed: DataFrame) -> DataFrame:
-        """All older fact rows of the disturbed sessions."""
-        span = disturbed.agg(F.min("first_day"), F.bool_or("dayless")).first()
-        old = store.read_since(self.spark, self.root, self.known, P.FACT, span[0], bool(span[1])) \
+    def history(self, disturbed: DataFrame) -> DataFrame | None:
+        """All older fact rows of the disturbed sessions; None if there is none."""
+        n, first, dayless = disturbed.agg(
+            F.count(F.lit(1)), F.min("first_day"), F.bool_or("dayless")).first()
+        if n == 0:
+            return None
+        old = store.read_since(self.spark, self.root, self.known, P.FACT, first, dayless) \
             .withColumn("h_key", session_key())
         return old.join(disturbed, old["h_key"] == disturbed["key"], "left_semi").drop("h_key")
 
@@ -240,15 +284,17 @@ def windowed_rows(inputs: GoldInputs, prune: bool = True) -> tuple[DataFrame, Da
     Both are read from stored rows."""
     spark, run = inputs.spark, inputs.run
     scratch = scratch_path(spark, "gold")
-    shifted = _kept(inputs.shifted(), f"{scratch}/shifted")
-    touched = inputs.fact.select(session_key().alias("key"))
-    state = _kept(inputs.states(touched.unionByName(shifted).distinct()) if prune
-                  else inputs.all_sessions(), f"{scratch}/state")
+    shifted = inputs.shifted()
+    keys = inputs.fact.select(session_key().alias("key"))
+    if shifted is not None:
+        shifted = _kept(shifted, f"{scratch}/shifted")
+        keys = keys.unionByName(shifted)
+    state = _kept(inputs.states(keys.distinct()) if prune else inputs.all_sessions(),
+                  f"{scratch}/state")
     disturbed = _kept(continued.disturbed(state, inputs.fact, shifted) if prune
                       else state.select("key", "first_day", "dayless"), f"{scratch}/disturbed")
-    rows = inputs.fact
-    if not disturbed.isEmpty():
-        rows = rows.unionByName(inputs.history(disturbed))
+    history = inputs.history(disturbed)
+    rows = inputs.fact if history is None else inputs.fact.unionByName(history)
     enriched = gold.enrich(rows, inputs.pages_of(rows), inputs.devices)
     on = state.join(disturbed.select("key"), "key", "left_anti")
     windowed = _kept(continued.go_on(
@@ -265,16 +311,22 @@ def refresh_gold(spark: SparkSession, root: str, prune: bool = True) -> None:
     run = _built(spark, root)
     inputs = GoldInputs(spark, root, run)
     known = inputs.known
-    windowed, state = windowed_rows(inputs, prune)
-    mark = marks.mark_of(store.mark_row(spark, known, P.ALL_EVENTS), S.GOLD_DEFAULT_MARK)
-    write_table(gold.derive(marks.above_mark(windowed, mark)), root, P.ALL_EVENTS, run)
-    _write_state(spark, root, run, state)
-
-    high = known.high(P.JOURNEY) or datetime.fromisoformat(S.GOLD_DEFAULT_MARK)
-    fact = inputs.fact.unionByName(store.read_since(spark, root, known, P.FACT, high.date()))
-    new_rows = marks.above_mark(fact, F.lit(str(high)).cast("timestamp_ntz"))
-    write_table(gold.session_journey(new_rows, inputs.pages_of(new_rows), inputs.devices),
-                root, P.JOURNEY, run)
+
+    def events():
+        windowed, state = windowed_rows(inputs, prune)
+        mark = marks.mark_of(store.mark_row(spark, known, P.ALL_EVENTS), S.GOLD_DEFAULT_MARK)
+        together(lambda: write_table(gold.derive(marks.above_mark(windowed, mark)),
+                                     root, P.ALL_EVENTS, run),
+                 lambda: _write_state(spark, root, run, state))
+
+    def journey():
+        high = known.high(P.JOURNEY) or datetime.fromisoformat(S.GOLD_DEFAULT_MARK)
+        fact = inputs.fact.unionByName(store.read_since(spark, root, known, P.FACT, high.date()))
+        new_rows = marks.above_mark(fact, F.lit(str(high)).cast("timestamp_ntz"))
+        write_table(gold.session_journey(new_rows, inputs.pages_of(new_rows), inputs.devices),
+                    root, P.JOURNEY, run)
+
+    together(events, journey)
     store.complete(spark, root, run)
 
 
