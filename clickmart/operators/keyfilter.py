@@ -34,10 +34,12 @@ ASKED = 1 << 17
 
 def _places(h: np.ndarray, n_bits: int) -> Iterator[np.ndarray]:
     """The places of each hash among ``n_bits``, one array per probe."""
-    first = h.astype(np.uint64)
-    step = (first * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(17)) | np.uint64(1)
-    for i in range(PROBES):
-        yield ((first + np.uint64(i) * step) >> np.uint64(5)) % np.uint64(n_bits)
+    for i in range(1, PROBES + 1):
+        # mixed anew for each probe: steps of one length would repeat in a small filter
+        z = h.astype(np.uint64) + np.uint64(i * 0x9E3779B97F4A7C15 % 2 ** 64)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        yield (z ^ (z >> np.uint64(31))) % np.uint64(n_bits)
 
 
 def _bits(h: np.ndarray) -> tuple[int, bytes]:

@@ -97,11 +97,11 @@ def initial_build(spark: SparkSession, root: str, landing: str, load_ts=None,
     return counts
 
 
-def together(*steps: Callable[[], object]) -> list:
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Results of steps that do not depend on one another, run at once: their jobs share the
     cluster. All have ended when the first error, if any, is raised."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
     return [r.result() for r in running]
 
 
@@ -115,7 +115,7 @@ def build_silver(spark: SparkSession, root: str, load_ts=None) -> None:
         state = read_table(spark, root, DEVICE_STATE, run)
         write_table(silver.profiles(state, load_ts), root, P.DEVICES, run)
 
-    together(lambda: _write_fact(spark, root, run, silver.fact(base, load_ts)),
+    together(spark, lambda: _write_fact(spark, root, run, silver.fact(base, load_ts)),
              lambda: _write_pages(spark, root, run, silver.pages(base, load_ts)),
              lambda: _write_late(spark, root, run, base, None), devices)
 
@@ -146,10 +146,9 @@ def _write_late(spark: SparkSession, root: str, run: int, rows: DataFrame, mark:
     write_table(rows.where(late), root, S.LATE, run)
 
 
-def _write_state(spark: SparkSession, root: str, run: int, state: DataFrame) -> None:
-    write_table(state, root, S.SESSION_STATE, run)
-    written = store.read_run(spark, root, S.SESSION_STATE, run)
-    write_table(keyfilter.filters(written, session_key(), F.lit(None).cast("date"), run),
+def _write_state_keys(root: str, run: int, windowed: DataFrame) -> None:
+    """Filter of the sessions that this run's state has rows of."""
+    write_table(keyfilter.filters(windowed, session_key(), F.lit(None).cast("date"), run),
                 root, S.STATE_KEYS, run)
 
 
@@ -161,9 +160,10 @@ def build_gold(spark: SparkSession, root: str) -> None:
         write_table(gold.all_events(built[P.FACT], built[P.PAGES], built[P.DEVICES]),
                     root, P.ALL_EVENTS, run)
         windowed = store.read_run(spark, root, P.ALL_EVENTS, run)
-        _write_state(spark, root, run, continued.state_of(windowed, run))
+        write_table(continued.state_of(windowed, run), root, S.SESSION_STATE, run)
+        _write_state_keys(root, run, windowed)
 
-    together(events, lambda: write_table(
+    together(spark, events, lambda: write_table(
         gold.session_journey(built[P.FACT], built[P.PAGES], built[P.DEVICES]), root, P.JOURNEY, run))
     store.complete(spark, root, run, build=True)
 
@@ -209,7 +209,7 @@ def refresh_silver(spark: SparkSession, root: str, load_ts=None) -> None:
         write_table(merge.merge_devices(read_table(spark, root, P.DEVICES, run - 1), source),
                     root, P.DEVICES, run)
 
-    together(lambda: _write_fact(spark, root, run, appended(silver.fact_increment, P.FACT)),
+    together(spark, lambda: _write_fact(spark, root, run, appended(silver.fact_increment, P.FACT)),
              lambda: _write_pages(spark, root, run, appended(silver.pages_increment, P.PAGES)),
              late, devices)
 
@@ -217,12 +217,16 @@ def refresh_silver(spark: SparkSession, root: str, load_ts=None) -> None:
 class GoldInputs:
     """What a gold refresh reads: the delivery, and of history only what it needs.
 
-    * ``state``: where the sessions of the new rows stand, from the runs whose
+    * ``states``: where the sessions of the new rows stand, from the runs whose
       filter holds them;
-    * ``disturbed``: sessions to be windowed again, for which the fact's days
-      from their first one on are read;
+    * ``shifted``: sessions with an older event that this run brought a page row for;
+    * ``history``: the fact's days from the first one on of sessions that must be
+      windowed again;
     * ``pages_of``: page rows of this run, and of the older days whose filter
-      holds some of the events.
+      holds some of the events;
+    * ``journey_rows``: rows above the journey's own mark.
+
+    The filters are asked for all of the delivery at once, when this is made.
     """
 
     def __init__(self, spark: SparkSession, root: str, run: int):
@@ -230,6 +234,19 @@ class GoldInputs:
         self.known = store.summary(spark, root, run - 1)
         self.fact, self.pages, self.devices = (
             _of_run(spark, root, n, run) for n in (P.FACT, P.PAGES, P.DEVICES))
+        self.keys = self.fact.select(session_key().alias("key"))
+        high = self.known.high(P.JOURNEY) or datetime.fromisoformat(S.GOLD_DEFAULT_MARK)
+        self.journey_mark = F.lit(str(high)).cast("timestamp_ntz")
+        # the journey's mark may be lower than the fact's: older rows above it count again
+        self.journey_old = marks.above_mark(
+            store.read_since(spark, root, self.known, P.FACT, high.date()), self.journey_mark)
+        new_pages = self.pages.select(F.col("event_uuid").alias("p_uuid"))
+        self.shifted_at, self.state_at, self.page_at, self.journey_at = together(
+            spark,
+            lambda: self._at(S.FACT_KEYS, new_pages, "p_uuid"),
+            lambda: self._at(S.STATE_KEYS, self.keys, "key"),
+            lambda: self._at(S.PAGE_KEYS, self.fact, "event_uuid"),
+            lambda: self._at(S.PAGE_KEYS, self.journey_old, "event_uuid"))
 
     def _at(self, keys_name: str, keys: DataFrame, key: str) -> list:
         """Runs and days before this run that may hold some of ``keys``."""
@@ -240,32 +257,32 @@ class GoldInputs:
     def _older(self, name: str, at: list) -> DataFrame:
         return store.read_leaves(self.spark, self.root, self.known, name, at)
 
-    def pages_of(self, rows: DataFrame) -> DataFrame:
-        return self.pages.unionByName(
-            self._older(P.PAGES, self._at(S.PAGE_KEYS, rows, "event_uuid")))
+    def pages_of(self, history: DataFrame | None) -> DataFrame:
+        more = [] if history is None else self._at(S.PAGE_KEYS, history, "event_uuid")
+        return self.pages.unionByName(self._older(P.PAGES, [*self.page_at, *more]))
 
     def shifted(self) -> DataFrame | None:
-        """Keys of sessions with an older event that this run brought a page row for; None
-        without a trace of any."""
-        ids = self.pages.select(F.col("event_uuid").alias("p_uuid"))
-        at = self._at(S.FACT_KEYS, ids, "p_uuid")
-        if not at:
+        """Keys of the shifted sessions; None without a trace of any."""
+        if not self.shifted_at:
             return None
-        old = self._older(P.FACT, at)
+        ids = self.pages.select(F.col("event_uuid").alias("p_uuid"))
+        old = self._older(P.FACT, self.shifted_at)
         return old.join(ids, old["event_uuid"] == ids["p_uuid"], "left_semi") \
             .select(session_key().alias("key")).distinct()
 
-    def states(self, keys: DataFrame) -> DataFrame:
-        """The newest state of the sessions in ``keys``."""
-        old = self._older(S.SESSION_STATE, self._at(S.STATE_KEYS, keys, "key")) \
-            .withColumn("s_key", session_key())
+    def states(self, more: DataFrame | None) -> DataFrame:
+        """The newest state of the sessions of the new rows, and of ``more`` keys."""
+        keys, at = self.keys, self.state_at
+        if more is not None:
+            keys, at = keys.unionByName(more), [*at, *self._at(S.STATE_KEYS, more, "key")]
+        keys = keys.distinct()
+        old = self._older(S.SESSION_STATE, at).withColumn("s_key", session_key())
         return continued.newest(old.join(keys, old["s_key"] == keys["key"], "left_semi").drop("s_key"))
 
     def all_sessions(self) -> DataFrame:
         """The state of every session (to window all of them again)."""
-        return continued.newest(store.read_leaves(
-            self.spark, self.root, self.known, S.SESSION_STATE,
-            [(x.run, None) for x in self.known.of(S.SESSION_STATE)]))
+        return continued.newest(self._older(
+            S.SESSION_STATE, [(x.run, None) for x in self.known.of(S.SESSION_STATE)]))
 
     def history(self, disturbed: DataFrame) -> DataFrame | None:
         """All older fact rows of the disturbed sessions; None if there is none."""
@@ -277,6 +294,11 @@ class GoldInputs:
             .withColumn("h_key", session_key())
         return old.join(disturbed, old["h_key"] == disturbed["key"], "left_semi").drop("h_key")
 
+    def journey(self) -> DataFrame:
+        rows = marks.above_mark(self.fact, self.journey_mark).unionByName(self.journey_old)
+        pages = self.pages.unionByName(self._older(P.PAGES, [*self.page_at, *self.journey_at]))
+        return gold.session_journey(rows, pages, self.devices)
+
 
 def windowed_rows(inputs: GoldInputs, prune: bool = True) -> tuple[DataFrame, DataFrame]:
     """The rows of this run, and all rows of disturbed sessions, with their window
@@ -285,18 +307,17 @@ def windowed_rows(inputs: GoldInputs, prune: bool = True) -> tuple[DataFrame, Da
     spark, run = inputs.spark, inputs.run
     scratch = scratch_path(spark, "gold")
     shifted = inputs.shifted()
-    keys = inputs.fact.select(session_key().alias("key"))
     if shifted is not None:
         shifted = _kept(shifted, f"{scratch}/shifted")
-        keys = keys.unionByName(shifted)
-    state = _kept(inputs.states(keys.distinct()) if prune else inputs.all_sessions(),
-                  f"{scratch}/state")
-    disturbed = _kept(continued.disturbed(state, inputs.fact, shifted) if prune
-                      else state.select("key", "first_day", "dayless"), f"{scratch}/disturbed")
+    state = _kept(inputs.states(shifted) if prune else inputs.all_sessions(), f"{scratch}/state")
+    disturbed = continued.disturbed(state, inputs.fact, shifted) if prune \
+        else state.select("key", "first_day", "dayless")
     history = inputs.history(disturbed)
-    rows = inputs.fact if history is None else inputs.fact.unionByName(history)
-    enriched = gold.enrich(rows, inputs.pages_of(rows), inputs.devices)
-    on = state.join(disturbed.select("key"), "key", "left_anti")
+    rows, on = inputs.fact, state
+    if history is not None:
+        rows = rows.unionByName(history)
+        on = state.join(disturbed.select("key"), "key", "left_anti")
+    enriched = gold.enrich(rows, inputs.pages_of(history), inputs.devices)
     windowed = _kept(continued.go_on(
         gold.with_session_windows(enriched, rows.select("session_id")), on), f"{scratch}/windowed")
     return windowed, continued.merged_state(continued.state_of(windowed, run), on)
@@ -310,23 +331,17 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 def refresh_gold(spark: SparkSession, root: str, prune: bool = True) -> None:
     run = _built(spark, root)
     inputs = GoldInputs(spark, root, run)
-    known = inputs.known
 
     def events():
         windowed, state = windowed_rows(inputs, prune)
-        mark = marks.mark_of(store.mark_row(spark, known, P.ALL_EVENTS), S.GOLD_DEFAULT_MARK)
-        together(lambda: write_table(gold.derive(marks.above_mark(windowed, mark)),
+        mark = marks.mark_of(store.mark_row(spark, inputs.known, P.ALL_EVENTS), S.GOLD_DEFAULT_MARK)
+        together(spark,
+                 lambda: write_table(gold.derive(marks.above_mark(windowed, mark)),
                                      root, P.ALL_EVENTS, run),
-                 lambda: _write_state(spark, root, run, state))
-
-    def journey():
-        high = known.high(P.JOURNEY) or datetime.fromisoformat(S.GOLD_DEFAULT_MARK)
-        fact = inputs.fact.unionByName(store.read_since(spark, root, known, P.FACT, high.date()))
-        new_rows = marks.above_mark(fact, F.lit(str(high)).cast("timestamp_ntz"))
-        write_table(gold.session_journey(new_rows, inputs.pages_of(new_rows), inputs.devices),
-                    root, P.JOURNEY, run)
+                 lambda: write_table(state, root, S.SESSION_STATE, run),
+                 lambda: _write_state_keys(root, run, windowed))
 
-    together(events, journey)
+    together(spark, events, lambda: write_table(inputs.journey(), root, P.JOURNEY, run))
     store.complete(spark, root, run)
 
 

@@ -225,11 +225,12 @@ def test_filters_miss_no_key(spark):
 
 def test_false_hits_are_rare():
     rng = np.random.default_rng(1)
-    held, others = rng.integers(-2 ** 63, 2 ** 63, (2, 200_000))
-    n_bits, bits = keyfilter._bits(held)
-    assert len(bits) == 4 * len(held)
-    assert len(keyfilter._holds(bits, n_bits, held)) == len(held)
-    assert len(keyfilter._holds(bits, n_bits, others)) <= 2
+    for n in (3, 40, 700, 200_000):
+        held, others = rng.integers(-2 ** 63, 2 ** 63, n), rng.integers(-2 ** 63, 2 ** 63, 300_000)
+        n_bits, bits = keyfilter._bits(held)
+        assert len(bits) == max(8, -(-n * 32 // 64) * 8)
+        assert len(keyfilter._holds(bits, n_bits, held)) == n
+        assert len(keyfilter._holds(bits, n_bits, others)) <= 3
 
 
 # --- summaries and merging ----------------------------------------------------------
