@@ -46,7 +46,7 @@ DENSE_BYTES = 64
 TILE = 10
 FULL = 8
 #: Words that a task holds, and counts at most at once; rows that it hands on at once.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 BATCH_ROWS = 1 << 16
 #: Bits of the filter of frequent parts: broadcast as 4 MiB.
 SLOTS = 1 << 25
