@@ -3,18 +3,26 @@
 Rules name a host (it and all its subdomains) and a path prefix; the longest
 that fits decides. Other URLs are judged by the words of their host and path:
 a unigram Viterbi splits concatenated names (``cheappills``) into words, and a
-naive Bayes weighs them.
-
-``learn`` counts both models on Spark: the unigram counts are those of every
-word of the given texts (documents and the visible text of all pages), and the
-Bayes weights compare in how many pages a word occurs whose names the seeds
-take for block, and in how many others. Seeds are only the start: a share of
-the unigram probability and the prior weight of their own words. The counts
-are a table as long as the vocabulary; it is joined to the parts of the
-distinct names, never collected. Without it, seeds alone judge, per row.
+multinomial naive Bayes weighs them.
+
+The unigram counts (``learn``) are those of every word of the given texts
+(documents and the visible text of all pages), mixed with the words of the
+labelled names below. The Bayes model starts from these labelled names; it
+labels every distinct host and path of the table, and is then fitted to the
+counts of their segmented tokens, by label: so words that stand beside known
+ones in block hosts are learnt from the table, and those of other hosts speak
+against. Positive and unlabelled: a URL without evidence counts as other. The
+labelled names are the prior of each word, worth ``strength`` tokens. The last
+label of a host (``com``) is where a site is, not its name, and is no token.
+
+All counts are tables as long as the vocabulary; they are joined, never
+collected. Word scores are rounded to millionths, so their sums are exact and
+reruns agree. Without counted texts, the labelled names alone judge, per row.
 
 Hot hosts: names and (host, path) are made distinct before they are split, and
-the join back is an equi-join on a unique side.
+the join back is an equi-join on a unique side. A name of n letters gives at
+most ``key`` * n stretches, which are matched one by one; words of any length
+are found, those over ``key`` letters by their first ``key`` letters.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path;
 no rule fits it and it is judged on no words (the prior: allow). A url may
@@ -31,7 +39,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import in_parts, map_batches, stored
@@ -42,17 +50,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"),
          ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
-#: Words seen in names of hosts to block and to allow; they train the classifier
-#: and, with ``COMMON``, are the words that names are split into.
+#: Labelled names (fixed values): hosts to block and to allow, as words. They train
+#: the classifier and, with ``COMMON``, are words that names are split into.
 BLOCK_SEEDS = """
-cheap pills|buy cheap pills online|discount pills|pharmacy discount|viagra online|cialis cheap
-casino win|online casino|casino bonus|poker win|play poker|slots win|jackpot casino|lottery win
-free bets|sports bets|betting odds|bet win|gambling online|free spins|free casino
-spam farm|link farm|content farm|spam links|click farm|seo spam|backlinks cheap
-ads track|ad server|ads click|popup ads|track click|tracker ads|banner ads|adware track
-adult x|adult video|xxx adult|porn free|sex cam|adult dating|hot adult|nude cam|erotic adult
-malware download|phishing login|warez crack|crack keygen|torrent crack|hack free|scam win
-payday loan|cheap loans|fast cash|free money|replica watches|weight loss pills|miracle pills
+cheap meds|cheap viagra|cialis rx|discount pills|diet pills|viagra pills|meds rx|cheap cialis
+viagra cialis online|discount meds rx|weight loss pills|miracle diet pills|cheap rx
+casino bonus|mega casino|casino slots|mega slots|poker bonus|casino poker|jackpot slots
+casino jackpot|win jackpot|poker win|slots bonus win|lottery win|lottery jackpot|casino bets
+sports bets|live bets|betting odds|betting king|bets odds|sports betting|betting bonus|casino king
+spam links|spam mailer|bulk spam|backlinks cheap|link farm|content farm|spam backlinks|farm links
+ads click|ads popup|popup click|banner ads|track click|tracker click|track popup|banner popup
+adult dating|adult cam|sex cam|adult sex|porn cam|xxx porn|xxx sex|adult porn|sex dating
+malware warez|warez crack|crack keygen|warez keygen|torrent crack|torrent warez|malware crack
+payday loans|cheap loans|payday cash|fast loans|fast cash|mortgage loans|cash loans
+mortgage rates|mortgage refinance|refinance loans|refinance rates|replica watches|cheap replica
+replica rolex|rolex watches|free spins|free bonus|slots spins
 """
 ALLOW_SEEDS = """
 daily news|world news|local news|science news|news today|weather today|city weather
@@ -63,6 +75,7 @@ travel guide|food recipes|home garden|family recipes|sports club|football club|r
 online shop|book store|city guide|photo album|music store|film review|free software|free library
 wiki page|help center|support forum|community forum|blog post|research journal|math journal
 government office|city council|law office|bank online|post office|job search|real estate
+family farm|farm shop|live music|fast food|king street|win festival|content guide
 """
 COMMON = """
 the of and to in for with on by from this that a an is be my your our all new best top big
@@ -76,14 +89,14 @@ class Settings:
     block: str = BLOCK_SEEDS
     allow: str = ALLOW_SEEDS
     common: str = COMMON
-    prior_block: float = 0.2
-    smoothing: float = 0.5
+    prior_block: float = 0.1
+    smoothing: float = 0.2
     unknown_per_char: float = -4.0   # log probability of a letter outside known words
     unknown_start: float = -6.0
-    longest: int = 24
+    key: int = 24                    # letters by which counted words are looked up
     cache: int = 200_000
     seed_share: float = 0.1          # of the unigram probability, beside counted words
-    shrink: float = 5.0              # pages of each label added to a word's, at the overall ratio
+    strength: float = 5.0            # tokens that the labelled names are worth, for each word
     words: Counter = field(init=False, compare=False)
 
     def __post_init__(self) -> None:
@@ -130,24 +143,33 @@ class Segmenter:
         share = self.how.seed_share
         self.log = {w: math.log(share * self.seeds.get(w, 0.0) + (1 - share) * n / total)
                     for w, n in counts.items() if n or w in self.seeds}
+        self.longest = max(map(len, self.log), default=0)
 
     def split(self, name: str) -> list[str]:
-        """Words of ``name``, unknown stretches whole; of equal scores the longer last word."""
+        """Words of ``name``, unknown stretches whole; of equal scores the longer last word,
+        and a word before an unknown stretch."""
         n = len(name)
-        best = [0.0] + [-math.inf] * n
-        back: list[tuple[int, bool]] = [(0, False)] * (n + 1)
+        word, loose = [0.0] + [-math.inf] * n, [-math.inf] * (n + 1)
+        start_of, opens = [0] * (n + 1), [False] * (n + 1)
         for end in range(1, n + 1):
-            for start in range(max(0, end - max(self.longest, self.how.longest)), end):
-                part = name[start:end]
-                log = self.log.get(part)
-                s = best[start] + (self.how.unknown_start + self.how.unknown_per_char * len(part)
-                                   if log is None else log)
-                if s > best[end]:
-                    best[end], back[end] = s, (start, log is not None)
+            fresh = word[end - 1] + self.how.unknown_start
+            opens[end] = fresh >= loose[end - 1]
+            loose[end] = max(fresh, loose[end - 1]) + self.how.unknown_per_char
+            for start in range(max(0, end - self.longest), end):
+                log = self.log.get(name[start:end])
+                if log is not None and max(word[start], loose[start]) + log > word[end]:
+                    word[end], start_of[end] = max(word[start], loose[start]) + log, start
         out, end = [], n
         while end:
-            out.append(name[back[end][0]:end])
-            end = back[end][0]
+            start = end
+            if loose[end] > word[end]:
+                while not opens[start]:
+                    start -= 1
+                start -= 1
+            else:
+                start = start_of[end]
+            out.append(name[start:end])
+            end = start
         return out[::-1]
 
 
@@ -162,6 +184,10 @@ class Bayes:
                      - math.log((counts[0][w] + how.smoothing) / size[0]) for w in known}
         self.prior = math.log(how.prior_block / (1 - how.prior_block))
 
+    def micro(self, word: str) -> int:
+        """Log odds of block that a word adds, in millionths."""
+        return round(self.odds.get(word, 0.0) * MICRO)
+
     def score(self, words: list[str]) -> float:
         """Log odds of block."""
         return self.prior + sum(self.odds.get(w, 0.0) for w in words)
@@ -170,14 +196,20 @@ class Bayes:
 PARTS = re.compile(r"[a-z]+")
 
 
+def names_of(host: str, path: str) -> list[str]:
+    """Names to be split: runs of ASCII letters, without the host's last label of several."""
+    labels = host.split(".")
+    return PARTS.findall(".".join(labels[:-1] or labels).lower()) + PARTS.findall(path.lower())
+
+
 class Judge:
     def __init__(self, how: Settings):
         self.segment, self.bayes, self.how = Segmenter(how), Bayes(how), how
         self.names: dict[str, list[str]] = {}
 
-    def words(self, text: str) -> list[str]:
+    def words(self, host: str, path: str) -> list[str]:
         out = []
-        for name in PARTS.findall(text.lower()):
+        for name in names_of(host, path):
             if name not in self.names:
                 if len(self.names) >= self.how.cache:
                     self.names.clear()
@@ -186,10 +218,13 @@ class Judge:
         return out
 
     def score(self, host: str, path: str) -> tuple[list[str], float]:
-        words = self.words(host) + self.words(path)
+        words = self.words(host, path)
         return words, self.bayes.score(words)
 
 
+#: Log odds are summed in whole numbers of this part.
+MICRO = 1_000_000
+
 SCHEMA = ("page_id long, host string, path string, rule string, verdict string, "
           "words array<string>, log_odds double")
 
@@ -211,64 +246,28 @@ def _countable(df: DataFrame) -> DataFrame:
     return df.where(F.col("word").rlike("^[a-z]{2,}$"))
 
 
-def learn(pages: DataFrame, texts: DataFrame | None = None,
-          how: Settings = Settings()) -> DataFrame:
-    """(word, n, block, other): occurrences in all texts, pages of each label with the word.
+def learn(pages: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """(word, n): occurrences of each word in the visible text of all pages and in all texts.
 
-    ``pages`` has url and html, ``texts`` text. A page counts as block if the
-    seed words of its host and path speak for block.
+    ``pages`` has html, ``texts`` text; nulls have no words.
     """
-    u = pages.select(pages["url"].cast("string").alias("__u"),
-                     F.regexp_replace(F.coalesce(pages["html"].cast("string"), F.lit("")),
-                                      HIDDEN, " ").alias("text"))
-    named = u.select(host_of(F.col("__u")).alias("host"), path_of(F.col("__u")).alias("path"),
-                     "text")
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(how)
-        for batch in batches:
-            block = [judge.score(h, p)[1] > judge.bayes.prior for h, p in zip(
-                batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("text"), pa.array(block, pa.bool_())],
-                                             ["text", "block"])
-
-    once = F.array_distinct(_words(F.col("text")))
-    by_page = _countable(map_batches(named, label, "text string, block boolean")
-                         .select(F.explode(once).alias("word"), "block")) \
-        .select("word", F.lit(0).cast("long").alias("n"),
-                F.col("block").cast("long").alias("block"),
-                (~F.col("block")).cast("long").alias("other"))
-    all_texts = named.select("text")
+    said = pages.select(F.regexp_replace(F.coalesce(pages["html"].cast("string"), F.lit("")),
+                                         HIDDEN, " ").alias("text"))
     if texts is not None:
-        all_texts = all_texts.unionByName(texts.select(texts["text"].cast("string").alias("text")))
-    said = _countable(all_texts.select(F.explode(_words(F.col("text"))).alias("word"))) \
-        .groupBy("word").agg(F.count(F.lit(1)).alias("n")) \
-        .select("word", "n", F.lit(0).cast("long").alias("block"),
-                F.lit(0).cast("long").alias("other"))
-    return said.unionByName(by_page).groupBy("word").agg(
-        *[F.sum(c).alias(c) for c in ("n", "block", "other")])
+        said = said.unionByName(texts.select(texts["text"].cast("string").alias("text")))
+    return _countable(said.select(F.explode(_words(F.col("text"))).alias("word"))) \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _judged_names(urls: DataFrame, counts: DataFrame, how: Settings) -> DataFrame:
-    """(host, path, words, odds) of each distinct host and path, by counted words."""
-    size = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
-                        for c in ("n", "block", "other")]).first()
-    total, pages = max(size["n"], 1), max(size["block"] + size["other"], 1)
-    share = size["block"] / pages
-    longest = max(how.longest, *map(len, how.words), 1)
-
-    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [PARTS.findall(h.lower()) + PARTS.findall(p.lower()) for h, p in zip(
-                batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("path"),
-                 pa.array(parts, pa.list_(pa.string()))], ["host", "path", "names"])
+def split_names(names: DataFrame, counts: DataFrame, how: Settings = Settings()) -> DataFrame:
+    """(name, words, odds) of distinct ``name``s, split by counted words; ``odds`` are those
+    of the labelled names alone."""
+    total = max(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 1)
 
     def listed(out: list[tuple[str, str]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.string()),
-                                           pa.array([w for _, w in out], pa.string())],
-                                          ["name", "word"])
+                                           pa.array([p for _, p in out], pa.string())],
+                                          ["name", "piece"])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_parts(batches, 1000):
@@ -276,7 +275,7 @@ def _judged_names(urls: DataFrame, counts: DataFrame, how: Settings) -> DataFram
             for name in part.column("name").to_pylist():
                 for a in range(len(name)):
                     out += [(name, name[a:b])
-                            for b in range(a + 2, min(a + longest, len(name)) + 1)]
+                            for b in range(a + 2, min(a + how.key, len(name)) + 1)]
                     if len(out) >= 50_000:
                         yield listed(out)
                         out = []
@@ -284,46 +283,80 @@ def _judged_names(urls: DataFrame, counts: DataFrame, how: Settings) -> DataFram
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, bayes = Segmenter(how), Bayes(how)
-
-        def odds(word: str, block: int, other: int) -> float:
-            n = block + other
-            return bayes.odds.get(word, 0.0) \
-                + math.log((block + how.shrink) / (n * share + how.shrink)) \
-                - math.log((other + how.shrink) / (n * (1 - share) + how.shrink))
-
         for batch in batches:
-            words, score = [], []
+            words = []
             for name, known in zip(batch.column("name").to_pylist(),
                                    batch.column("known").to_pylist(), strict=True):
-                met = {k["word"]: (k["block"], k["other"]) for k in known or ()}
-                counts = {k["word"]: k["n"] for k in known or ()}
-                segment.use({**{w: 0 for w in segment.seeds if w in name}, **counts}, total)
+                met = {k["word"]: k["n"] for k in known or ()}
+                segment.use({**{w: 0 for w in segment.seeds if w in name}, **met}, total)
                 words.append(segment.split(name))
-                score.append(sum(odds(w, *met.get(w, (0, 0))) for w in words[-1]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("name"), pa.array(words, pa.list_(pa.string())),
-                 pa.array(score, pa.float64())], ["name", "words", "odds"])
+                 pa.array([sum(bayes.micro(w) for w in ws) for ws in words], pa.int64())],
+                ["name", "words", "odds"])
+
+    # a word over ``key`` letters meets the stretch it begins with, and must be there whole
+    keyed = counts.withColumn("piece", F.substring("word", 1, how.key))
+    known = map_batches(names, pieces, "name string, piece string").join(keyed, "piece") \
+        .where((F.length("word") <= how.key) | F.expr("instr(name, word) > 0")) \
+        .groupBy("name").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    return map_batches(names.join(known, "name", "left").select("name", "known"), split,
+                       "name string, words array<string>, odds long")
+
+
+def word_odds(spark: SparkSession, tokens: DataFrame, how: Settings = Settings()) -> DataFrame:
+    """(word, odds): millionths of the log odds of block, from ``tokens`` (word, block, other).
+
+    Multinomial, with pseudo-counts of ``strength`` for a word, split by the labels' shares of
+    all tokens, at the odds of the labelled names: an unseen word keeps those. If all tokens
+    are of one label, they say nothing, and all words keep them.
+    """
+    seeds = spark.createDataFrame(sorted(Bayes(how).odds.items()), "word string, seed double")
+    block, other = tokens.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("block", "other")]).first()
+    x = F.coalesce("seed", F.lit(0.0))
+    odds = x
+    if block and other:
+        per_block, per_other = (block + other) / block, (block + other) / other
+        odds = F.log((F.col("block") * per_block + how.strength * F.exp(x / 2))
+                     / (F.col("other") * per_other + how.strength * F.exp(-x / 2)))
+    return tokens.join(F.broadcast(seeds), "word", "left").select(
+        "word", F.round(odds * MICRO).cast("long").alias("odds"))
+
+
+def _judged_names(urls: DataFrame, counts: DataFrame, how: Settings) -> DataFrame:
+    """(host, path, words, odds) of each distinct host and path that has words."""
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [names_of(h, p) for h, p in zip(
+                batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), batch.column("path"),
+                 pa.array(parts, pa.list_(pa.string()))], ["host", "path", "names"])
 
     named = stored(map_batches(urls.select("host", "path").distinct(), names,
                                "host string, path string, names array<string>"), "url-names")
-    distinct = named.select(F.explode("names").alias("name")).distinct()
-    known = map_batches(distinct, pieces, "name string, word string").join(counts, "word") \
-        .groupBy("name").agg(F.collect_set(F.struct("word", "n", "block", "other")).alias("known"))
-    done = map_batches(distinct.join(known, "name", "left").select("name", "known"), split,
-                       "name string, words array<string>, odds double")
-    placed = named.select("host", "path", F.posexplode("names").alias("at", "name")) \
-        .join(done, "name").groupBy("host", "path") \
+    split = split_names(named.select(F.explode("names").alias("name")).distinct(), counts, how)
+    placed = stored(
+        named.select("host", "path", F.posexplode("names").alias("at", "name"))
+        .join(split, "name").groupBy("host", "path")
         .agg(F.array_sort(F.collect_list(F.struct("at", "words", "odds"))).alias("got"))
-    return placed.select(
-        "host", "path", F.flatten(F.transform("got", lambda g: g["words"])).alias("words"),
-        F.aggregate("got", F.lit(0.0), lambda x, g: x + g["odds"]).alias("odds"))
+        .select("host", "path", F.flatten(F.transform("got", lambda g: g["words"])).alias("words"),
+                (F.aggregate("got", F.lit(0).cast("long"), lambda x, g: x + g["odds"])
+                 > -round(Bayes(how).prior * MICRO)).alias("block")), "url-tokens")
+    tokens = stored(placed.select(F.explode("words").alias("word"), "block").groupBy("word").agg(
+        F.count_if("block").alias("block"), F.count_if(~F.col("block")).alias("other")),
+        "url-token-counts")
+    odds = placed.select("host", "path", F.explode("words").alias("word")) \
+        .join(word_odds(urls.sparkSession, tokens, how), "word") \
+        .groupBy("host", "path").agg(F.sum("odds").alias("odds"))
+    return placed.select("host", "path", "words").join(odds, ["host", "path"])
 
 
 def judge_urls(pages: DataFrame, how: Settings = Settings(),
                counts: DataFrame | None = None) -> DataFrame:
     """``SCHEMA`` for each row of ``pages`` (page_id, url); only these columns are read.
 
-    ``counts`` are those of ``learn``; without them the seeds alone judge.
+    ``counts`` are those of ``learn``; without them the labelled names alone judge.
     """
     u = pages.select(pages["page_id"].cast("long").alias("page_id"),
                      pages["url"].cast("string").alias("__u"))
@@ -333,9 +366,8 @@ def judge_urls(pages: DataFrame, how: Settings = Settings(),
         .select("page_id", "host", "path", F.col("__r.rule").alias("rule"),
                 F.col("__r.verdict").alias("verdict"))
     if counts is not None:
-        prior = Bayes(how).prior
         met = _judged_names(ruled, stored(counts, "url-words"), how)
-        log_odds = F.coalesce("odds", F.lit(0.0)) + F.lit(prior)
+        log_odds = (F.coalesce("odds", F.lit(0)) + F.lit(round(Bayes(how).prior * MICRO))) / MICRO
         return ruled.join(met, ["host", "path"], "left").select(
             "page_id", "host", "path", "rule",
             F.coalesce("verdict", F.when(log_odds > 0, "block").otherwise("allow"))

@@ -1,9 +1,13 @@
 """Each operator against a brute-force version, on the driver's small tables and odd rows."""
 
+import functools
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 from functools import lru_cache
 
 import numpy as np
@@ -316,9 +320,66 @@ def test_pruning_keeps_likely_pairs():
 
 # 5 ---------------------------------------------------------------------------
 
+def _url_verdicts(pages, texts, how):
+    """(words, verdict) of each (host, path) of ``pages`` (url, html) by plain Python: words by
+    recursion over all splits, multinomial naive Bayes over the tokens of the distinct ones."""
+    said = Counter()
+    for text in [re.sub(url_filter.HIDDEN.replace(r"(?is)", ""), " ", h or "", flags=re.I | re.S)
+                 for _, h in pages] + [t or "" for t in texts]:
+        said.update(w for w in re.findall(r"[^\W\d_]+", text.lower()) if re.fullmatch("[a-z]{2,}", w))
+    total = max(sum(said.values()), 1)
+    lists = [Counter(x.replace("|", " ").split()) for x in (how.block, how.allow, how.common)]
+    listed = sum(lists, Counter())
+    size = sum(listed.values()) + len(listed)
+
+    @functools.cache
+    def cost(part):
+        if len(part) > 1 and (part in listed or said[part]):
+            return math.log(how.seed_share * (listed[part] + 1 if part in listed else 0) / size
+                            + (1 - how.seed_share) * said[part] / total)
+        return how.unknown_start + how.unknown_per_char * len(part)
+
+    @functools.cache
+    def split(name):
+        if not name:
+            return 0.0, ()
+        return max(((split(name[:a])[0] + cost(name[a:]), (*split(name[:a])[1], name[a:]))
+                    for a in range(len(name))), key=lambda x: x[0])
+
+    def naive(block, other, nb, no, smooth, word):
+        return math.log((block[word] + smooth) / nb) - math.log((other[word] + smooth) / no)
+
+    known = set(lists[0]) | set(lists[1])
+    sizes = [sum(c.values()) + how.smoothing * len(known) for c in lists[:2]]
+    seed = {w: naive(*lists[:2], *sizes, how.smoothing, w) for w in known}
+    prior = math.log(how.prior_block / (1 - how.prior_block))
+    words = {}
+    for url, _ in pages:
+        host, path = brute.url_parts(url)
+        names = host.split(".")
+        shown = ".".join(names[:-1] if len(names) > 1 else names) + " " + path
+        words[host, path] = [w for n in re.findall("[a-z]+", shown.lower()) for w in split(n)[1]]
+    got = [Counter(), Counter()]
+    for ws in words.values():
+        got[prior + sum(seed.get(w, 0) for w in ws) > 0].update(ws)
+    n = [sum(c.values()) for c in got]
+    out = {}
+    for key, ws in words.items():
+        odds = prior
+        for w in ws:
+            x = seed.get(w, 0)
+            odds += x if not all(n) else math.log(
+                (got[1][w] * sum(n) / n[1] + how.strength * math.exp(x / 2))
+                / (got[0][w] * sum(n) / n[0] + how.strength * math.exp(-x / 2)))
+        out[key] = ws, "block" if odds > 0 else "allow"
+    return out
+
+
 def test_url_filter(spark):
-    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
-    judge = url_filter.Judge(url_filter.Settings())
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    brutal = _url_verdicts([(r["url"], r["html"]) for r in rows], texts, url_filter.Settings())
+    pages = {r["page_id"]: r["url"] for r in rows}
     got = Q.op5_url_filter(spark, SF).collect()
     assert len(got) == len(pages)
     for r in got:
@@ -327,8 +388,23 @@ def test_url_filter(spark):
                 if (host == x[0] or host.endswith("." + x[0])) and path.startswith(x[1])]
         best = max(fits, key=lambda x: len(x[0] + x[1]), default=None)
         assert (r["host"], r["path"], r["rule"]) == (host, path, best and best[0] + best[1])
-        assert r["verdict"] == (best[2] if best else
-                                "block" if judge.score(host, path)[1] > 0 else "allow")
+        words, verdict = brutal[host, path]
+        assert r["words"] == words
+        assert r["verdict"] == (best[2] if best else verdict)
+
+
+def test_labelled_names_left_out_one_by_one():
+    """A block name that the classifier has not seen is found, and a harmless one left alone."""
+    how = url_filter.Settings()
+    rate = {}
+    for kind in ("block", "allow"):
+        names = getattr(how, kind).strip().replace("\n", "|").split("|")
+        right = 0
+        for i, name in enumerate(names):
+            judge = url_filter.Judge(replace(how, **{kind: "|".join(names[:i] + names[i + 1:])}))
+            right += (judge.score(name.replace(" ", "") + ".net", "/")[1] > 0) == (kind == "block")
+        rate[kind] = right / len(names)
+    assert rate["block"] >= 0.9 and rate["allow"] >= 0.95, rate
 
 
 def test_url_odd_rows(spark):
@@ -366,26 +442,43 @@ def test_segmentation_is_the_best_split():
 
 
 def test_url_words_are_learnt_from_the_tables(spark):
-    """A block host of words outside the seeds, known only from pages and documents."""
-    bad = "<html><script>garden()</script><p>best mortgage rates, refinance now</p></html>"
-    good = "<p>pictures of mountains and rivers</p>"
-    rows = [(i, f"http://cheappills{i % 3}.net/{i}", bad) for i in range(20)]
-    rows += [(100 + i, f"http://weather{i % 5}.net/{i}", good) for i in range(60)]
-    rows += [(900, "http://bestmortgagerates.net/", None), (901, "http://mountainrivers.net/x", ""),
-             (901, "http://mountainrivers.net/x", ""), (None, None, good)]
+    """Words beside known ones in the names of block hosts speak for block on other hosts."""
+    rows = [(i, f"http://viagrapills{i % 3}.net/zorbex/{i}", "<script>garden()</script><p>zorbex</p>")
+            for i in range(40)]
+    rows += [(100 + i, f"http://weather{i % 5}.net/rivers/{i}", "<p>mountains and rivers</p>")
+             for i in range(60)]
+    rows += [(900, "http://superzorbex.net/", None), (901, "http://mountainrivers.net/x", ""),
+             (901, "http://mountainrivers.net/x", ""), (902, "http://rivers.example.com/de", ""),
+             (None, None, "<p>rivers</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    texts = spark.createDataFrame([("mortgage rates and rivers, a mountain " * 3,), (None,)],
-                                  "text string")
-    counts = url_filter.learn(pages, texts)
-    by = {r["word"]: tuple(r)[1:] for r in counts.collect()}
-    assert by["mortgage"] == (23, 20, 0) and by["rivers"] == (64, 0, 61) and "script" not in by
+    texts = [("super mall and rivers, a mountain " * 3,), (None,), ("ab" * 40,)]
+    counts = url_filter.learn(pages, spark.createDataFrame(texts, "text string"))
+    by = {r["word"]: r["n"] for r in counts.collect()}
+    assert by["zorbex"] == 40 and by["rivers"] == 64 and "script" not in by
     got = url_filter.judge_urls(pages, counts=counts).collect()
     assert len(got) == len(rows)
+    brutal = _url_verdicts([r[1:] for r in rows], [t for t, in texts], url_filter.Settings())
+    for r in got:
+        words, verdict = brutal[r["host"], r["path"]]
+        assert r["words"] == words and r["verdict"] == verdict
     first = {r["page_id"]: r for r in got}
-    assert first[900]["words"] == ["best", "mortgage", "rates", "net"]
-    assert first[900]["verdict"] == "block" and first[900]["rule"] is None
-    assert first[901]["words"][:2] == ["mountain", "rivers"]
-    assert [first[i]["verdict"] for i in (0, 100, 901, None)] == ["block", "allow", "allow", "allow"]
+    assert first[900]["words"] == ["super", "zorbex"]
+    assert [first[i]["verdict"] for i in (0, 900, 100, 901, None)] == [
+        "block", "block", "allow", "allow", "allow"]
+
+
+def test_url_names_of_any_length(spark):
+    """Counted words are found whole whatever their length; a name may be very long."""
+    word = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    rows = [(1, f"http://best{word}news.net/" + "q" * 20_000, f"<p>{word} {word[:30]} news</p>"),
+            (2, "http://" + word[:30] + "x.net", None), (3, "http://localhost", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["words"] for r in
+           url_filter.judge_urls(pages, counts=url_filter.learn(pages)).collect()}
+    assert got[1] == ["best", word, "news", "q" * 20_000]
+    assert got[2] == [word[:30], "x"] and got[3] == ["localhost"]
+    none = pages.limit(0)
+    assert url_filter.judge_urls(none, counts=url_filter.learn(none)).count() == 0
 
 
 # 7 ---------------------------------------------------------------------------
