@@ -267,14 +267,15 @@ def split_names(names: DataFrame, counts: DataFrame, how: Settings = Settings())
     def listed(out: list[tuple[str, str]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.string()),
                                            pa.array([p for _, p in out], pa.string())],
-                                          ["name", "piece"])
+                                          ["id", "piece"])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_parts(batches, 1000):
             out: list[tuple[str, str]] = []
-            for name in part.column("name").to_pylist():
+            for key, name in zip(part.column("id").to_pylist(), part.column("name").to_pylist(),
+                                 strict=True):
                 for a in range(len(name)):
-                    out += [(name, name[a:b])
+                    out += [(key, name[a:b])
                             for b in range(a + 2, min(a + how.key, len(name)) + 1)]
                     if len(out) >= 50_000:
                         yield listed(out)
@@ -287,7 +288,7 @@ def split_names(names: DataFrame, counts: DataFrame, how: Settings = Settings())
             words = []
             for name, known in zip(batch.column("name").to_pylist(),
                                    batch.column("known").to_pylist(), strict=True):
-                met = {k["word"]: k["n"] for k in known or ()}
+                met = {k["word"]: k["n"] for k in known or () if k["word"] in name}
                 segment.use({**{w: 0 for w in segment.seeds if w in name}, **met}, total)
                 words.append(segment.split(name))
             yield pa.RecordBatch.from_arrays(
@@ -295,12 +296,14 @@ def split_names(names: DataFrame, counts: DataFrame, how: Settings = Settings())
                  pa.array([sum(bayes.micro(w) for w in ws) for ws in words], pa.int64())],
                 ["name", "words", "odds"])
 
-    # a word over ``key`` letters meets the stretch it begins with, and must be there whole
+    # a long name is not repeated for each of its stretches
+    named = names.select("name", F.when(F.length("name") <= 64, F.col("name")).otherwise(
+        F.concat(F.lit("#"), F.sha2("name", 256))).alias("id"))
+    # a word over ``key`` letters meets the stretch it begins with; ``split`` asks for all of it
     keyed = counts.withColumn("piece", F.substring("word", 1, how.key))
-    known = map_batches(names, pieces, "name string, piece string").join(keyed, "piece") \
-        .where((F.length("word") <= how.key) | F.expr("instr(name, word) > 0")) \
-        .groupBy("name").agg(F.collect_set(F.struct("word", "n")).alias("known"))
-    return map_batches(names.join(known, "name", "left").select("name", "known"), split,
+    known = map_batches(named, pieces, "id string, piece string").join(keyed, "piece") \
+        .groupBy("id").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    return map_batches(named.join(known, "id", "left").select("name", "known"), split,
                        "name string, words array<string>, odds long")
 
 
