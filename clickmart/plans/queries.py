@@ -24,7 +24,8 @@ from clickmart.plans import pipeline as P
 from clickmart.plans import refresh, store
 from clickmart.session import scratch_path
 from clickmart.sources.driver_tables import raw_from_tables, raw_json_lines, write_json_lines  # noqa: F401
-from clickmart.sources.raw import list_files, listing_audit, load_audit, read_raw
+from clickmart.sources.raw import audit_of, list_files, load_audit, read_raw
+from clickmart.streaming import feed
 from clickmart.streaming.ingest import ingest_files, raw_to_base
 
 LOAD_TS_1 = "2026-05-14 09:00:00"
@@ -178,19 +179,38 @@ def q_stream_raw_to_base(spark, sf_dir):
     return spark.read.parquet(base_dir).select(S.BASE_COLUMNS)
 
 
+def q_stream_base_to_fact(spark, sf_dir):
+    """The fact as a consumer of ``events_base``'s change feed with its own
+    offset: it follows after the first delivery and after the second."""
+    root = scratch_path(spark, "feed")
+    src, raw_dir, base_dir, fact_dir = (f"{root}/{n}" for n in ("landing", "raw", "base", "fact"))
+    schema = S.TABLE_DDL["events_base"]
+    for which, load_ts in ((1, LOAD_TS_1), (2, LOAD_TS_2)):
+        _write_delivery(spark, sf_dir, src, which)
+        ingest_files(spark, src, raw_dir, f"{root}/_ck_ingest")
+        raw_to_base(spark, raw_dir, base_dir, f"{root}/_ck_base", load_ts)
+        feed.follow(spark.readStream.schema(schema).parquet(base_dir), fact_dir, f"{root}/_ck_fact",
+                    lambda rows, load_ts=load_ts: silver.fact(rows, load_ts))
+    return feed.read_followed(spark, fact_dir, S.TABLE_DDL["fct_all_session_events"])
+
+
 def q_load_audit(spark, sf_dir):
     return load_audit(raw(spark, sf_dir))
 
 
 def q_stage_listing(spark, sf_dir):
     """Both deliveries landed, only the first ingested: the listing audit
-    shows every hour file, loaded ones with their rows, the rest with 0."""
+    shows every hour file, loaded ones with their rows, the rest with 0. The
+    rows per file are those kept by the audit, brought up to date twice."""
     root = scratch_path(spark, "listing")
     src, raw_dir = f"{root}/landing", f"{root}/raw"
     _write_delivery(spark, sf_dir, src, 1)
+    counts = f"{root}/counts"
     ingest_files(spark, src, raw_dir, f"{root}/_ck_ingest")
+    feed.count_files(spark, raw_dir, counts, f"{root}/_ck_audit")
     _write_delivery(spark, sf_dir, src, 2)
-    audit = listing_audit(spark.read.schema(S.RAW_SCHEMA).parquet(raw_dir), list_files(spark, src))
+    feed.count_files(spark, raw_dir, counts, f"{root}/_ck_audit")
+    audit = audit_of(feed.counted_files(spark, counts), list_files(spark, src))
     token = F.regexp_substr(F.col("filename"), F.lit(S.FILE_HOUR_PATTERN))
     return audit.groupBy(token.alias("file_hour")).agg(
         F.sum("n_rows").alias("n_rows"), F.bool_and("listed").alias("listed"))
@@ -408,6 +428,7 @@ QUERIES = {
     "stream_raw_to_base": q_stream_raw_to_base,
     "load_audit": q_load_audit,
     "stage_listing": q_stage_listing,
+    "stream_base_to_fact": q_stream_base_to_fact,
     "bronze_extract": q_bronze_extract,
     "extract_timestamp": q_extract_timestamp,
     "event_type_clean": q_event_type_clean,

@@ -31,16 +31,18 @@ from pyspark.sql import functions as F
 
 from clickmart import schemas as S
 from clickmart.operators import continued, gold, keyfilter, marks, merge, silver
-from clickmart.sources.raw import archived_files, list_files, listing_audit
+from clickmart.sources.raw import archived_files, audit_of, list_files
 from clickmart.plans import pipeline as P
 from clickmart.plans import store
 from clickmart.plans.store import PARTITION_COLUMN, RUN_COLUMN, read_table, table_path, write_table
 from clickmart.operators.sessions import session_key
 from clickmart.session import scratch_path
+from clickmart.streaming import feed
 from clickmart.streaming.ingest import (ingest_files, landing_state, only_if_new, raw_to_base,
                                         sink_state)
 
 RAW = "events_raw"
+FILE_COUNTS = "raw_file_counts"
 DEVICE_STATE = "device_state"
 
 
@@ -372,9 +374,13 @@ def landing_audit(spark: SparkSession, root: str, landing: str,
                   archive: str | None = None) -> DataFrame:
     """Every landed file against the raw table: rows loaded per file, files
     never loaded (``n_rows`` 0), loaded names no longer listed. Files in the
-    ``archive`` count as listed where they landed."""
-    raw = spark.read.schema(S.RAW_SCHEMA).parquet(table_path(root, RAW))
+    ``archive`` count as listed where they landed. Rows per file are kept from
+    audit to audit, so of the raw table only what came since is read."""
+    raw, counts = table_path(root, RAW), table_path(root, FILE_COUNTS)
+    checkpoint = _checkpoint(root, "audit")
+    only_if_new(spark, checkpoint, sink_state(spark, raw),
+                lambda: feed.count_files(spark, raw, counts, checkpoint))
     listed = list_files(spark, landing)
     if archive:
         listed = listed.unionByName(archived_files(spark, archive)).dropDuplicates(["filename"])
-    return listing_audit(raw, listed)
+    return audit_of(feed.counted_files(spark, counts), listed)

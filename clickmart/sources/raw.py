@@ -67,7 +67,11 @@ def listing_audit(raw: DataFrame, listing: DataFrame) -> DataFrame:
     """Every listed file and every loaded file name, with the rows loaded
     from it: ``listed`` false means rows from a file no longer in the
     bucket, ``n_rows`` 0 a listed file that was never loaded."""
-    loaded = load_audit(raw)
+    return audit_of(load_audit(raw), listing)
+
+
+def audit_of(loaded: DataFrame, listing: DataFrame) -> DataFrame:
+    """``listing_audit`` from rows per file (``filename``, ``n_rows``)."""
     listed = listing.select("filename", F.lit(True).alias("listed"))
     return (listed.join(loaded, "filename", "full_outer")
             .select("filename", F.coalesce(F.col("listed"), F.lit(False)).alias("listed"),

@@ -28,6 +28,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from clickmart import schemas as S
 from clickmart.operators.bronze import bronze
@@ -45,17 +46,21 @@ MAX_FILE_AGE = "36500d"
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None) -> int:
     """Append ``df``'s new input to parquet at ``path`` and stop; returns the
-    number of input rows processed by this run. The query keeps only its
-    latest progress entries, so they are gathered by batch while it runs."""
+    number of input rows processed by this run."""
     writer = df.writeStream.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = (writer
-             .option("path", path)
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start())
+    return drained(writer
+                   .option("path", path)
+                   .option("checkpointLocation", checkpoint)
+                   .outputMode("append")
+                   .trigger(availableNow=True)
+                   .start())
+
+
+def drained(query: StreamingQuery) -> int:
+    """Wait for the end of ``query``; the number of input rows that it read. It keeps only its
+    latest progress entries, so they are gathered by batch while it runs."""
     rows: dict[int, int] = {}
     ended = False
     while not ended:

@@ -336,6 +336,10 @@ def oracle_sql() -> dict[str, str]:
                           ("all_events", "two_batch_gold"), ("session_journey", "two_batch_journey")))
     q["stream_raw_to_base"] = with_(stream_base, f"SELECT {base_cols}, load_timestamp FROM base1 "
                                                  f"UNION ALL SELECT {base_cols}, load_timestamp FROM base2")
+    fact_cols = ("event_uuid, session_id, device_id, event_type, event_time, extract_timestamp, "
+                 "load_timestamp")
+    q["stream_base_to_fact"] = with_(
+        stream_base, f"SELECT {fact_cols} FROM base1 UNION ALL SELECT {fact_cols} FROM base2")
     return q
 
 

@@ -13,7 +13,8 @@ from clickmart.plans import store
 from clickmart.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
-FILE_QUERIES = {"raw_load", "stream_ingest", "stream_raw_to_base", "stage_listing"} | {
+FILE_QUERIES = {"raw_load", "stream_ingest", "stream_raw_to_base", "stage_listing",
+                "stream_base_to_fact"} | {
     k for k in Q.QUERIES if k.startswith("stored_")}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
