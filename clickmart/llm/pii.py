@@ -6,7 +6,9 @@ script, gender and format. A surrogate is drawn from a keyed hash of the
 entity's normal form, so every mention of it, in any format and document, gets
 the same one (coreference). Draws that fall on another entity's surrogate, or
 on any real entity, are drawn again until none is left (distinctness), from a
-space that grows in the entity's own alphabet once its format is used up.
+space that grows in the entity's own alphabet once its format is used up. Cards
+and IBANs with right check digits get surrogates with right ones, IP addresses
+get addresses, and a phone number with and without its country code 1 is one.
 
 Defined cases: null texts stay null and empty ones empty, with 0 entities;
 equal rows get equal results and all stay; other columns pass through; empty
@@ -23,23 +25,27 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-# Known titles and given names by gender; names of other people need a title.
+# Known titles (also in capitals) and given names by gender; names of other people need a title.
 TITLES_M = ("Mr", "Herr", "Monsieur", "Señor", "Sir")
 TITLES_F = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Lady")
+TITLES_U = ("Dr", "Prof", "Professor", "Doctor")
 GIVEN_M = ("John", "James", "Robert", "Michael", "William", "David", "Thomas", "Hans", "Peter",
            "Klaus", "Pierre", "Jean", "Luc", "Carlos", "José", "Juan", "Miguel", "Иван", "Пётр")
 GIVEN_F = ("Mary", "Linda", "Susan", "Sarah", "Anna", "Emma", "Julia", "Marie", "Claire",
            "Sophie", "Ursula", "Petra", "María", "Carmen", "Lucía", "Мария", "Анна")
 
 _NAME = r"\p{Lu}[\p{L}'-]+"
-_TITLE = "(?:" + "|".join(TITLES_M + TITLES_F) + r")\.?"
+_TITLES = "|".join(t for title in TITLES_M + TITLES_F + TITLES_U for t in (title, title.upper()))
+_TITLE = f"(?:{_TITLES})" + r"\.?"
 _GIVEN = "(?:" + "|".join(GIVEN_M + GIVEN_F) + ")"
 
 #: (kind, pattern), the first that matches a mention names its kind.
 KINDS = (
-    ("email", r"[\p{L}0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    # a local part has 64 characters at most; of a longer run the last 64 count
+    ("email", r"[\p{L}0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"),
-    ("iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Z0-9])"),
+    ("iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}"
+             r"(?:[A-Z0-9]{1,3}| [0-9]{1,3})?(?![A-Z0-9])"),
     ("card", r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}(?![0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("phone", r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
@@ -48,10 +54,12 @@ KINDS = (
 )
 PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
 #: Every mention has one of these; texts without are not searched further.
-HINT = r"[0-9@]|(?<![\p{L}])(?:" + "|".join(TITLES_M + TITLES_F + GIVEN_M + GIVEN_F) + r")\b"
+HINT = r"[0-9@]|(?<![\p{L}])(?:" + "|".join((_TITLES, *GIVEN_M, *GIVEN_F)) + r")\b"
 
 #: Draws in an entity's own length; later ones are longer by one place more each.
 ROUNDS = 8
+#: What holds a number above 255.
+NO_OCTET = r"(?:^|\.)0*(?:2(?:5[6-9]|[6-9][0-9])|[3-9][0-9]{2})(?:\.|$)"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 _SYLLABLES = {
     "latin": ("ba", "cor", "del", "fen", "gal", "hol", "jin", "kel", "lor", "mar", "nev", "or",
@@ -86,7 +94,7 @@ def _name_parts(mention: Column) -> tuple[Column, Column]:
 
 
 def _gender(mention: Column) -> Column:
-    title = F.regexp_extract(mention, rf"^({'|'.join(TITLES_M + TITLES_F)})\.? ", 1)
+    title = F.initcap(F.regexp_extract(mention, rf"^({_TITLES})\.? ", 1))
     given = F.substring_index(mention, " ", 1)
     return (F.when(title.isin(*TITLES_M), "m").when(title.isin(*TITLES_F), "f")
             .when(given.isin(*GIVEN_M), "m").when(given.isin(*GIVEN_F), "f").otherwise("u"))
@@ -95,8 +103,8 @@ def _gender(mention: Column) -> Column:
 def units_of(mention: Column, kind: Column) -> Column:
     """The entities a mention refers to: (part, type, normal form).
 
-    Numbers are their digits whatever the punctuation, e-mails and names are
-    lower case. A name is a given name and a surname, so "Mr Smith" and "John
+    Numbers are their digits whatever the punctuation, a phone's without the
+    country code 1 of eleven, e-mails and names are lower case. A name is a given name and a surname, so "Mr Smith" and "John
     Smith" share a surname; an e-mail is its address and its domain.
     """
     def unit(part: str, type_: Column, normal: Column) -> Column:
@@ -115,9 +123,44 @@ def units_of(mention: Column, kind: Column) -> Column:
             .when(kind == "name", names)
             .when(kind == "iban", F.array(unit("all", kind, F.regexp_replace(mention, " ", ""))))
             .when(kind == "ip", F.array(unit("all", kind, mention)))
+            .when((kind == "phone") & _has_country(mention),
+                  F.array(unit("all", kind, F.substring(digits, 2, 10))))
             .otherwise(F.array(unit("all", kind, digits))))
 
 
+def _has_country(mention: Column) -> Column:
+    """Whether a phone number is eleven digits with the country code 1."""
+    return F.regexp_replace(mention, "[^0-9]", "").rlike("^1[0-9]{10}$")
+
+
+def _mod97(iban: Column) -> Column:
+    """The remainder of an IBAN's number, its first four characters moved to the end and
+    letters counted from 10: 1 if the check digits are right."""
+    moved = F.concat(F.substring(iban, 5, 100), F.substring(iban, 1, 4))
+
+    def step(rest: Column, c: Column) -> Column:
+        letter = F.ascii(c) - F.lit(55)
+        return F.when(c.rlike("[0-9]"), (rest * 10 + F.ascii(c) - 48) % 97) \
+            .otherwise((rest * 100 + letter) % 97)
+
+    return F.aggregate(F.split(moved, ""), F.lit(0), step)
+
+
+def _checked_card(normal: Column, drawn: Column) -> Column:
+    """``drawn`` with a last digit that passes the Luhn check if ``normal`` passes it."""
+    stem = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
+    fits = F.filter(F.transform(F.split(F.lit("0123456789"), ""), lambda d: F.concat(stem, d)),
+                    lambda card: F.call_function("luhn_check", card))
+    return F.when(F.call_function("luhn_check", normal), F.element_at(fits, 1)).otherwise(drawn)
+
+
+def _checked_iban(normal: Column, drawn: Column) -> Column:
+    """``drawn`` with check digits that are right if those of ``normal`` are."""
+    country, rest = F.substring(drawn, 1, 2), F.substring(drawn, 5, 100)
+    digits = F.lpad((98 - _mod97(F.concat(country, F.lit("00"), rest))).cast("string"), 2, "0")
+    return F.when(_mod97(normal) == 1, F.concat(country, digits, rest)).otherwise(drawn)
+
+
 def _hash(key: str, type_: Column, normal: Column, attempt: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), type_, normal, attempt.cast("string"))
                   .cast("binary"), 256)
@@ -173,7 +216,8 @@ def _draw(key: str, type_: Column, normal: Column, attempt: Column, rounds: int)
     return (F.when(type_ == "email", local)
             .when(type_ == "domain", F.concat(
                 _like(F.concat(stem, F.repeat(F.lit("a"), extra)), h), F.lit("."), tld))
-            .when((type_ == "ip") & (extra > 0), _like(F.lit("000.000.000.000"), h))
+            # an address is one unless it was none, or nearly all are taken
+            .when((type_ == "ip") & ((extra > 24) | normal.rlike(NO_OCTET)), _like(F.lit("000.000.000.000"), h))
             .when(type_ == "ip", F.concat_ws(".", *[octet(i) for i in range(4)]))
             .when(type_ == "given_m", either("m")).when(type_ == "given_f", either("f"))
             .when(type_ == "given_u", either("u")).when(type_ == "family", either("s"))
@@ -183,6 +227,15 @@ def _draw(key: str, type_: Column, normal: Column, attempt: Column, rounds: int)
             .otherwise(_like(F.concat(normal, F.repeat(F.lit("0"), extra)), h)))
 
 
+def _drawn(key: str, rounds: int) -> Column:
+    """``_draw`` for the columns type, normal and attempt, with right check digits."""
+    type_, normal = F.col("type"), F.col("normal")
+    return F.element_at(F.transform(
+        F.array(_draw(key, type_, normal, F.col("attempt"), rounds)),
+        lambda d: F.when(type_ == "card", _checked_card(normal, d))
+        .when(type_ == "iban", _checked_iban(normal, d)).otherwise(d)), 1)
+
+
 def draw_surrogates(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(type, normal, surrogate) of distinct (type, normal), distinct and never a real entity.
 
@@ -199,8 +252,8 @@ def draw_surrogates(entities: DataFrame, key: str, rounds: int = ROUNDS) -> Data
         "type", F.lit("").alias("scope"), F.col("normal").alias("surrogate"))
     settled, open_ = None, entities.withColumn("attempt", F.lit(0))
     while True:
-        drawn = open_.withColumn("scope", scope).withColumn("surrogate", _draw(
-            key, F.col("type"), F.col("normal"), F.col("attempt"), rounds))
+        drawn = open_.withColumn("scope", scope).withColumn(
+            "surrogate", _drawn(key, rounds))
         # a draw is kept by the least entity that has it, if no earlier round took it
         first = drawn.where((F.col("type") != "email") | (F.col("surrogate") != local)) \
             .groupBy(*held).agg(F.min("normal").alias("owner"))
@@ -262,6 +315,8 @@ def replacements(docs: DataFrame, key: str) -> DataFrame:
     rep = (F.when(F.col("kind") == "email", F.concat(s["local"], F.lit("@"), s["domain"]))
            .when(F.col("kind") == "name", name).when(F.col("kind") == "ip", s["all"])
            .when(F.col("kind") == "iban", _in_format(F.col("mention"), s["all"], "A-Z0-9"))
+           .when((F.col("kind") == "phone") & _has_country(F.col("mention")),
+                 _in_format(F.col("mention"), F.concat(F.lit("1"), s["all"]), "0-9"))
            .otherwise(_in_format(F.col("mention"), s["all"], "0-9")))
     return parts.withColumn("rep", rep).groupBy("doc_id", "text_key").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "rep"))), lambda x: x["rep"])

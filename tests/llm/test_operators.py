@@ -561,6 +561,54 @@ def test_surrogates_keep_their_format_when_draws_run_out(spark):
         assert len(drawn) == len(by[t]) and not drawn & {r["normal"] for r in by[t]}
 
 
+def _iban_right(iban):
+    moved = iban[4:] + iban[:4]
+    return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
+
+
+def _luhn_right(card):
+    twice = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(card))]
+    return sum(x // 10 + x % 10 for x in twice) % 10 == 0
+
+
+def test_surrogates_have_right_check_digits(spark):
+    cards = ["4111111111111111", "5500005555555559", "4026083977531332", "4111111111111112"]
+    ibans = ["DE89370400440532013000", "GB82WEST12345698765432", "DE88370400440532013000"]
+    ips = [f"10.{i}.0.1" for i in range(150)] + ["999.1.2.3"]
+    rows = [(t, n) for t, ns in (("card", cards), ("iban", ibans), ("ip", ips)) for n in ns]
+    for rounds in (1, 8):
+        got = {(r["type"], r["normal"]): r["surrogate"] for r in pii.draw_surrogates(
+            spark.createDataFrame(rows, "type string, normal string"), "k", rounds).collect()}
+        assert len(got) == len(set(got.values())) == len(rows)
+        for card in cards:
+            assert len(got["card", card]) == 16 and got["card", card] not in cards
+            assert _luhn_right(got["card", card]) or not _luhn_right(card)
+        for iban in ibans:
+            assert got["iban", iban][:2] == iban[:2] and len(got["iban", iban]) == len(iban)
+            assert _iban_right(got["iban", iban]) or not _iban_right(iban)
+        for ip in ips[:-1]:
+            assert all(0 <= int(x) <= 255 for x in got["ip", ip].split("."))
+        assert re.fullmatch(r"\d{3}(\.\d{3}){3}", got["ip", "999.1.2.3"])
+
+
+def test_surrogates_of_one_phone_and_of_titles(spark):
+    texts = ["555-123-4567, +1 555-123-4567 and 1 (555) 123-4567", "Dr. Meyer met MRS JONES, Prof Jones",
+             "IBAN DE89 3704 0044 0532 0130 00", "x" * 300_000 + " 555-123-4567 " + "y" * 300_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    by = {r["doc_id"]: r for r in pii.with_surrogates(df, "k").collect()}
+    assert [by[i]["n_entities"] for i in range(4)] == [3, 3, 1, 1]
+    numbers = re.findall(r"[0-9]{3}[) -]+[0-9]{3}-[0-9]{4}", by[0]["text"])
+    digits = {re.sub("[^0-9]", "", n) for n in numbers}
+    assert len(numbers) == 3 and len(digits) == 1 and "5551234567" not in digits
+    assert "+1 " in by[0]["text"] and "1 (" in by[0]["text"]
+    assert digits == {re.sub("[^0-9]", "", by[3]["text"])} and len(by[3]["text"]) == len(texts[3])
+    first, second, third = re.fullmatch(r"Dr\. (\w+) met MRS (\w+), Prof (\w+)", by[1]["text"]).groups()
+    assert second.isupper() and second.lower() == third.lower() != first.lower()
+    assert "Meyer" not in by[1]["text"] and "Jones" not in by[1]["text"].title()
+    iban = by[2]["text"].removeprefix("IBAN ")
+    assert _iban_right(iban.replace(" ", "")) and [len(x) for x in iban.split()] == [4] * 5 + [2]
+
+
 def test_surrogates_on_documents(spark, rows):
     import re
 
