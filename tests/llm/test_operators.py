@@ -790,6 +790,35 @@ def test_training_findings_are_those_of_the_scan(spark):
                      ("room-12-north", 0), ("v2", 0), ("averyverylongplainword", 0)}
 
 
+def test_training_goes_through_all_findings(spark):
+    """No finding is left out, however many; groups' weights are averaged exactly."""
+    texts = [f"slug room-{i}-north" for i in range(2000)] + [f"token=abcdef{i}" for i in range(1700)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(1)
+    labels = [y for _, y in secret_scan.corpus_findings(docs)]
+    assert (labels.count(0), labels.count(1)) == (2000, 1700)
+    how = secret_scan.Training(generated=30, epochs=1, steps=2, batch=8)
+    made = secret_scan.generated_findings(how.generated, how.seed)
+    made = [w for w, _ in made], np.array([y for _, y in made], np.float32)
+    net = secret_scan.fit(made[0], made[1].tolist(), [True] * 60, how)
+    corpus = [(secret_scan.window(t, 5, len(t)), int(i % 3 == 0), i % 2)
+              for i, t in enumerate(texts[:60])]
+    weight = {0: 4.0, 1: 2.0}
+    own = []
+    for part in (0, 1):
+        some = sorted((w, y) for w, y, p in corpus if p == part)
+        after, steps = secret_scan.go_through(net, [w for w, _ in some], np.array(
+            [y for _, y in some]), made, weight, 0.01, how)
+        assert steps == 10  # 20 of label 0, two in a step
+        own.append(secret_scan._flat(after))
+    rows = [(w.replace("\0", "\x01"), y, p) for w, y, p in corpus]
+    got = secret_scan._round(spark.createDataFrame(rows, "w string, y int, part long"), net, made,
+                             weight, 0.01, how)
+    assert np.abs(secret_scan._flat(got) - np.mean(own, 0)).max() < 1e-5
+    again = secret_scan.train(docs, how)
+    assert (secret_scan._flat(again) == secret_scan._flat(secret_scan.train(
+        docs.repartition(3), how))).all()
+
+
 def test_network_finds_secrets_without_digits(docs):
     net = secret_scan.train(docs)
     rnd = random.Random(8)
