@@ -39,10 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, only, semi_filter, stored
+from .common import blobs, in_parts, only, semi_filter, stored
 
 SKETCH_BITS = 20          # slots of the count sketch: bounds what is collected and broadcast
 LIVE_SLOTS = 1 << 24      # bits of the filter of shingles that two classes share
+SENT_EDGES = 1 << 17      # edges that a task remembers in order not to repeat them
+SET_ROWS = 1000           # shingle sets that a task holds at once, about
 STEPS = (16, 32, 64)   # MinHash values compared before each decision
 
 
@@ -167,12 +169,16 @@ def rarity(docs: DataFrame, how: Join) -> np.ndarray:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(how)
         for batch in batches:
-            distinct = {key_of(s): s for s in shingler.sets(blobs(batch))}
+            distinct = {key_of(s): s for part in in_parts([batch])
+                        for s in shingler.sets(blobs(part))}
             if not distinct:
                 continue
-            s, n = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-            slot, at = np.unique(_slot(s[n > 1]), return_inverse=True)
-            total = np.bincount(at, weights=n[n > 1], minlength=len(slot)).astype(np.int64)
+            s = np.concatenate(list(distinct.values()))
+            distinct.clear()  # the batch's shingles are held once, and sorted in place
+            s.sort()
+            again = s[1:] == s[:-1]
+            again = np.concatenate([again, [False]]) | np.concatenate([[False], again])
+            slot, total = np.unique(_slot(s[again[:len(s)]]), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(slot.astype(np.int32)), pa.array(total)], ["slot", "n"])
 
@@ -192,7 +198,7 @@ def features(docs: DataFrame, sketch: np.ndarray, how: Join) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(how), set()
-        for batch in batches:
+        for batch in in_parts(batches):
             keys, sizes, sigs, prefixes = [], [], [], []
             for s in shingler.sets(blobs(batch)):
                 key = key_of(s) if len(s) else None
@@ -327,7 +333,7 @@ def likely_edges(classes: DataFrame, how: Join) -> DataFrame:
             root, key = roots(len(cols[0]), i, j), cols[3]
             at = np.flatnonzero(root != np.arange(len(root)))
             new = {(int(key[r]), int(key[x])) for r, x in zip(root[at], at, strict=True)} - sent
-            if len(sent) < 1_000_000:  # lists of one group of copies give the same edges
+            if len(sent) < SENT_EDGES:  # lists of one group of copies give the same edges
                 sent |= new
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in new], pa.int64()),
@@ -370,7 +376,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, how: Join) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(how)
-        for batch in batches:
+        for batch in in_parts(batches):
             sets = list(shingler.sets(blobs(batch)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key_of(s) for s in sets], pa.int64()),
@@ -391,7 +397,7 @@ def verified(docs: DataFrame, parts: DataFrame, classes: DataFrame, how: Join) -
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["part", "lo", "hi"]
-        for t in _grouped(batches, names):
+        for t in _grouped(in_parts(batches, SET_ROWS), names):
             cols = _columns(t, names)
             key, n = cols[3], cols[4]
             copies = t.column("copies").to_numpy()

@@ -28,7 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import blobs, map_batches, only
+from .common import blobs, in_parts, map_batches, only
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -122,7 +122,7 @@ def measure(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=rules.level)
-        for batch in batches:
+        for batch in in_parts(batches):
             out = list(zip(*[judge(t, rules, zip_) for t in blobs(batch)], strict=True))
             if out:
                 cols = [batch.column("doc_id"),
@@ -136,7 +136,7 @@ def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=rules.level)
-        for batch in batches:
+        for batch in in_parts(batches):
             yield batch.filter(pa.array([judge(t, rules, zip_)[-1] for t in blobs(batch)],
                                         pa.bool_()))
 

@@ -11,6 +11,7 @@ from dataclasses import replace
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -829,6 +830,32 @@ def test_network_finds_secrets_without_digits(docs):
 
 # 10 --------------------------------------------------------------------------
 
+def test_texts_are_taken_in_parts(spark, monkeypatch):
+    """Tasks hold the texts, shingles or verdicts of few rows at once, however large a batch is."""
+    taken = []
+
+    class Frame:
+        sparkSession, schema = spark, "doc_id long, text string"
+
+        def mapInArrow(self, fn, schema):
+            text = "one two three four five six seven eight"
+            n = 2600
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(range(n)), pa.array([f"{text} {i}" for i in range(n)]),
+                 pa.array(range(n))], ["doc_id", "text", "text_key"])
+            taken.append([b.num_rows for b in fn(iter([batch]))])
+            raise StopIteration
+
+    monkeypatch.setattr(ngram_join, "_texts", lambda docs: Frame())
+    monkeypatch.setattr(quality_rules, "only", lambda docs, **columns: Frame())
+    sketch = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)
+    for step in (lambda: ngram_join.features(Frame(), sketch, ngram_join.Join()),
+                 lambda: quality_rules.measure(Frame()), lambda: quality_rules.keep_good(Frame())):
+        with pytest.raises(StopIteration):
+            step()
+    assert [sum(x) for x in taken] == [2600, 2600, 0] and max(map(max, taken)) <= 500
+
+
 def test_quality_rules(spark, rows):
     got = {r["doc_id"]: r for r in Q.op10_quality_rules(spark, SF).collect()}
     for doc_id, text in rows:
