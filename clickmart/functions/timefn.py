@@ -13,8 +13,12 @@ _MICROS = 1_000_000
 
 def file_hour(filename: Column) -> Column:
     """``yyyy-MM-dd_H`` (1- or 2-digit hour) found anywhere in a file path,
-    as a zone-free timestamp; NULL when the path holds no such token."""
-    token = F.regexp_substr(filename, F.lit(S.FILE_HOUR_PATTERN))
+    as a zone-free timestamp; NULL when the path holds no such token.
+
+    ``regexp_substr`` would do, but Spark computes its match in a projection of its own below
+    the others, and a scan of the raw table then rebuilds every whole variant instead of
+    reading the fields that are asked for."""
+    token = F.get(F.regexp_extract_all(filename, F.lit(S.FILE_HOUR_PATTERN), F.lit(0)), F.lit(0))
     return F.to_timestamp_ntz(token, F.lit(S.FILE_HOUR_FORMAT))
 
 

@@ -32,29 +32,28 @@ PROBES = 16
 ASKED = 1 << 17
 
 
-def _places(h: np.ndarray, n_bits: int) -> Iterator[np.ndarray]:
-    """The places of each hash among ``n_bits``, one array per probe."""
-    for i in range(1, PROBES + 1):
-        # mixed anew for each probe: steps of one length would repeat in a small filter
-        z = h.astype(np.uint64) + np.uint64(i * 0x9E3779B97F4A7C15 % 2 ** 64)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        yield (z ^ (z >> np.uint64(31))) % np.uint64(n_bits)
+def _places(h: np.ndarray, n_bits: int, probe: int) -> np.ndarray:
+    """The place of each hash among ``n_bits`` at one of the probes 1 to ``PROBES``."""
+    # mixed anew for each probe: steps of one length would repeat in a small filter
+    z = h.astype(np.uint64) + np.uint64(probe * 0x9E3779B97F4A7C15 % 2 ** 64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (z ^ (z >> np.uint64(31))) % np.uint64(n_bits)
 
 
 def _bits(h: np.ndarray) -> tuple[int, bytes]:
     n_bits = max(64, -(-len(h) * BITS_PER_KEY // 64) * 64)
     out = np.zeros(n_bits, np.uint8)
-    for at in _places(h, n_bits):
-        out[at] = 1
+    for i in range(1, PROBES + 1):
+        out[_places(h, n_bits, i)] = 1
     return n_bits, np.packbits(out, bitorder="little").tobytes()
 
 
 def _holds(bits: bytes, n_bits: int, h: np.ndarray) -> np.ndarray:
-    """Which hashes may be in the filter."""
+    """Which hashes may be in the filter; a probe looks only at those that the last one left."""
     table, left = np.frombuffer(bits, np.uint8), np.arange(len(h))
-    for at in _places(h, n_bits):
-        at = at[left]
+    for i in range(1, PROBES + 1):
+        at = _places(h[left], n_bits, i)
         left = left[(table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1) == 1]
         if not len(left):
             break
@@ -69,7 +68,8 @@ def filters(rows: DataFrame, key: Column, day: Column, run: int,
     sizes = keys.groupBy("day").agg(F.count(F.lit(1)).alias("n")).select(
         F.col("day").alias("s_day"),
         F.expr(f"shiftleft(1L, cast(greatest(0, ceil(log2(n / {shard_keys}))) as int))").alias("level"))
-    sharded = keys.join(sizes, keys["day"].eqNullSafe(sizes["s_day"])).select(
+    # one row per day: sent to the keys, which would else be dealt out by a few days
+    sharded = keys.join(F.broadcast(sizes), keys["day"].eqNullSafe(sizes["s_day"])).select(
         "day", "level", F.pmod("h", "level").alias("shard"), "h")
     schema = S.TABLE_DDL[S.FACT_KEYS]
 

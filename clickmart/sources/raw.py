@@ -15,8 +15,10 @@ def empty_raw(spark: SparkSession) -> DataFrame:
 
 def decoded_path(uri: Column) -> Column:
     """A file URI percent-decoded (``#`` arrives as ``%23``); ``+`` is kept
-    as is rather than read as a blank."""
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    as is rather than read as a blank. A URI without ``%`` is its own path, which spares most
+    rows the decoding."""
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri)
 
 
 def file_path_column() -> Column:
